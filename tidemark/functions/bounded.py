@@ -8,13 +8,23 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Evaluate a small derived table once and mark it for broadcast.
+def fetch_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Evaluate a derived table once when it is small: ``(local relation, True)``.
 
-    At most ``max_rows + 1`` rows are looked at.  A larger table is returned as it was, without a
-    hint, so that the join is shuffled.
+    At most ``max_rows + 1`` rows are looked at; a larger table comes back as it was, with False,
+    and must be joined without a broadcast hint.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return df, False
+    return local_rows(df, rows), True
+
+
+def hinted(df: DataFrame, small: bool) -> DataFrame:
+    """Broadcast ``df`` only when it was counted (or derives from a table that was)."""
+    return F.broadcast(df) if small else df
+
+
+def local_rows(df: DataFrame, rows) -> DataFrame:
+    """Fetched Arrow rows of ``df`` as a local relation: no job, no Python worker."""
+    return df.sparkSession.createDataFrame(rows, df.schema)

@@ -35,7 +35,7 @@ def _both(baseline: DataFrame, current: DataFrame, cols: list[str]) -> DataFrame
 
 
 def _feature_list(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
+    return df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("feature"))
 
 
 def quantile_edges(long: DataFrame, bins: int) -> DataFrame:

@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.timecols import duration_micros, micros
 from tidemark.model import FeatureView
@@ -109,7 +110,7 @@ def multi_pit_join(
         own_keys = s.keys or keys
         ft = micros(s.feature_ts)
         seen = F.greatest(ft, micros(s.visible_by)) if s.visible_by else ft
-        made = micros(s.created) if s.created else F.lit(None).cast("long")
+        made = _tie(s.df, s.created)
         usable = F.col(s.feature_ts).isNotNull()
         for c in own_keys:
             usable = usable & F.col(c).isNotNull()
@@ -162,6 +163,13 @@ def multi_pit_join(
     return matched.select(*outputs)
 
 
+def _tie(df: DataFrame, created: str | None) -> Column:
+    """The tie-break as a long: a timestamp's microseconds, or a number such as a row id."""
+    if created is None:
+        return F.lit(None).cast("long")
+    return F.col(created).cast("long") if isinstance(df.schema[created].dataType, T.NumericType) else micros(created)
+
+
 def pit_join_bucketed(
     labels: DataFrame,
     features: DataFrame,
@@ -186,7 +194,7 @@ def pit_join_bucketed(
     k = [f"__k{i}" for i in range(len(keys))]
     payload = F.struct(*[F.col(c) for c in mapping])
     payload_type = features.select(payload.alias("p")).schema["p"].dataType
-    made = micros(created) if created else F.lit(None).cast("long")
+    made = _tie(features, created)
     usable = F.col(feature_ts).isNotNull()
     for c in keys:
         usable = usable & F.col(c).isNotNull()

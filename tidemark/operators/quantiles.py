@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.bounded import broadcast_if_small
+from tidemark.functions.bounded import fetch_small, hinted
 from tidemark.functions.buckets import value_bucket
 
 _B = "__bucket"
@@ -47,7 +47,7 @@ def order_statistics(df: DataFrame, groups: list[str], value: str, ranks: Column
         lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__n")),
     )
     wanted = hist.select(*groups, _B, "__before", "__lo", "__hi", F.explode(inside).alias("rank"))
-    wanted = broadcast_if_small(wanted)
+    wanted, small = fetch_small(wanted)
     flat = wanted.where(F.col("__lo") == F.col("__hi")).select(*groups, "rank", F.col("__lo").alias("value"))
     mixed = wanted.where(F.col("__lo") < F.col("__hi"))
     cells = mixed.select(*[F.col(g).alias(f"__g_{i}") for i, g in enumerate(groups)], F.col(_B).alias("__wb")).distinct()
@@ -55,7 +55,7 @@ def order_statistics(df: DataFrame, groups: list[str], value: str, ranks: Column
     for i, g in enumerate(groups):
         near = near & F.col(g).eqNullSafe(F.col(f"__g_{i}"))
     values = (
-        data.join(broadcast_if_small(cells), near, "left_semi")
+        data.join(hinted(cells, small), near, "left_semi")
         .groupBy(*groups, _B, "__v")
         .agg(F.count(F.lit(1)).alias("__c"))
         .withColumn("__sum", F.sum("__c").over(Window.partitionBy(*groups, _B).orderBy("__v")))
@@ -65,7 +65,7 @@ def order_statistics(df: DataFrame, groups: list[str], value: str, ranks: Column
     )
     hit = near & (F.col("rank") >= F.col("__before") + F.col("__sum") - F.col("__c"))
     hit = hit & (F.col("rank") < F.col("__before") + F.col("__sum"))
-    exact = values.join(m, hit).select(*groups, "rank", F.col("__v").alias("value"))
+    exact = values.join(hinted(m, small), hit).select(*groups, "rank", F.col("__v").alias("value"))
     return flat.unionByName(exact)
 
 
@@ -128,10 +128,12 @@ def two_sample_distance(long: DataFrame, groups: list[str], value: str, is_curre
             "__bound": F.greatest(gap(eb, F.col("__pc")), gap(F.col("__pb"), ec)),
         }
     )
-    kept = hist.where((F.col("__bound") > F.col("__known")) & (F.col("__lo") < F.col("__hi")) | (gap(eb, ec) == F.col("__known")))
-    kept = broadcast_if_small(kept.select(*groups, _B, "__pb", "__pc", "n_base", "n_cur", "__known", "__bound", "__lo", "__hi"))
-    open_ = kept.where((F.col("__bound") > F.col("__known")) & (F.col("__lo") < F.col("__hi")))
-    cells = open_.select(
+    unresolved = (F.col("__bound") > F.col("__known")) & (F.col("__lo") < F.col("__hi"))
+    kept = hist.where(unresolved | (gap(eb, ec) == F.col("__known")))
+    kept, small = fetch_small(
+        kept.select(*groups, _B, "__pb", "__pc", "n_base", "n_cur", "__known", "__bound", "__lo", "__hi")
+    )
+    cells = kept.where(unresolved).select(
         *[F.col(g).alias(f"__g_{i}") for i, g in enumerate(groups)],
         F.col(_B).alias("__wb"),
         "__pb",
@@ -142,8 +144,10 @@ def two_sample_distance(long: DataFrame, groups: list[str], value: str, is_curre
     near: Column = F.col(_B) == F.col("__wb")
     for i, g in enumerate(groups):
         near = near & F.col(g).eqNullSafe(F.col(f"__g_{i}"))
-    counts = data.join(broadcast_if_small(cells), near).groupBy(*groups, _B, "__v", "__pb", "__pc", "n_base", "n_cur").agg(
-        (F.count(F.lit(1)) - cur).alias("__nb"), cur.alias("__nc")
+    counts = (
+        data.join(hinted(cells, small), near)
+        .groupBy(*groups, _B, "__v", "__pb", "__pc", "n_base", "n_cur")
+        .agg((F.count(F.lit(1)) - cur).alias("__nb"), cur.alias("__nc"))
     )
     upto = Window.partitionBy(*groups, _B).orderBy("__v")
     refined = counts.select(
@@ -181,10 +185,6 @@ def rank_sum_auc(df: DataFrame, score: str, positive: Column) -> DataFrame:
     inner = F.coalesce(F.sum("n").over(_running([_B], "__v")), F.lit(0))
     ranked = counts.withColumn("inner", inner).join(offsets, F.col(_B) == F.col("__ob"))
     wins = F.col("p") * (F.col("below") + F.col("inner") + F.col("n") / F.lit(2.0))
-    return ranked.agg(
-        F.sum("p").alias("n_pos"), F.sum("n").alias("n_neg"), F.sum(wins).alias("wins")
-    ).select(
-        "n_pos",
-        "n_neg",
-        F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.col("wins") / (F.col("n_pos").cast("double") * F.col("n_neg"))).alias("roc_auc"),
-    )
+    sums = ranked.agg(F.sum("p").alias("n_pos"), F.sum("n").alias("n_neg"), F.sum(wins).alias("wins"))
+    pairs = F.col("n_pos").cast("double") * F.col("n_neg")
+    return sums.select("n_pos", "n_neg", F.when(pairs > 0, F.col("wins") / pairs).alias("roc_auc"))

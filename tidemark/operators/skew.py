@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.bounded import local_rows
+
 ROWS_PER_SLICE = 4_000_000
 MAX_HOT_KEYS = 100_000
 
@@ -64,10 +66,10 @@ def find_hot_keys(
         .limit(MAX_HOT_KEYS)
         .drop("n")
     )
-    rows = stats.collect()
-    if not rows:
+    rows = stats.toArrow()
+    if rows.num_rows == 0:
         return None
-    return HotKeys(df.sparkSession.createDataFrame(rows, stats.schema), len(rows))
+    return HotKeys(local_rows(stats, rows), rows.num_rows)
 
 
 def add_slices(df: DataFrame, keys: list[str], t: str, hot: HotKeys | None) -> DataFrame:

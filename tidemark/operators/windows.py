@@ -90,7 +90,7 @@ def rolling_agg(
     steps = F.sequence(F.lit(0), F.lit(w_len // s_len - 1))
     return (
         panes.withColumn("__back", F.explode(steps))
-        .withColumn("__start", F.col("__pane") - F.col("__back") * F.lit(s_len))
+        .withColumn("__start", F.col("__pane") - F.col("__back") * F.lit(s_len).cast("long"))
         .groupBy(*keys, "__start")
         .agg(*[a.merge(n).alias(n) for n, a in aggs.items()])
         .select(
@@ -201,7 +201,7 @@ def user_recency_sliding(
                 *_recency_parts(), F.hll_sketch_agg("__product", F.lit(12)).alias("products")
             )
         windows = panes.withColumn("__back", F.explode(F.sequence(F.lit(0), F.lit(w_len // s_len - 1)))).withColumn(
-            "__end", F.col("__pane") + F.lit(w_len) - F.col("__back") * F.lit(s_len)
+            "__end", F.col("__pane") + F.lit(w_len) - F.col("__back") * F.lit(s_len).cast("long")
         )
         parts = [
             F.sum("n").alias("n"),
