@@ -252,7 +252,7 @@ d AS (
 l AS (
   SELECT l_orderkey, l_linenumber, l_partkey, o_custkey AS customer_id, l_shipdate,
          CAST(l_returnflag = 'R' AS INTEGER) AS returned
-  FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
 m AS (
   SELECT l.*, d.n_orders, d.spend, d.products, coalesce(d.o_orderdate > l.l_shipdate - INTERVAL 90 DAYS, false) AS ok
   FROM l ASOF LEFT JOIN d ON d.o_custkey = l.customer_id AND l.l_shipdate >= d.o_orderdate)

@@ -102,7 +102,7 @@ def _run_stream(spark, build, sf, mode: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(result.schema).parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").select(*result.columns)
 
 
 def gap_reset_stream(spark, sf):

@@ -180,8 +180,8 @@ QUERIES = {
 
 _PRICE = "CASE WHEN l_quantity > 2 THEN l_extendedprice END"
 _LONG = f"""long AS (
-  UNPIVOT INCLUDE NULLS (SELECT l_quantity, {_PRICE} AS l_extendedprice, l_discount, l_tax FROM lineitem)
-  ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME feature VALUE value)"""
+  SELECT feature, value FROM (SELECT l_quantity, {_PRICE} AS l_extendedprice, l_discount, l_tax FROM lineitem)
+  UNPIVOT INCLUDE NULLS (value FOR feature IN (l_quantity, l_extendedprice, l_discount, l_tax)))"""
 _STATS = f"""WITH {_LONG}, stats AS (
   SELECT feature AS name, count(value) AS num_present, count(*) - count(value) AS num_missing,
          round(avg(value), 5) AS mean, round(sum(value), 1) AS sum, round(stddev_pop(value), 5) AS std_dev,

@@ -153,7 +153,7 @@ def user_lifetime(spark, sf):
         "l_orderkey",
         "l_partkey",
     )
-    return out.withColumns({c: F.round(c, 2) for c in ("total_spend", "avg_order_value")})
+    return out.withColumns({"total_spend": F.round("total_spend", 2), "avg_order_value": F.round("avg_order_value", 6)})
 
 
 def user_lifetime_history(spark, sf):
@@ -167,7 +167,8 @@ def user_lifetime_history(spark, sf):
         "l_orderkey",
         "l_partkey",
     )
-    return naive_timestamps(out.withColumns({c: F.round(c, 2) for c in ("total_spend", "avg_order_value")}))
+    digits = {"total_spend": F.round("total_spend", 2), "avg_order_value": F.round("avg_order_value", 6)}
+    return naive_timestamps(out.withColumns(digits))
 
 
 def product_features(spark, sf):
@@ -303,7 +304,7 @@ WITH o AS (SELECT * FROM orders WHERE o_orderdate <= TIMESTAMP '2000-01-01'),
 m AS (SELECT o_custkey, min(o_orderdate) AS f, count(*) AS n, sum(o_totalprice) AS s FROM o GROUP BY 1),
 p AS (SELECT o_custkey, count(DISTINCT l_partkey) AS d FROM lineitem JOIN o ON o_orderkey = l_orderkey GROUP BY 1)
 SELECT m.o_custkey, CAST(date_diff('day', CAST(f AS DATE), DATE '2000-01-01') AS INTEGER) AS account_age_days,
-       CAST(n AS INTEGER) AS total_orders, round(s, 2) AS total_spend, round(s / n, 2) AS avg_order_value,
+       CAST(n AS INTEGER) AS total_orders, round(s, 2) AS total_spend, round(s / n, 6) AS avg_order_value,
        CAST(coalesce(d, 0) AS INTEGER) AS distinct_products_purchased
 FROM m LEFT JOIN p ON p.o_custkey = m.o_custkey""",
     "user_lifetime_history": """
@@ -314,7 +315,7 @@ news AS (SELECT struct_extract_at(o, 2) AS o_orderkey, count(*) AS n FROM first
 SELECT o_custkey, o_orderkey, o_orderdate AS event_time,
        CAST(date_diff('day', CAST(min(o_orderdate) OVER u AS DATE), CAST(o_orderdate AS DATE)) AS INTEGER) AS account_age_days,
        CAST(count(*) OVER u AS INTEGER) AS total_orders, round(sum(o_totalprice) OVER u, 2) AS total_spend,
-       round(sum(o_totalprice) OVER u / count(*) OVER u, 2) AS avg_order_value,
+       round(sum(o_totalprice) OVER u / count(*) OVER u, 6) AS avg_order_value,
        CAST(sum(coalesce(n, 0)) OVER u AS INTEGER) AS distinct_products_purchased
 FROM orders LEFT JOIN news USING (o_orderkey)
 WINDOW u AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING)""",
@@ -332,10 +333,10 @@ SELECT p_partkey AS product_id, CAST(coalesce(d7, 0) AS INTEGER) AS total_purcha
        round(r, 6) AS avg_rating, p_retailprice AS price_usd
 FROM part LEFT JOIN c ON l_partkey = p_partkey""",
     "embedding_upsert": """
-WITH v AS (
+WITH h AS (SELECT max(label) / 2 AS half FROM embeddings),
+v AS (
   SELECT 'item:' || vec_id || ':embedding_v1' AS doc_id, CAST(len(embedding) AS INTEGER) AS dim, label,
-         list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE)
-           * CASE WHEN label < (SELECT max(label) / 2 FROM embeddings) THEN 2 ELSE 1 END)) AS total
-  FROM embeddings)
+         list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) * CASE WHEN label < half THEN 2 ELSE 1 END AS total
+  FROM embeddings, h)
 SELECT doc_id, dim, round(total, 5) AS total, label FROM v""",
 }
