@@ -1,10 +1,12 @@
 """Order-preserving value buckets.
 
 Exact order statistics need values in order, and a total sort or a per-group hash map of all
-distinct values does not scale.  ``value_bucket`` maps a number to an integer that grows with it:
-the binary exponent and the leading ``BITS`` bits of the mantissa.  Buckets depend on the value
-alone, so two passes over the data, or a retried task, always agree on them; a histogram over
-buckets is small, and an exact answer needs only the rows of the few buckets that matter.
+distinct values does not scale.  ``value_bucket`` maps a number to an integer that never falls
+when the number grows: the floor of its scaled binary logarithm, mirrored for negative numbers.
+(The logarithm is semi-monotonic by the JVM's contract, so rounding cannot swap two buckets.)
+Buckets depend on the value alone, so two passes over the data, or a retried task, always agree on
+them; a histogram over buckets is small, and an exact answer needs only the rows of the few
+buckets that matter.
 """
 
 from __future__ import annotations
@@ -12,15 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BITS = 12
-_SHIFT = 1100  # keeps exponents of subnormal doubles positive
+PER_OCTAVE = 1024
+_SHIFT = 1100.0 * PER_OCTAVE  # above the logarithm of the smallest double
+_INFINITE = 1 << 40
 
 
 def value_bucket(value: Column | str) -> Column:
     x = (F.col(value) if isinstance(value, str) else value).cast("double")
     size = F.abs(x)
-    exponent = F.floor(F.log2(size)).cast("double")
-    mantissa = size / F.pow(F.lit(2.0), exponent)
-    magnitude = F.floor((exponent + F.lit(_SHIFT - 1.0) + mantissa) * F.lit(float(1 << BITS)))
-    magnitude = F.when(size == F.lit(float("inf")), F.lit(1 << 40)).otherwise(magnitude)
+    magnitude = F.floor(F.log2(size) * F.lit(float(PER_OCTAVE)) + F.lit(_SHIFT))
+    magnitude = F.when(size == F.lit(float("inf")), F.lit(_INFINITE)).otherwise(magnitude)
     return F.when(x == 0, F.lit(0)).when(x > 0, magnitude).otherwise(-magnitude).cast("long")

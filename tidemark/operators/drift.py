@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.stats import ks_pvalue, psi_term
-from tidemark.operators.quantiles import exact_quantiles, two_sample_distance
+from tidemark.operators.quantiles import (
+    all_ranks,
+    interpolated,
+    order_statistics,
+    two_sample_distance,
+    two_sample_marks,
+)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -38,14 +44,10 @@ def _feature_list(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("feature"))
 
 
-def quantile_edges(long: DataFrame, bins: int) -> DataFrame:
-    """``feature, edges``: the distinct baseline quantiles in order, at most ``bins + 1`` each."""
-    probs = [i / bins for i in range(bins + 1)]
-    return (
-        exact_quantiles(long, ["feature"], "value", probs)
-        .groupBy("feature")
-        .agg(F.array_sort(F.collect_set("quantile")).alias("edges"))
-    )
+def _edges(stats: DataFrame, probs: list[float]) -> DataFrame:
+    """``feature, edges``: the distinct quantiles in order, at most one per probability."""
+    quantiles = interpolated(stats, ["feature"], probs)
+    return quantiles.groupBy("feature").agg(F.array_sort(F.collect_set("quantile")).alias("edges"))
 
 
 def edge_index(value: Column, edges: Column, max_edges: int) -> Column:
@@ -70,11 +72,14 @@ def psi(
     baseline has fewer than two distinct quantiles.
     """
     cols = cols or shared_numeric_columns(baseline, current)
-    return _psi(_both(baseline, current, cols), _feature_list(baseline, cols), bins, open_ended)
+    probs = [i / bins for i in range(bins + 1)]
+    long = long_form(baseline, cols).where("value IS NOT NULL")
+    ranked = order_statistics(long, ["feature"], "value", all_ranks(probs, F.col("__total")))
+    edges = _edges(ranked, probs)
+    return _psi(_both(baseline, current, cols), _feature_list(baseline, cols), edges, bins, open_ended)
 
 
-def _psi(both: DataFrame, features: DataFrame, bins: int, open_ended: bool) -> DataFrame:
-    edges = quantile_edges(both.where("NOT is_current"), bins)
+def _psi(both: DataFrame, features: DataFrame, edges: DataFrame, bins: int, open_ended: bool) -> DataFrame:
     # One row per monitored column: bounded by the schema, not by the data.
     binned = both.join(F.broadcast(edges), "feature")
     n_edges = F.size("edges")
@@ -115,13 +120,13 @@ def _psi(both: DataFrame, features: DataFrame, bins: int, open_ended: bool) -> D
 def ks(baseline: DataFrame, current: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """``feature, ks_stat, ks_pvalue``; (0, 1) when a side is empty."""
     cols = cols or shared_numeric_columns(baseline, current)
-    return _ks(_both(baseline, current, cols), _feature_list(baseline, cols))
+    distance = two_sample_distance(_both(baseline, current, cols), ["feature"], "value", "is_current")
+    return _ks(distance, _feature_list(baseline, cols))
 
 
-def _ks(both: DataFrame, features: DataFrame) -> DataFrame:
-    d = two_sample_distance(both, ["feature"], "value", "is_current")
-    d = d.withColumn("ks_pvalue", ks_pvalue(F.col("ks_stat"), F.col("n_base"), F.col("n_cur")))
-    return features.join(d, "feature", "left").select(
+def _ks(distance: DataFrame, features: DataFrame) -> DataFrame:
+    p = ks_pvalue(F.col("ks_stat"), F.col("n_base"), F.col("n_cur"))
+    return features.join(distance.withColumn("ks_pvalue", p), "feature", "left").select(
         "feature",
         F.coalesce("ks_stat", F.lit(0.0)).alias("ks_stat"),
         F.coalesce("ks_pvalue", F.lit(1.0)).alias("ks_pvalue"),
@@ -145,7 +150,16 @@ def detect_drift(
     cols = cols or shared_numeric_columns(baseline, current)
     features = _feature_list(baseline, cols)
     both = _both(baseline, current, cols)
-    joined = _psi(both, features, bins, open_ended).join(_ks(both, features), "feature")
+    probs = [i / bins for i in range(bins + 1)]
+    # One pair of passes finds the bin edges and the KS distances of all columns, a third counts.
+    marks, _ = two_sample_marks(both, ["feature"], "value", "is_current", probs)
+    edges = _edges(marks.where("rank IS NOT NULL"), probs)
+    distance = (
+        marks.groupBy("feature")
+        .agg(F.max("n_base").alias("n_base"), F.max("n_cur").alias("n_cur"), F.max("d").alias("ks_stat"))
+        .where("n_base > 0 AND n_cur > 0")
+    )
+    joined = _psi(both, features, edges, bins, open_ended).join(_ks(distance, features), "feature")
     # NaN compares greater than any number in Spark; a NaN index is not a breach.
     psi_breach = (F.col("psi") >= psi_threshold) & ~F.isnan("psi")
     ks_breach = F.col("ks_pvalue") < ks_pvalue_threshold

@@ -1,7 +1,7 @@
 """Exact quantiles, two-sample distances and rank sums without sorting the data.
 
-Each works in two passes.  Pass one is a histogram over value buckets (map-side combined, a few
-ten thousand rows per group whatever the data size).  It tells which buckets can hold the answer;
+Each works in two passes.  Pass one is a histogram over value buckets (map-side combined, at most
+a few ten thousand rows per group whatever the data size).  It tells which buckets can hold the answer;
 pass two reads the exact values of those buckets only.
 """
 
@@ -74,13 +74,12 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[fl
 
     Agrees with ``percentile`` and with numpy's default, but no task holds a group's values.
     """
-    points = F.array(*[F.lit(float(p)) for p in probs])
-    top = F.col("__total") - 1
-    ranks = F.flatten(
-        F.transform(points, lambda p: F.array(F.floor(p * top).cast("long"), F.ceil(p * top).cast("long")))
-    )
-    # The group's size travels as one more "rank": its maximum is at rank total - 1.
-    stats = order_statistics(df, groups, value, F.array_append(ranks, top.cast("long")))
+    ranks = all_ranks(probs, F.col("__total"))
+    return interpolated(order_statistics(df, groups, value, ranks), groups, probs)
+
+
+def interpolated(stats: DataFrame, groups: list[str], probs: list[float]) -> DataFrame:
+    """``groups, prob, quantile`` from ``groups, rank, value``; the largest rank is the last value's."""
     per_group = stats.groupBy(*groups).agg(
         F.map_from_entries(F.collect_set(F.struct("rank", "value"))).alias("at"), F.max("rank").alias("top")
     )
@@ -88,14 +87,19 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[fl
     low, high = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
     a, b = F.col("at")[low], F.col("at")[high]
     lerp = F.when(a == b, a).otherwise(a + (b - a) * (pos - low))
+    points = F.array(*[F.lit(float(p)) for p in probs])
     return per_group.withColumn("prob", F.explode(points)).select(*groups, "prob", lerp.alias("quantile"))
 
 
-def two_sample_distance(long: DataFrame, groups: list[str], value: str, is_current: str) -> DataFrame:
-    """``groups, n_base, n_cur, ks_stat``: the largest gap between the two empirical CDFs.
+def two_sample_marks(
+    long: DataFrame, groups: list[str], value: str, is_current: str, probs: list[float]
+) -> tuple[DataFrame, bool]:
+    """What is needed for base quantiles and the two-sample distance: ``(marks, is_small)``.
 
-    Bucket ends give a lower bound of the distance, bucket contents an upper bound each; only
-    buckets whose upper bound exceeds the lower bound are read again.
+    ``marks`` has ``groups, n_base, n_cur, rank, value, d``: one row per needed order statistic of
+    the base (``d`` null) and rows with candidate distances (``rank`` null).  Bucket ends bound
+    the distance from below, bucket contents from above; only buckets whose upper bound exceeds
+    the lower bound of the group, or which hold a wanted rank, are read a second time.
     """
     data = long.select(*groups, F.col(value).cast("double").alias("__v"), F.col(is_current).alias("__cur")).where(
         _real("__v")
@@ -116,51 +120,88 @@ def two_sample_distance(long: DataFrame, groups: list[str], value: str, is_curre
             "n_base": F.sum("__nb").over(every),
             "n_cur": F.sum("__nc").over(every),
         }
-    ).where("n_base > 0 AND n_cur > 0")
+    )
 
     def gap(b: Column, c: Column) -> Column:
-        return F.abs(b / F.col("n_base") - c / F.col("n_cur"))
+        both = (F.col("n_base") > 0) & (F.col("n_cur") > 0)
+        return F.when(both, F.abs(b / F.col("n_base") - c / F.col("n_cur"))).otherwise(0.0)
 
     eb, ec = F.col("__pb") + F.col("__nb"), F.col("__pc") + F.col("__nc")
     hist = hist.withColumns(
         {
+            "__end": gap(eb, ec),
             "__known": F.max(gap(eb, ec)).over(every),
             "__bound": F.greatest(gap(eb, F.col("__pc")), gap(F.col("__pb"), ec)),
+            "__ranks": F.filter(
+                F.array_distinct(all_ranks(probs, F.col("n_base"))) if probs else F.array().cast("array<bigint>"),
+                lambda r: (r >= F.col("__pb")) & (r < F.col("__pb") + F.col("__nb")),
+            ),
         }
     )
-    unresolved = (F.col("__bound") > F.col("__known")) & (F.col("__lo") < F.col("__hi"))
-    kept = hist.where(unresolved | (gap(eb, ec) == F.col("__known")))
-    kept, small = fetch_small(
-        kept.select(*groups, _B, "__pb", "__pc", "n_base", "n_cur", "__known", "__bound", "__lo", "__hi")
+    mixed = F.col("__lo") < F.col("__hi")
+    suspect = mixed & (F.col("__bound") > F.col("__known"))
+    # Of the bucket ends that reach the known distance one is enough.
+    hist = hist.withColumn("__first", F.min(F.when(F.col("__end") == F.col("__known"), F.col(_B))).over(every))
+    kept = hist.where(suspect | (F.col("__first") == F.col(_B)) | (F.size("__ranks") > 0)).select(
+        *groups, _B, "__pb", "__pc", "n_base", "n_cur", "__known", "__bound", "__lo", "__hi", "__ranks"
+    )
+    kept, small = fetch_small(kept)
+    head = [*groups, "n_base", "n_cur"]
+    nothing = F.lit(None)
+    coarse = kept.select(
+        *head, nothing.cast("long").alias("rank"), nothing.cast("double").alias("value"), F.col("__known").alias("d")
+    )
+    flat = kept.where(~mixed).select(
+        *head, F.explode("__ranks").alias("rank"), F.col("__lo").alias("value"), nothing.cast("double").alias("d")
     )
-    cells = kept.where(unresolved).select(
+    again = kept.where(suspect | (mixed & (F.size("__ranks") > 0))).select(
         *[F.col(g).alias(f"__g_{i}") for i, g in enumerate(groups)],
         F.col(_B).alias("__wb"),
         "__pb",
         "__pc",
         "n_base",
         "n_cur",
+        "__ranks",
     )
     near: Column = F.col(_B) == F.col("__wb")
     for i, g in enumerate(groups):
         near = near & F.col(g).eqNullSafe(F.col(f"__g_{i}"))
-    counts = (
-        data.join(hinted(cells, small), near)
-        .groupBy(*groups, _B, "__v", "__pb", "__pc", "n_base", "n_cur")
+    upto = Window.partitionBy(*groups, _B).orderBy("__v")
+    values = (
+        data.join(hinted(again, small), near)
+        .groupBy(*groups, _B, "__v", "__pb", "__pc", "n_base", "n_cur", "__ranks")
         .agg((F.count(F.lit(1)) - cur).alias("__nb"), cur.alias("__nc"))
+        .withColumns({"__sb": F.col("__pb") + F.sum("__nb").over(upto), "__sc": F.col("__pc") + F.sum("__nc").over(upto)})
     )
-    upto = Window.partitionBy(*groups, _B).orderBy("__v")
-    refined = counts.select(
-        *groups,
-        "n_base",
-        "n_cur",
-        gap(F.col("__pb") + F.sum("__nb").over(upto), F.col("__pc") + F.sum("__nc").over(upto)).alias("d"),
+    here = F.filter("__ranks", lambda r: (r >= F.col("__sb") - F.col("__nb")) & (r < F.col("__sb")))
+    fine = values.select(
+        *head, F.explode_outer(here).alias("rank"), F.col("__v").alias("value"), gap(F.col("__sb"), F.col("__sc")).alias("d")
+    )
+    # One row per wanted rank and group besides the largest distance; both combine map-side.
+    marks = (
+        coarse.unionByName(flat)
+        .unionByName(fine)
+        .groupBy(*head, "rank")
+        .agg(F.max("value").alias("value"), F.max("d").alias("d"))
     )
-    coarse = kept.select(*groups, "n_base", "n_cur", F.col("__known").alias("d"))
+    return fetch_small(marks) if small else (marks, False)
+
+
+def all_ranks(probs: list[float], total: Column) -> Column:
+    """The 0-based ranks on both sides of each quantile, and the last rank, which tells the size."""
+    points = F.array(*[F.lit(float(p)) for p in probs])
+    top = total - 1
+    pairs = F.transform(points, lambda p: F.array(F.floor(p * top).cast("long"), F.ceil(p * top).cast("long")))
+    return F.array_append(F.flatten(pairs), top.cast("long"))
+
+
+def two_sample_distance(long: DataFrame, groups: list[str], value: str, is_current: str) -> DataFrame:
+    """``groups, n_base, n_cur, ks_stat``: the largest gap between the two empirical CDFs."""
+    marks, _ = two_sample_marks(long, groups, value, is_current, [])
     return (
-        coarse.unionByName(refined)
-        .groupBy(*groups)
+        marks.groupBy(*groups)
         .agg(F.max("n_base").alias("n_base"), F.max("n_cur").alias("n_cur"), F.max("d").alias("ks_stat"))
+        .where("n_base > 0 AND n_cur > 0")
     )
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.bounded import local_rows
 
 ROWS_PER_SLICE = 4_000_000
+MIN_ROW_BYTES = 16
 MAX_HOT_KEYS = 100_000
 
 SLICE = "__slice"
@@ -45,10 +46,16 @@ def find_hot_keys(
 ) -> HotKeys | None:
     """Entities with more than ``rows_per_slice`` rows, and how wide their time slices are.
 
+    Inputs that the optimizer's size estimate puts below ``rows_per_slice`` small rows are not
+    looked at: one task can hold any of their entities.
+
     One column-pruned count per key (map-side combined).  At most ``MAX_HOT_KEYS`` rows reach the
     driver: of N rows no key beyond the largest 100 000 can own more than N / 100 000, and such
     keys are processed whole.
     """
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if estimate < rows_per_slice * MIN_ROW_BYTES:
+        return None
     stats = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi"))

@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # Call-site capture costs a driver round trip per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
