@@ -45,6 +45,12 @@ def from_micros(value: Column) -> Column:
     return F.timestamp_micros(value)
 
 
+def as_timestamp(df: DataFrame, ts: str) -> Column:
+    """The column as TIMESTAMP; one that is already is not cast, which would lose its watermark."""
+    col = F.col(ts)
+    return col if isinstance(df.schema[ts].dataType, T.TimestampType) else col.cast("timestamp")
+
+
 def utc_timestamps(df: DataFrame) -> DataFrame:
     """Cast every TIMESTAMP_NTZ column to TIMESTAMP; watermarks and long casts need the latter."""
     ntz = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]

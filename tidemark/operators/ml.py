@@ -93,7 +93,13 @@ def train(
     else:
         estimator = GBTClassifier(**common, seed=seed, **options)
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias("__label"))
-    return Pipeline(stages=[imputer, assembler, estimator]).fit(numeric)
+    fitted = Pipeline(stages=[imputer, assembler, estimator]).fit(numeric)
+    # A training summary holds the training DataFrame and its session, which must not be shipped
+    # to the executors with the model.
+    last = fitted.stages[-1]
+    if getattr(last, "hasSummary", False):
+        last._java_obj.setSummary(df.sparkSession.sparkContext._jvm.scala.Option.empty())
+    return fitted
 
 
 def score(df: DataFrame, model: PipelineModel, features: list[str], out: str = "prediction_score") -> DataFrame:

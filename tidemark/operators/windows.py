@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.timecols import duration_micros, micros
+from tidemark.functions.timecols import as_timestamp, duration_micros, micros
 
 
 @dataclass(frozen=True)
@@ -72,7 +72,7 @@ def rolling_agg(
     w_len = duration_micros(window)
     s_len = duration_micros(slide) if slide else w_len
     panes_fit = s_len < w_len and w_len % s_len == 0 and not df.isStreaming
-    df = df.withColumn("__ts", F.col(ts).cast("timestamp"))
+    df = df.withColumn("__ts", as_timestamp(df, ts))
     if not panes_fit:
         spec = F.window("__ts", window, slide) if slide else F.window("__ts", window)
         return (
@@ -147,7 +147,7 @@ def distinct_count_rolling(df, entity, ts, distinct_col, window="30 days", out=N
         return rolling_agg(df, entity, ts, window, None, {name: Agg("approx_distinct", distinct_col)})
     keys = [entity] if isinstance(entity, str) else list(entity)
     return (
-        df.withColumn("__w", F.window(F.col(ts).cast("timestamp"), window))
+        df.withColumn("__w", F.window(as_timestamp(df, ts), window))
         .groupBy(*keys, "__w")
         .agg(F.count_distinct(distinct_col).alias(name))
         .select(*keys, name, F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"))
@@ -269,7 +269,7 @@ def salted_rolling_agg(
     """
     keyed = (
         df.where(F.col(ts).isNotNull())
-        .withColumn("__w", F.window(F.col(ts).cast("timestamp"), window))
+        .withColumn("__w", F.window(as_timestamp(df, ts), window))
         .withColumn("__salt", F.pmod(F.xxhash64(salt_by or ts), F.lit(salts)))
     )
     shards = keyed.groupBy(entity, "__w", "__salt").agg(*[c for n, a in aggs.items() for c in a.pane(n)])

@@ -23,7 +23,7 @@ from tidemark.model import FeatureView, check_schema, reject_rows
 from tidemark.operators.embeddings import embedding_document_id
 from tidemark.operators.snapshot import latest_per_entity, new_rows_only
 
-POINTER = "_current.json"
+POINTER = "current.json"
 
 
 @dataclass
