@@ -130,10 +130,39 @@ def test_nan_and_null_are_left_out(spark):
     assert drift.ks(a, b).first().ks_stat == 0.0
 
 
+def test_exact_pvalue_counts_paths():
+    """Against all interleavings of two small samples."""
+    from itertools import combinations
+
+    from tidemark.functions.stats import exact_ks_pvalue
+
+    for n, m in ((3, 3), (4, 2), (3, 5)):
+        stats = []
+        for spots in combinations(range(n + m), n):
+            i = j = 0
+            worst = 0.0
+            for s in range(n + m):
+                i, j = (i + 1, j) if s in spots else (i, j + 1)
+                worst = max(worst, abs(i / n - j / m))
+            stats.append(worst)
+        for d in sorted(set(round(x, 12) for x in stats)):
+            want = sum(x >= d - 1e-9 for x in stats) / len(stats)
+            assert exact_ks_pvalue(d, n, m) == pytest.approx(want, rel=1e-12)
+
+
+def test_exact_and_asymptotic_pvalues_meet(spark):
+    from tidemark.functions.stats import asymptotic_ks_pvalue, exact_ks_pvalue
+
+    df = spark.createDataFrame([(0.03, 4000, 3000), (0.05, 2000, 2500)], "d double, n long, m long")
+    for r in df.select("d", "n", "m", asymptotic_ks_pvalue(F.col("d"), F.col("n"), F.col("m")).alias("p")).collect():
+        assert exact_ks_pvalue(r.d, r.n, r.m) == pytest.approx(r.p, rel=0.05)
+
+
 def test_report(spark):
     a = spark.createDataFrame([(i,) for i in range(1000)], "x int")
     b = spark.createDataFrame([(i + 500,) for i in range(1000)], "x int")
     row = drift.drift_report(drift.detect_drift(a, b)).first()
+    assert json.loads(drift.drift_report_json(drift.detect_drift(a, b)).first().value)["drifted_features"] == ["x"]
     assert row.any_drift and row.drifted_features == ["x"] and len(row.results) == 1 and row.results[0].feature == "x"
 
 

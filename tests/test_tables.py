@@ -189,6 +189,19 @@ def test_backfill_is_repeatable(spark):
     assert once.exceptAll(twice).isEmpty()
 
 
+def test_backfill_replaces_only_its_dates(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    src = spark.createDataFrame([("a", T0 + dt.timedelta(days=d), 1) for d in range(4)], "user_id string, ts timestamp, n int")
+
+    def daily(k):
+        return lambda d: d.groupBy("user_id", F.date_trunc("day", "ts").alias("event_time")).agg((F.sum("n") * k).alias("n"))
+
+    day = [F.lit(dt.datetime(2026, 4, 22 + d)) for d in range(5)]
+    tables.backfill_dates(daily(1), src, path, day[0], day[4], "ts")
+    tables.backfill_dates(daily(10), src, path, day[1], day[3], "ts")
+    assert [r.n for r in spark.read.parquet(path).orderBy("event_time").collect()] == [1, 10, 10, 1]
+
+
 def test_readers(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", "2026-01-01"), (2, "b", "2026-01-02")], "n int, s string, d string")
     for fmt in ("parquet", "json", "csv", "orc"):

@@ -15,13 +15,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PER_OCTAVE = 1024
-_SHIFT = 1100.0 * PER_OCTAVE  # above the logarithm of the smallest double
+_SHIFT = 1100.0  # above the negated logarithm of the smallest double
 _INFINITE = 1 << 40
 
 
-def value_bucket(value: Column | str) -> Column:
+def value_bucket(value: Column | str, per_octave: int = PER_OCTAVE) -> Column:
+    """``per_octave`` buckets between a number and its double."""
     x = (F.col(value) if isinstance(value, str) else value).cast("double")
     size = F.abs(x)
-    magnitude = F.floor(F.log2(size) * F.lit(float(PER_OCTAVE)) + F.lit(_SHIFT))
+    magnitude = F.floor((F.log2(size) + F.lit(_SHIFT)) * F.lit(float(per_octave)))
     magnitude = F.when(size == F.lit(float("inf")), F.lit(_INFINITE)).otherwise(magnitude)
     return F.when(x == 0, F.lit(0)).when(x > 0, magnitude).otherwise(-magnitude).cast("long")

@@ -190,3 +190,8 @@ def drift_report(results: DataFrame) -> DataFrame:
             "results"
         ),
     )
+
+
+def drift_report_json(results: DataFrame) -> DataFrame:
+    """The report as one row of JSON text; at most one entry per monitored column."""
+    return drift_report(results).select(F.to_json(F.struct("any_drift", "drifted_features", "results")).alias("value"))

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,26 +139,38 @@ def knn(
     return found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
 
 
+def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, ids, matrix) of an Arrow batch, without a Python object per component."""
+    lengths = pc.list_value_length(batch.column("vec"))
+    for dim in pc.unique(lengths).to_pylist():
+        part = batch.filter(pc.equal(lengths, dim))
+        flat = part.column("vec").flatten().to_numpy(zero_copy_only=False)
+        matrix = flat.astype(np.float64, copy=False).reshape(part.num_rows, dim)
+        yield dim, part.column("id").to_numpy(zero_copy_only=False), matrix
+
+
 def _knn_broadcast(batch: pa.Table, base: DataFrame, schema: T.StructType, k: int, metric: str, digits: int):
-    asked = batch.to_pandas()
-    by_dim = {dim: part for dim, part in asked.groupby(asked["vec"].map(len))}
-    packed = {dim: (part["id"].to_numpy(), _matrix(part["vec"])) for dim, part in by_dim.items()}
+    packed: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for part in batch.combine_chunks().to_batches():
+        packed |= {dim: (ids, matrix) for dim, ids, matrix in _by_length(part)}
     shared = base.sparkSession.sparkContext.broadcast(packed)
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, pd.DataFrame] = {}
-        for pdf in batches:
-            for dim, part in pdf.groupby(pdf["vec"].map(len)):
+        for batch in batches:
+            for dim, ids, vectors in _by_length(batch):
                 if dim not in shared.value:
                     continue
                 qids, matrix = shared.value[dim]
-                new = _best(qids, matrix, part["id"].to_numpy(), _matrix(part["vec"]), k, metric, digits)
-                both = pd.concat([best[dim], new]) if dim in best else new
-                both = both.sort_values(["query_id", "distance", "neighbor_id"])
-                best[dim] = both.groupby("query_id", sort=False).head(k)
-        yield from best.values()
-
-    return base.mapInPandas(scan, schema)
+                both = _best(qids, matrix, ids, vectors, k, metric, digits)
+                if dim in best:
+                    both = pd.concat([best[dim], both]).sort_values(["query_id", "distance", "neighbor_id"])
+                    both = both.groupby("query_id", sort=False).head(k)
+                best[dim] = both
+        for found in best.values():
+            yield pa.RecordBatch.from_pandas(found, preserve_index=False)
+
+    return base.mapInArrow(scan, schema)
 
 
 def _knn_blocks(

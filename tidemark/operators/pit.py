@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.timecols import duration_micros, micros
 from tidemark.model import FeatureView
-from tidemark.operators.skew import ROWS_PER_SLICE, SLICE, add_slices, carries, find_hot_keys
+from tidemark.operators.skew import AUTO, ROWS_PER_SLICE, SLICE, HotKeys, add_slices, carries, resolve_hot
 
 _T = "__t"
 _SIDE = "__side"
@@ -80,8 +80,13 @@ def multi_pit_join(
     strict: bool = False,
     how: str = "left",
     rows_per_slice: int = ROWS_PER_SLICE,
+    hot: HotKeys | None | str = AUTO,
 ) -> DataFrame:
-    """As-of join of several feature tables with the same entity in one shuffle."""
+    """As-of join of several feature tables with the same entity in one shuffle.
+
+    Looking for hot keys reads the key and time columns of every side once more.  Pass ``hot`` when
+    a feature table is not stored but costly to derive: None, or a list found elsewhere.
+    """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     k = [f"__k{i}" for i in range(len(keys))]
@@ -126,7 +131,9 @@ def multi_pit_join(
         )
         events = events.unionByName(rows)
 
-    hot = find_hot_keys(events.select(*k, _T), k, _T, rows_per_slice)
+    hot = resolve_hot(hot, events.select(*k, _T), k, _T, rows_per_slice)
+    if hot is not None:
+        hot = hot.renamed(k)
     sliced = add_slices(events, k, _T, hot)
     if hot is not None:
         n = range(len(sources))
@@ -255,6 +262,7 @@ def training_set(
     created: str | None = "ingestion_time",
     strict: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
+    hot: HotKeys | None | str = AUTO,
 ) -> DataFrame:
     """Labels with the features of several views as known at each label, named ``view__feature``.
 
@@ -282,5 +290,7 @@ def training_set(
         sources.append(
             AsOfSource(df, feature_ts, {n: f"{view.name}__{n}" for n in names}, view.ttl_seconds, tie)
         )
-    joined = multi_pit_join(labels, sources, keys, label_ts, strict, "left", rows_per_slice) if sources else labels
+    joined = labels
+    if sources:
+        joined = multi_pit_join(labels, sources, keys, label_ts, strict, "left", rows_per_slice, hot)
     return joined.drop(*exclude) if exclude else joined

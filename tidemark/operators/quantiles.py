@@ -209,11 +209,12 @@ def rank_sum_auc(df: DataFrame, score: str, positive: Column) -> DataFrame:
     """One row ``n_pos, n_neg, roc_auc``: pairs ordered rightly, ties counted one half.
 
     Equal scores are combined first, then ranked inside buckets with the buckets' offsets added.
+    All scores are read, so the buckets are finer than those of the two-pass functions.
     """
     counts = (
         df.select(F.col(score).cast("double").alias("__v"), positive.alias("__pos"))
         .where(_real("__v") & F.col("__pos").isNotNull())
-        .withColumn(_B, value_bucket("__v"))
+        .withColumn(_B, value_bucket("__v", per_octave=16384))
         .groupBy(_B, "__v")
         .agg(F.count_if(F.col("__pos")).alias("p"), F.count_if(~F.col("__pos")).alias("n"))
     )

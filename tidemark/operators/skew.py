@@ -36,6 +36,10 @@ class HotKeys:
     frame: DataFrame
     count: int
 
+    def renamed(self, keys: list[str]) -> HotKeys:
+        """The same list for tables that name the keys differently, in order."""
+        return HotKeys(self.frame.toDF(*keys, "lo", "width"), self.count)
+
 
 def find_hot_keys(
     df: DataFrame,
@@ -79,6 +83,16 @@ def find_hot_keys(
     return HotKeys(local_rows(stats, rows), rows.num_rows)
 
 
+AUTO = "auto"
+
+
+def resolve_hot(
+    hot: HotKeys | None | str, df: DataFrame, keys: list[str], t: str, rows_per_slice: int, min_width: int = 1
+) -> HotKeys | None:
+    """``AUTO`` looks for hot keys; a caller who knows them, or that there are none, says so."""
+    return find_hot_keys(df, keys, t, rows_per_slice, min_width) if hot == AUTO else hot
+
+
 def add_slices(df: DataFrame, keys: list[str], t: str, hot: HotKeys | None) -> DataFrame:
     """Add ``__slice`` (-1 for entities kept whole) with the slice's bounds in microseconds.
 

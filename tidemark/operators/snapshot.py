@@ -179,22 +179,35 @@ def delete_entities(
     return df.unionByName(marks)
 
 
-def backfill_range(
+def recomputed(
     compute: Callable[[DataFrame], DataFrame],
     source: DataFrame,
-    existing: DataFrame,
     start: Column,
     end: Column,
     source_time: str,
     event_time: str = "event_time",
     lookback: str | int = 0,
 ) -> DataFrame:
-    """``existing`` with the view recomputed for event times in ``[start, end)``.
+    """A view's rows with event times in ``[start, end)``.
 
     Only source rows that can matter are read: the range itself and ``lookback`` before it.
     """
     first = micros(start) - F.lit(duration_micros(lookback) if lookback else 0)
     needed = source.where((F.col(source_time) >= F.timestamp_micros(first)) & (F.col(source_time) < end))
-    fresh = compute(needed).where((F.col(event_time) >= start) & (F.col(event_time) < end))
+    return compute(needed).where((F.col(event_time) >= start) & (F.col(event_time) < end))
+
+
+def backfill_range(
+    compute: Callable[[DataFrame], DataFrame],
+    source: DataFrame,
+    existing: DataFrame,
+    start: Column,
+    end: Column,
+    source_time: str,
+    event_time: str = "event_time",
+    lookback: str | int = 0,
+) -> DataFrame:
+    """``existing`` with the view recomputed for event times in ``[start, end)``."""
+    fresh = recomputed(compute, source, start, end, source_time, event_time, lookback)
     outside = existing.where((F.col(event_time) < start) | (F.col(event_time) >= end))
     return outside.unionByName(fresh)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.timecols import naive_timestamps
+from tidemark.functions.timecols import micros, naive_timestamps
 from tidemark.model import Entity, Feature, FeatureView, ValueType
 from tidemark.operators.lifetime import user_lifetime_history
 from tidemark.operators.pit import pit_join as join_as_of
 from tidemark.operators.pit import pit_join_bucketed as join_as_of_bucketed
 from tidemark.operators.pit import training_set as build_training_set
+from tidemark.operators.skew import find_hot_keys
 from tidemark.plans.inputs import EV, LATE, events, interest, purchases, table, with_lateness
 
 _COLS = {"amount": "feature_amount", "product_id": "feature_product", "event_type": "feature_type"}
@@ -154,8 +155,11 @@ def training_set_lifetime(spark, sf):
         "l_shipdate",
         (F.col("l_returnflag") == "R").cast("int").alias("returned"),
     )
+    # The history is derived here, so hot customers are looked for in the labels instead.
+    keyed = labels.select("customer_id", micros("l_shipdate").alias("t"))
+    hot = find_hot_keys(keyed, ["customer_id"], "t")
     out = build_training_set(
-        labels, [(LIFETIME_VIEW, history)], ["customer_id"], "l_shipdate", created="o_orderkey"
+        labels, [(LIFETIME_VIEW, history)], ["customer_id"], "l_shipdate", created="o_orderkey", hot=hot
     )
     return naive_timestamps(out.withColumn("lifetime__total_spend", F.round("lifetime__total_spend", 2)))
 

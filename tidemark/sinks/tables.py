@@ -21,7 +21,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.model import FeatureView, check_schema, reject_rows
 from tidemark.operators.embeddings import embedding_document_id
-from tidemark.operators.snapshot import latest_per_entity, new_rows_only
+from tidemark.operators.snapshot import latest_per_entity, new_rows_only, recomputed
 
 POINTER = "current.json"
 
@@ -81,9 +81,10 @@ def upsert(old: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:
 
 def merge_into_catalog(df: DataFrame, table: str, keys: list[str]) -> None:
     """Upsert through ``MERGE``, for table formats that have it."""
+    target = table.rsplit(".", 1)[-1]
     match = F.lit(True)
     for k in keys:
-        match = match & (F.col(f"s.{k}") == F.col(f"{table}.{k}"))
+        match = match & (F.col(f"s.{k}") == F.col(f"{target}.{k}"))
     df.alias("s").mergeInto(table, match).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
@@ -169,12 +170,29 @@ def idempotent_append(
     else:
         fresh = latest_per_entity(dated, [*keys, event_time], event_time, created)
     counted, seen = _counted(fresh, "appended")
-    counted.repartition("event_date", F.pmod(F.xxhash64(*keys), F.lit(32))).write.mode("append").partitionBy(
-        "event_date"
-    ).parquet(history_path)
+    # Rebalancing splits large dates and joins small ones, so file sizes stay even.
+    counted.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(history_path)
     return int(seen.get["rows"])
 
 
+def backfill_dates(
+    compute: Callable[[DataFrame], DataFrame],
+    source: DataFrame,
+    history_path: str,
+    start: Column,
+    end: Column,
+    source_time: str,
+    event_time: str = "event_time",
+    lookback: str | int = 0,
+) -> None:
+    """Recompute a view for whole days ``[start, end)`` and replace just those date partitions."""
+    fresh = recomputed(compute, source, start, end, source_time, event_time, lookback)
+    dated = fresh.withColumn("event_date", F.to_date(event_time))
+    dated.hint("rebalance", "event_date").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("event_date").parquet(history_path)
+
+
 def ingest(
     df: DataFrame, view: FeatureView, history_path: str, online: VersionedTable, reject_path: str
 ) -> WriteResult:
