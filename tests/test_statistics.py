@@ -202,5 +202,5 @@ def test_constraint_check(spark):
 
 def test_auc_with_ties_and_one_class(spark):
     df = spark.createDataFrame([(0.1, 0), (0.4, 0), (0.4, 1), (0.8, 1), (None, 1)], "s double, y int")
-    assert quantiles.rank_sum_auc(df, "s", F.col("y") == 1).first().roc_auc == pytest.approx(3.5 / 4)
-    assert quantiles.rank_sum_auc(df.where("y = 1"), "s", F.col("y") == 1).first().roc_auc is None
+    assert quantiles.score_counts(df, "s", F.col("y") == 1, 0.5).first().roc_auc == pytest.approx(3.5 / 4)
+    assert quantiles.score_counts(df.where("y = 1"), "s", F.col("y") == 1, 0.5).first().roc_auc is None

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timecols import micros
-from tidemark.operators.skew import ROWS_PER_SLICE, SLICE, add_slices, carries, find_hot_keys
+from tidemark.operators.skew import ROWS_PER_SLICE, add_slices, carries, find_hot_keys, task_keys
 
 
 def user_lifetime(
@@ -93,7 +93,7 @@ def user_lifetime_history(
         )
         rows = rows.unionByName(carried.withColumn("__real", F.lit(0)), allowMissingColumns=True)
     w = (
-        Window.partitionBy(user, SLICE)
+        Window.partitionBy(*task_keys([user], hot))
         .orderBy("__real", "__t", order_id)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.quantiles import order_statistics, rank_sum_auc
+from tidemark.operators.quantiles import order_statistics, score_counts
 
 # Columns that are never features, and the models' settings.
 STANDARD_EXCLUDES = ("entity_id", "event_time", "ingestion_time", "_row_id")
@@ -131,25 +131,16 @@ def classification_metrics(df: DataFrame, label: str, score_col: str | Column, t
         F.col(label).cast("int").alias("y"),
         (F.col(score_col) if isinstance(score_col, str) else score_col).cast("double").alias("s"),
     ).where("y IS NOT NULL AND s IS NOT NULL")
-    hit = F.col("s") > threshold
-    pos = F.col("y") == 1
-    cells = scored.agg(
-        F.count_if(pos & hit).alias("tp"),
-        F.count_if(~pos & hit).alias("fp"),
-        F.count_if(pos & ~hit).alias("fn"),
-        F.count_if(~pos & ~hit).alias("tn"),
-    )
-    auc = rank_sum_auc(scored, "s", pos)
-    tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
+    cells = score_counts(scored, "s", F.col("y") == 1, threshold)
+    tp, fp = F.col("pos_above").cast("double"), F.col("neg_above").cast("double")
+    fn, tn = F.col("n_pos") - tp, F.col("n_neg") - fp
     n = tp + fp + fn + tn
 
     def f1(t: Column) -> Column:
         return F.when(2 * t + fp + fn > 0, 2 * t / (2 * t + fp + fn)).otherwise(0.0)
 
-    # Two tables of one row each.
-    both = cells.withColumn("__one", F.lit(1)).join(auc.withColumn("__one", F.lit(1)), "__one")
     safe = F.when(n > 0, n)
-    return both.select(
+    return cells.select(
         n.cast("long").alias("n_rows"),
         ((tp + tn) / safe).alias("accuracy"),
         (((tp + fn) * f1(tp) + (tn + fp) * f1(tn)) / safe).alias("f1_weighted"),

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.timecols import duration_micros, micros
 from tidemark.model import FeatureView
-from tidemark.operators.skew import AUTO, ROWS_PER_SLICE, SLICE, HotKeys, add_slices, carries, resolve_hot
+from tidemark.operators.skew import AUTO, ROWS_PER_SLICE, HotKeys, add_slices, carries, resolve_hot, task_keys
 
 _T = "__t"
 _SIDE = "__side"
@@ -144,7 +144,7 @@ def multi_pit_join(
         sliced = sliced.unionByName(carried, allowMissingColumns=True)
 
     w = (
-        Window.partitionBy(*k, SLICE)
+        Window.partitionBy(*task_keys(k, hot))
         .orderBy(F.col(_T).asc_nulls_first(), _SIDE)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

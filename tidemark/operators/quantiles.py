@@ -205,9 +205,10 @@ def two_sample_distance(long: DataFrame, groups: list[str], value: str, is_curre
     )
 
 
-def rank_sum_auc(df: DataFrame, score: str, positive: Column) -> DataFrame:
-    """One row ``n_pos, n_neg, roc_auc``: pairs ordered rightly, ties counted one half.
+def score_counts(df: DataFrame, score: str, positive: Column, threshold: float) -> DataFrame:
+    """One row about a scored set: ``n_pos, n_neg, pos_above, neg_above, roc_auc``.
 
+    The area is the share of (positive, negative) pairs in the right order, ties counted one half.
     Equal scores are combined first, then ranked inside buckets with the buckets' offsets added.
     All scores are read, so the buckets are finer than those of the two-pass functions.
     """
@@ -227,6 +228,13 @@ def rank_sum_auc(df: DataFrame, score: str, positive: Column) -> DataFrame:
     inner = F.coalesce(F.sum("n").over(_running([_B], "__v")), F.lit(0))
     ranked = counts.withColumn("inner", inner).join(offsets, F.col(_B) == F.col("__ob"))
     wins = F.col("p") * (F.col("below") + F.col("inner") + F.col("n") / F.lit(2.0))
-    sums = ranked.agg(F.sum("p").alias("n_pos"), F.sum("n").alias("n_neg"), F.sum(wins).alias("wins"))
+    above = F.col("__v") > threshold
+    sums = ranked.agg(
+        F.coalesce(F.sum("p"), F.lit(0)).alias("n_pos"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_neg"),
+        F.coalesce(F.sum(F.when(above, F.col("p"))), F.lit(0)).alias("pos_above"),
+        F.coalesce(F.sum(F.when(above, F.col("n"))), F.lit(0)).alias("neg_above"),
+        F.sum(wins).alias("wins"),
+    )
     pairs = F.col("n_pos").cast("double") * F.col("n_neg")
-    return sums.select("n_pos", "n_neg", F.when(pairs > 0, F.col("wins") / pairs).alias("roc_auc"))
+    return sums.withColumn("roc_auc", F.when(pairs > 0, F.col("wins") / pairs)).drop("wins")

@@ -20,6 +20,7 @@ from tidemark.operators.skew import (
     add_slices,
     carries,
     find_hot_keys,
+    task_keys,
 )
 
 _T = "__t"
@@ -56,7 +57,7 @@ def time_since_last_event(
     if hot is not None:
         carried = carries(rows, ["__k"], {_T: F.max(_T)}, {_T: F.max(_T)}).withColumn("__event", F.lit(0))
         rows = rows.unionByName(carried, allowMissingColumns=True)
-    w = Window.partitionBy("__k", SLICE).orderBy("__event", _T, "__tie")
+    w = Window.partitionBy(*task_keys(["__k"], hot)).orderBy("__event", _T, "__tie")
     prev = rows.select(_ROW, "__event", F.lag(_T).over(w).alias("__prev")).where("__event = 1")
     names = df.columns
     return prev.select(
@@ -118,13 +119,14 @@ def trailing_agg(
             SLICE, F.when(F.col("__own"), F.col(SLICE)).otherwise(F.col(SLICE) + 1)
         )
     rows = rows.drop(SLICE_START, SLICE_END)
+    parts = task_keys(["__k"], hot)
 
     distinct = [n for n, s in specs.items() if s.fn == "distinct"]
     if distinct:
         # One shuffle by (entity, slice) serves the per-value windows and the final scan alike.
-        rows = rows.repartition("__k", SLICE)
+        rows = rows.repartition(*parts)
         for n in distinct:
-            same = Window.partitionBy("__k", SLICE, f"__v_{n}").orderBy(_T)
+            same = Window.partitionBy(*parts, f"__v_{n}").orderBy(_T)
             rows = rows.withColumns({f"__p_{n}": F.lag(_T).over(same), f"__n_{n}": F.lead(_T).over(same)})
 
     marks: list[Column] = []
@@ -162,14 +164,13 @@ def trailing_agg(
         marks.append(mark(length))
     exploded = rows.withColumn("__m", F.explode(F.array(*marks)))
     flat = exploded.select(
-        "__k",
-        SLICE,
+        *parts,
         F.col("__m.at").alias("__at"),
         (F.col("__m.event") & F.col("__own")).alias("__emit"),
         F.when(F.col("__m.event") & F.col("__own"), F.col(_ROW)).alias(_ROW),
         *[F.col(f"__m.{c}").alias(c) for c in sums],
     )
-    frame = Window.partitionBy("__k", SLICE).orderBy("__at").rangeBetween(Window.unboundedPreceding, 0)
+    frame = Window.partitionBy(*parts).orderBy("__at").rangeBetween(Window.unboundedPreceding, 0)
     scanned = flat.select("__emit", _ROW, *[F.sum(c).over(frame).alias(c) for c in sums]).where("__emit")
     outputs = []
     for n, s in specs.items():
@@ -257,15 +258,16 @@ def gap_reset_counters(
         rows = rows.unionByName(seen.where(f"{_T} IS NOT NULL"), allowMissingColumns=True)
 
     # One shuffle; every window below is partitioned by (entity, slice) or finer.
-    rows = rows.repartition("__k", SLICE)
-    same = Window.partitionBy("__k", SLICE, "__p").orderBy("__kind", _T, "__tie")
+    parts = task_keys(["__k"], hot)
+    rows = rows.repartition(*parts)
+    same = Window.partitionBy(*parts, "__p").orderBy("__kind", _T, "__tie")
     rows = rows.withColumn("__seen", F.lag(_T).over(same)).where("__kind <> 1")
-    path = Window.partitionBy("__k", SLICE).orderBy("__kind", _T, "__tie")
+    path = Window.partitionBy(*parts).orderBy("__kind", _T, "__tie")
     rows = rows.withColumn("__prev", F.lag(_T).over(path)).where("__kind = 2")
-    rows = _with_islands(rows, gaps, sliced=hot is not None)
+    rows = _with_islands(rows, gaps, parts)
     # A product is new to an island when it was not seen since the island began.
     first = F.col("__p").isNotNull() & (F.col("__seen").isNull() | (F.col("__seen") < F.col("__i_l")))
-    parts = {
+    counted = {
         "s": {"n_s": F.lit(1)},
         "l": {
             "n_l": F.lit(1),
@@ -274,8 +276,8 @@ def gap_reset_counters(
             "value": F.coalesce("__amount", F.lit(0.0)),
         },
     }
-    for g, cols in parts.items():
-        island = Window.partitionBy("__k", SLICE, f"__i_{g}").orderBy(_T, "__tie")
+    for g, cols in counted.items():
+        island = Window.partitionBy(*parts, f"__i_{g}").orderBy(_T, "__tie")
         island = island.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         rows = rows.withColumns({f"__x_{n}": c for n, c in cols.items()})
         before = rows
@@ -300,16 +302,16 @@ def gap_reset_counters(
     )
 
 
-def _with_islands(rows: DataFrame, gaps: dict[str, int], sliced: bool) -> DataFrame:
+def _with_islands(rows: DataFrame, gaps: dict[str, int], parts: list[str]) -> DataFrame:
     """Add ``__i_<gap>``, the time of the row that opened the current island, from ``__prev``."""
     running = (
-        Window.partitionBy("__k", SLICE).orderBy(_T, "__tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*parts).orderBy(_T, "__tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     for g, length in gaps.items():
         restarts = F.col("__prev").isNull() | (F.col(_T) - F.col("__prev") > length)
         rows = rows.withColumn(f"__r_{g}", F.when(restarts, F.col(_T)))
     rows = rows.withColumns({f"__i_{g}": F.max(f"__r_{g}").over(running) for g in gaps})
-    if not sliced:
+    if SLICE not in parts:
         return rows
     latest = {f"__c_{g}": F.max(f"__r_{g}") for g in gaps}
     opened = carries(rows, ["__k"], latest, {f"__c_{g}": F.max(f"__c_{g}") for g in gaps})
@@ -357,9 +359,10 @@ def sessionize(
     if hot is not None:
         last = carries(rows, ["__k"], {_T: F.max(_T)}, {_T: F.max(_T)}).withColumn("__kind", F.lit(0))
         rows = rows.unionByName(last.where(f"{_T} IS NOT NULL"), allowMissingColumns=True)
-    path = Window.partitionBy("__k", SLICE).orderBy("__kind", _T)
+    parts = task_keys(["__k"], hot)
+    path = Window.partitionBy(*parts).orderBy("__kind", _T)
     rows = rows.withColumn("__prev", F.lag(_T).over(path)).where("__kind = 1")
-    rows = _with_islands(rows, {"s": duration_micros(gap)}, sliced=hot is not None)
+    rows = _with_islands(rows, {"s": duration_micros(gap)}, parts)
     return (
         rows.groupBy(F.col("__k").alias(entity), F.col("__i_s"))
         .agg(F.max(_T).alias("__last"), F.count(F.lit(1)).alias("n_events"))

@@ -124,6 +124,11 @@ def add_slices(df: DataFrame, keys: list[str], t: str, hot: HotKeys | None) -> D
     )
 
 
+def task_keys(keys: list[str], hot: HotKeys | None) -> list[str]:
+    """What ordered work is partitioned by: the entity, and its slice where there are hot ones."""
+    return [*keys, SLICE] if hot is not None else list(keys)
+
+
 def carries(
     sliced: DataFrame,
     keys: list[str],

@@ -187,7 +187,7 @@ def product_features(spark, sf):
 
 
 def embedding_upsert(spark, sf):
-    """Vectors as of version 1, upserted with doubled vectors for the lower labels."""
+    """Vectors as of version 1, upserted with doubled vectors for label 0."""
     vectors = table(spark, sf, "embeddings").select(
         F.lit("item").alias("entity_type"),
         F.col("vec_id").cast("string").alias("entity_id"),
@@ -195,8 +195,7 @@ def embedding_upsert(spark, sf):
         "embedding",
         "label",
     )
-    top = vectors.agg((F.max("label") / 2).alias("half"))
-    new = vectors.join(F.broadcast(top), F.col("label") < F.col("half")).select(
+    new = vectors.where("label = 0").select(
         "entity_type", "entity_id", "feature_name", F.transform("embedding", lambda x: x * 2).alias("embedding"), "label"
     )
     merged = upsert(vectors, new, ["entity_type", "entity_id", "feature_name"])
@@ -333,10 +332,9 @@ SELECT p_partkey AS product_id, CAST(coalesce(d7, 0) AS INTEGER) AS total_purcha
        round(r, 6) AS avg_rating, p_retailprice AS price_usd
 FROM part LEFT JOIN c ON l_partkey = p_partkey""",
     "embedding_upsert": """
-WITH h AS (SELECT max(label) / 2 AS half FROM embeddings),
-v AS (
+WITH v AS (
   SELECT 'item:' || vec_id || ':embedding_v1' AS doc_id, CAST(len(embedding) AS INTEGER) AS dim, label,
-         list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) * CASE WHEN label < half THEN 2 ELSE 1 END AS total
-  FROM embeddings, h)
+         list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) * CASE WHEN label = 0 THEN 2 ELSE 1 END AS total
+  FROM embeddings)
 SELECT doc_id, dim, round(total, 5) AS total, label FROM v""",
 }
