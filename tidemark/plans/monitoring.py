@@ -87,14 +87,14 @@ def drift_trend(spark, sf):
 
 def top_drifting_features(spark, sf):
     out = reports.top_drifting_features(drift_reports(spark, sf), utc(_AS_OF))
-    return out.withColumn("avg_psi", F.round("avg_psi", 8))
+    return out.withColumn("avg_psi", F.round("avg_psi", 12))
 
 
 def endpoint_performance(spark, sf):
     out = reports.endpoint_performance(inference_logs(spark, sf), utc(_AS_OF))
     return naive_timestamps(
         out.withColumns(
-            {"p99_latency_ms": F.round("p99_latency_ms", 5), "avg_prediction_score": F.round("avg_prediction_score", 8)}
+            {"p99_latency_ms": F.round("p99_latency_ms", 5), "avg_prediction_score": F.round("avg_prediction_score", 12)}
         )
     )
 
@@ -105,8 +105,8 @@ def drift_vs_performance(spark, sf):
         out.withColumns(
             {
                 "p99_latency_ms": F.round("p99_latency_ms", 5),
-                "avg_prediction_score": F.round("avg_prediction_score", 8),
-                "avg_psi": F.round("avg_psi", 8),
+                "avg_prediction_score": F.round("avg_prediction_score", 12),
+                "avg_psi": F.round("avg_psi", 12),
             }
         )
     )
@@ -217,7 +217,7 @@ _WEEK = "TIMESTAMP '2024-01-31' - INTERVAL 7 DAYS"
 _PERF = f"""perf AS (
   SELECT endpoint_name, date_trunc('hour', request_ts) AS hour, count(*) AS invocation_count,
          round(quantile_cont(latency_ms, 0.99), 5) AS p99_latency_ms,
-         round(avg(prediction_score), 8) AS avg_prediction_score
+         round(avg(prediction_score), 12) AS avg_prediction_score
   FROM logs WHERE request_ts > {_WEEK} GROUP BY 1, 2)"""
 
 ORACLE = {
@@ -247,14 +247,14 @@ FROM psi JOIN ks USING (feature)""",
 SELECT date_trunc('hour', monitoring_run_ts) AS hour, feature_name, psi, ks_stat
 FROM reports WHERE monitoring_run_ts > {_WEEK}""",
     "top_drifting_features": f"""WITH {REPORTS}
-SELECT feature_name, count(*) FILTER (drift_detected) AS drift_hours_last_24h, round(avg(psi), 8) AS avg_psi,
+SELECT feature_name, count(*) FILTER (drift_detected) AS drift_hours_last_24h, round(avg(psi), 12) AS avg_psi,
        max(psi) AS max_psi, min(ks_pvalue) AS min_ks_pvalue
 FROM reports WHERE monitoring_run_ts > TIMESTAMP '2024-01-31' - INTERVAL 24 HOURS
 GROUP BY feature_name HAVING count(*) FILTER (drift_detected) > 0""",
     "endpoint_performance": f"WITH {LOGS}, {_PERF} SELECT * FROM perf",
     "drift_vs_performance": f"""WITH {REPORTS}, {LOGS}, {_PERF},
 d AS (SELECT endpoint_name, date_trunc('hour', monitoring_run_ts) AS hour,
-             count(*) FILTER (drift_detected) AS drifted_features, round(avg(psi), 8) AS avg_psi
+             count(*) FILTER (drift_detected) AS drifted_features, round(avg(psi), 12) AS avg_psi
       FROM reports WHERE monitoring_run_ts > {_WEEK} GROUP BY 1, 2)
 SELECT endpoint_name, hour, drifted_features, avg_psi, invocation_count, p99_latency_ms, avg_prediction_score
 FROM d JOIN perf USING (endpoint_name, hour)""",
