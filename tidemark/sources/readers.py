@@ -132,7 +132,9 @@ def decode_events(
     """
     payload = F.expr(f"try_to_binary(cast({data} AS string), 'base64')") if base64 else F.col(data)
     text = F.try_validate_utf8(payload.cast("string"))
-    event = F.from_json(text, schema)
+    # As a generated column the event is parsed once: later filters on its fields would otherwise be
+    # pushed below the projection, each with its own parse.
+    event = F.explode(F.array(F.from_json(text, schema)))
     cols = [event.alias("event"), *([F.col(arrival)] if arrival else [])]
     return raw.select(*cols).withColumn("is_valid", F.coalesce(F.col(f"event.{required}").isNotNull(), F.lit(False)))
 
