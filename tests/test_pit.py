@@ -8,7 +8,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.model import Entity, Feature, FeatureView, ValueType
-from tidemark.operators.pit import pit_join, pit_join_bucketed, training_set
+from tidemark.functions.timecols import micros
+from tidemark.operators.pit import AsOfSource, multi_pit_join, pit_join, pit_join_bucketed, training_set
+from tidemark.operators.skew import find_hot_keys
 from tidemark.plans.asof import training_inputs
 from tidemark.plans.inputs import events, interest, purchases
 
@@ -115,6 +117,19 @@ def test_hot_user_slices_on_events(spark, sf):
         assert whole.exceptAll(other).isEmpty() and other.exceptAll(whole).isEmpty()
 
 
+def test_hot_list_from_other_data(spark, sf):
+    """A list whose times cover only the middle of the data slices it all the same."""
+    labels, feats = purchases(spark, sf), interest(spark, sf).withColumnRenamed("event_ts", "ft")
+    middle = labels.where("event_ts BETWEEN '2024-01-12' AND '2024-01-18'").select("user_id", micros("event_ts").alias("t"))
+    hot = find_hot_keys(middle, ["user_id"], "t", 2)
+    assert hot is not None and hot.count > 0
+    source = [AsOfSource(feats, "ft", {"amount": "x"}, "3 days")]
+    whole = multi_pit_join(labels, source, ["user_id"], "event_ts", hot=None)
+    sliced = multi_pit_join(labels, source, ["user_id"], "event_ts", hot=hot)
+    assert whole.exceptAll(sliced).isEmpty() and sliced.exceptAll(whole).isEmpty()
+    assert not sliced.where("x IS NOT NULL AND event_ts < '2024-01-10'").isEmpty()
+
+
 def test_training_set_selection(spark, sf):
     labels, views = training_inputs(spark, sf)
     out = training_set(labels, views, ["user_id"], "label_ts", ["interest:amount"], exclude=("user_id",))

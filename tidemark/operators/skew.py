@@ -114,7 +114,9 @@ def add_slices(df: DataFrame, keys: list[str], t: str, hot: HotKeys | None) -> D
     cond: Column = F.lit(True)
     for i, k in enumerate(keys):
         cond = cond & df[k].eqNullSafe(renamed[f"__hot_{i}"])
-    number = F.expr(f"({t} - __lo) div __width")
+    # The list may stem from other data: rows before its first time belong to the first slice.
+    number = F.greatest(F.expr(f"({t} - __lo) div __width"), F.lit(0).cast("long"))
+    number = F.when(F.col("__width").isNotNull() & F.col(t).isNotNull(), number)
     return (
         df.join(F.broadcast(renamed), cond, "left")
         .withColumn(SLICE, F.coalesce(number, F.lit(-1).cast("long")))
