@@ -2,16 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, simhash, suffix
+from tidemark.llm import ann, bpe, langid, mixing, quality, simhash, suffix, token_counts, topk, warc
+
+
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file lies on this machine; every machine of the cluster has it there."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest integer products of every 20th vector with all others."""
+    scaled = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("double"))
+    # floor() of what is not finite is a number: such components stay as they are, for the operator to refuse.
+    odd = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", F.when(~odd, scaled).alias("embedding"))
+    found = topk.top_products(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+    return found.withColumn("score", F.col("score").cast("long"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram tokens of every text, over the pieces of a public vocabulary."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, tokenizer_path("piece_bpe_32k.model"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked at two bits or fewer."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -24,6 +47,22 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digests(suffix.remove_repeats(docs, length=200))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages, learnt from three quarters of the documents."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False)).alias("held_out")
+    folded = docs.select("*", held_out)
+    model = langid.train(folded.where(~F.col("held_out")))
+    found = langid.identify(folded.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages through seekable bundles and back."""
+    back = warc.round_trip(_table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document; sources weigh 1, 2, 3, repeating."""
     mixed = mixing.mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -36,9 +75,65 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_suffix_dedup, op7_mixing)}
+def quality_fold() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learnt from two thirds of the labels."""
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(~quality_fold()))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id", quality_fold().alias("held_out"), F.col("quality_score").alias("score"), F.col("quality_label").alias("predicted")
+    )
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text and their decoding, as counts and digests."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode_decode(docs, tokenizer_path("word_bpe_49k.json"), digests_only=True)
+
+
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors found of every 100th vector."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(ann.build_index(vectors), vectors.where("vec_id % 100 = 0"), k=10)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_topk,
+        op2_token_counts,
+        op3_simhash,
+        op4_suffix_dedup,
+        op5_language,
+        op6_warc,
+        op7_mixing,
+        op8_quality,
+        op9_bpe,
+        op10_ann,
+    )
+}
 
 ORACLE = {
+    "op1_topk": """
+WITH v AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id
+), products AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(generate_series(1, len(q.e)), lambda i: q.e[i] * c.e[i])) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM products
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 20
+""",
     "op7_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
