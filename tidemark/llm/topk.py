@@ -22,9 +22,9 @@ def _square_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _pivots(rows: DataFrame, most: int, dimension: int) -> np.ndarray:
-    """Up to ``most`` vectors, by the hash of their ids; equal ones count once."""
+    """Up to ``most`` vectors, in the order of their ids' hashes; equal ones count once."""
     found = rows.orderBy(F.xxhash64("id"), "id").limit(most).select("v").collect()
-    return np.unique(np.array([r["v"] for r in found], dtype=np.float64).reshape(-1, dimension), axis=0)
+    return np.array(list(dict.fromkeys(tuple(r["v"]) for r in found)), dtype=np.float64).reshape(-1, dimension)
 
 
 def _assign(pivots: np.ndarray):
