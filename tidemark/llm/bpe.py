@@ -19,6 +19,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import schema_with
 from tidemark.llm.lexicon import Lexicon, compile_lexicon
 
 #: Words that a task remembers at a time.
@@ -212,7 +213,6 @@ def encode_decode(
         F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in names]).alias("row"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    kind = rows.schema["row"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _Encoder(tokenizer, SparkFiles.get(lexicon))
@@ -238,5 +238,5 @@ def encode_decode(
                     ]
                 yield pa.RecordBatch.from_arrays([part.column("row"), *columns], names=["row", *added])
 
-    result = rows.mapInArrow(encode, ", ".join([f"row {kind}", *(f"{n} {t}" for n, t in added.items())]))
+    result = rows.mapInArrow(encode, schema_with(rows, ["row"], ", ".join(f"{n} {t}" for n, t in added.items())))
     return result.select(*[F.col(f"row.`{c}`") for c in names], *added)

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: White space between words: blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -43,6 +44,11 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def schema_with(rows: DataFrame, kept: list[str], added: str) -> StructType:
+    """Schema of the columns ``kept`` of ``rows`` and those ``added`` (DDL)."""
+    return StructType([*(rows.schema[c] for c in kept), *StructType.fromDDL(added).fields])
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; null texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")

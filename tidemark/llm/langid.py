@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import schema_with
+
 #: Language codes by family.  A code that is not listed is a family of its own.
 FAMILIES = {
     "germanic": "af da de en fo fy is lb nb nl nn no sv yi",
@@ -196,7 +198,6 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
                     names=[*part.schema.names, "lang_pred", "lang_score"],
                 )
 
-    kind = rows.schema["row"].dataType.simpleString()
-    result = rows.mapInArrow(predict, f"row {kind}, text string, lang_pred string, lang_score double")
+    result = rows.mapInArrow(predict, schema_with(rows, ["row", "text"], "lang_pred string, lang_score double"))
     back: list[Column] = [F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in names]
     return result.select(*back, "lang_pred", "lang_score")

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import schema_with
+
 #: The mark at the start of a pre-token, and how far below the rarest piece an unknown letter scores.
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -107,6 +109,5 @@ def token_counts(docs: DataFrame, model_file: str, text_col: str = "text", score
                 [batch.column("row"), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=["row", "n_pretokens", "n_tokens"]
             )
 
-    kind = rows.schema["row"].dataType.simpleString()
-    result = rows.mapInArrow(count, f"row {kind}, n_pretokens long, n_tokens long")
+    result = rows.mapInArrow(count, schema_with(rows, ["row"], "n_pretokens long, n_tokens long"))
     return result.select(*[F.col(f"row.`{c}`") for c in names], "n_pretokens", "n_tokens")
