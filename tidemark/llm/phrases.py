@@ -40,8 +40,8 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def phrases(data: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Phrases of one text, some at a time: first window start, number of window starts, trigger hash.
+def phrases(data: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Phrases of one text, some at a time: first window start, number of window starts, place and hash of the trigger.
 
     A window is a string of ``length`` bytes.  Its trigger is the leftmost of its 64-byte strings whose rolling
     hash is smallest, so equal windows have equal triggers at equal offsets, and every window has one.  A
@@ -57,4 +57,5 @@ def phrases(data: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray,
         order = np.arange(len(hashed), dtype=np.uint64)
         chosen = sliding_minimum((hashed & ~_POSITION) | order, reach) & _POSITION
         cut = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
-        yield first + cut, np.diff(np.append(cut, count)), hashed[chosen[cut].astype(np.int64)]
+        trigger = chosen[cut].astype(np.int64)
+        yield first + cut, np.diff(np.append(cut, count)), first + trigger, hashed[trigger]

@@ -3,8 +3,9 @@
 Rolling-hash triggers cut every text into phrases (``phrases``).  The *parse* is the table of phrase occurrences, the
 *dictionary* the table of distinct phrases with their multiplicities.  Where all occurrences of a trigger lie in
 one and the same phrase, that phrase's suffixes are equal wherever it stands and the parse settles them; only
-suffixes of phrases that differ around a shared trigger are compared, as 128-bit names of their first ``length``
-bytes.  Names stand for ranks in suffix order: which suffixes agree on ``length`` bytes is all that removal asks, and
+suffixes of phrases that differ around a shared trigger are compared.  Neighbouring suffixes, counted from the
+trigger, share a core; a core that no other phrase has settles them, and the rest are compared one by one, as 128-bit
+names of their first ``length`` bytes.  Names stand for ranks in suffix order: which suffixes agree on ``length`` bytes is all that removal asks, and
 names can be summed map side, whereas a sorted run of equal suffixes would lie in one task.
 """
 
@@ -19,12 +20,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import release, written
+from tidemark.llm.common import release, schema_with, written
 from tidemark.llm.phrases import TRIGGER, phrases
 
-#: A run of window starts in one long: first start * 2^16 + number of starts - 1.
-PLACE = 16
-_FEW = (1 << PLACE) - 1
+#: A run of window starts in one long: first start * 2^32 + offset of the trigger * 2^16 + number of starts - 1.
+PLACE, _ANCHOR = 32, 16
+_FEW = (1 << _ANCHOR) - 1
+#: Suffixes with a common core.
+BLOCK = 16
 #: Rows that a task gathers before it hands them on.
 _ROWS = 100_000
 
@@ -53,14 +56,14 @@ def _parse(length: int):
             for data in batch.column(0):
                 data = data.as_py()
                 t, u = _key(data)
-                for starts, counts, triggers in phrases(data, length):
+                for starts, counts, places, triggers in phrases(data, length):
                     stops = (starts + counts + (length - 1)).tolist()
                     content = [name(data[a:b]) for a, b in zip(starts.tolist(), stops, strict=True)]
                     out["f"].append(triggers.view(np.int64))
                     out["c"].append(np.array(content, dtype=np.uint64).view(np.int64))
                     out["t"].append(np.full(len(starts), t))
                     out["u"].append(np.full(len(starts), u))
-                    out["p"].append((starts.astype(np.int64) << PLACE) + counts - 1)
+                    out["p"].append((starts << PLACE) + (places - starts << _ANCHOR) + counts - 1)
                     rows += len(starts)
                 if rows >= _ROWS:
                     yield _longs(out)
@@ -112,25 +115,52 @@ def _show(length: int):
     return show
 
 
+def _cores(length: int):
+    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The phrases' suffixes by blocks of distance to the trigger: (trigger, hash of the bytes that all suffixes of
+        the block have, phrase, number of the block, multiplicity)."""
+        name = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            out: dict[str, list] = {x: [] for x in ("f", "k", "c", "b", "n")}
+            f, c, n, p = (batch.column(x).to_pylist() for x in "fcnp")
+            for i, data in enumerate(batch.column("bytes").to_pylist()):
+                anchor = (p[i] >> _ANCHOR) & _FEW
+                blocks = range((anchor - (p[i] & _FEW)) // BLOCK, anchor // BLOCK + 1)
+                last = [anchor - b * BLOCK for b in blocks]
+                core = [name(data[max(0, s) : s - BLOCK + 1 + length], b) for s, b in zip(last, blocks, strict=True)]
+                out["k"].append(np.array(core, dtype=np.uint64).view(np.int64))
+                out["b"].append(np.array(blocks, dtype=np.int64))
+                for x, value in (("f", f[i]), ("c", c[i]), ("n", n[i])):
+                    out[x].append(np.full(len(core), value))
+            yield _longs(out)
+
+    return cores
+
+
 def _suffixes(length: int, placed: bool):
-    names = ("f", "w", "n", *(("t", "u", "p") if placed else ()))
+    names = ("f", "w", *(("c", "p") if placed else ("n",)))
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The phrases' suffixes by name (trigger, hash of ``length`` bytes); ``placed``: with their places."""
+        """The suffixes in the phrases' open blocks by name (trigger, hash of ``length`` bytes), with the multiplicity or
+        (``placed``) with phrase and place in it."""
         name = xxhash.xxh3_64_intdigest
         for batch in batches:
             out: dict[str, list] = {x: [] for x in names}
             rows = 0
+            f, c, n, p = (batch.column(x).to_pylist() for x in "fcnp")
+            opened = batch.column("open").to_pylist()
             for i, data in enumerate(batch.column("bytes").to_pylist()):
-                count = len(data) - length + 1
-                hashed = [name(data[s : s + length], 1) for s in range(count)]
+                anchor = (p[i] >> _ANCHOR) & _FEW
+                starts = [s for b in opened[i] for s in range(anchor - b * BLOCK - BLOCK + 1, anchor - b * BLOCK + 1)]
+                starts = [s for s in starts if 0 <= s <= p[i] & _FEW]
+                hashed = [name(data[s : s + length], 1) for s in starts]
                 out["w"].append(np.array(hashed, dtype=np.uint64).view(np.int64))
-                for x in ("f", "n", *(("t", "u") if placed else ())):
-                    out[x].append(np.full(count, batch.column(x)[i].as_py()))
+                for x, value in (("f", f[i]), ("c", c[i]), ("n", n[i])):
+                    if x in out:
+                        out[x].append(np.full(len(starts), value))
                 if placed:
-                    first = batch.column("p")[i].as_py() >> PLACE
-                    out["p"].append((first + np.arange(count)) << PLACE)
-                rows += count
+                    out["p"].append(np.array(starts, dtype=np.int64))
+                rows += len(starts)
                 if rows >= _ROWS:
                     yield _longs(out)
                     out, rows = {x: [] for x in names}, 0
@@ -168,18 +198,33 @@ def repeated_places(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     )
     dictionary = written(dictionary, "dictionary")
     release(spark)
+    cores = dictionary.mapInArrow(_cores(length), "f long, k long, c long, b long, n long")
+    shared = cores.groupBy("f", "k").agg(F.count("*").alias("phrases"), F.min("n").alias("least"))
+    shared = written(shared.where("phrases > 1 and least = 1").select("f", "k"), "cores")
+    opened = written(cores.join(shared, ["f", "k"]).groupBy("f", "c").agg(F.collect_list("b").alias("open")), "open-blocks")
+    release(spark)
+    dictionary = written(dictionary.join(opened, ["f", "c"]), "open-phrases")
+    release(spark)
     named = dictionary.mapInArrow(_suffixes(length, False), "f long, w long, n long")
     again = written(named.groupBy("f", "w").agg(F.sum("n").alias("n")).where("n > 1").select("f", "w"), "suffixes")
     release(spark)
-    alone = dictionary.where("n = 1").mapInArrow(_suffixes(length, True), "f long, w long, n long, t long, u long, p long")
-
+    alone = dictionary.where("n = 1").mapInArrow(_suffixes(length, True), "f long, w long, c long, p long")
+    # At most one start for each window of a phrase.
+    found = written(alone.join(again, ["f", "w"]).groupBy("f", "c").agg(F.collect_set("p").alias("starts")), "found")
+    release(spark)
+    first = F.shiftright("p", PLACE)
+    shown = (
+        dictionary.where("n = 1").select("f", "c", "t", "u", first.alias("first")).join(found, ["f", "c"])
+        .select("t", "u", F.explode("starts").alias("s"), "first")
+        .select("t", "u", F.shiftleft(F.col("first") + F.col("s"), PLACE).alias("p"))
+    )
     places = (
         parse.where("not differ")
         .select("t", "u", "p")
         .unionByName(
             parse.where("differ").join(counted.where("n > 1").select("f", "c"), ["f", "c"]).select("t", "u", "p")
         )
-        .unionByName(alone.join(again, ["f", "w"]).select("t", "u", "p"))
+        .unionByName(shown)
     )
     spans = written(places.groupBy("t", "u").agg(F.collect_set("p").alias("spans")), "spans")
     release(spark)
@@ -238,12 +283,11 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 200, k
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("bytes"),
     )
-    kind = rows.schema["row"].dataType.simpleString()
-    keyed = rows.mapInArrow(_keyed, f"row {kind}, t long, u long, packed binary")
+    keyed = rows.mapInArrow(_keyed, schema_with(rows, ["row"], "t long, u long, packed binary"))
     return (
         keyed.join(spans, ["t", "u"], "left")
         .select("row", "packed", "spans")
-        .mapInArrow(_cut(length), f"row {kind}, kept binary, removed array<struct<start: bigint, stop: bigint>>")
+        .mapInArrow(_cut(length), schema_with(rows, ["row"], "kept binary, removed array<struct<start: bigint, stop: bigint>>"))
         .select("row.*", "kept", "removed")
     )
 
@@ -258,3 +302,20 @@ def digests(cut: DataFrame) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+def without_repeats(docs: DataFrame, text_col: str = "text", length: int = 200) -> DataFrame:
+    """The rows and columns of ``docs`` with the bytes that stay as their text; texts that lose nothing, null ones included,
+    are as they were.  A cut may split a letter; what is left of it is no text and goes."""
+    rest = [c for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest], F.col(text_col).isNull().alias("no text")).alias("row"), F.col(text_col).alias("text"))
+    cut = remove_repeats(rows, "text", length)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = pa.array([x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), kept], names=["row", "text"])
+
+    new = cut.select("row", "kept").mapInArrow(decode, rows.schema)
+    text = F.when(~F.col("row.`no text`"), F.col("text")).alias(text_col)
+    return new.select(*[text if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
