@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PSI_EPSILON = 1e-6  # fixed value, added to each fraction
-EXACT_UP_TO = 10_000  # fixed value: the larger sample size up to which a p-value is exact
 
 
 def psi_term(base_fraction: Column, current_fraction: Column) -> Column:
@@ -46,14 +45,12 @@ def _exact_ks_pvalues(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
     return pd.Series([exact_ks_pvalue(*row) for row in zip(d, n, m)], dtype="float64")
 
 
-def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
-    """Exact for samples of up to 10 000, asymptotic beyond: one number per monitored column."""
-    small = F.greatest(n, m) <= EXACT_UP_TO
-    # The exact form runs on columns of small samples only; others hand it a trivial case.
-    exact = _exact_ks_pvalues(
-        F.when(small, d).otherwise(0.0), F.when(small, n).otherwise(1), F.when(small, m).otherwise(1)
-    )
-    return F.when(small, exact).otherwise(asymptotic_ks_pvalue(d, n, m))
+def ks_pvalue(d: Column, n: Column, m: Column, method: str = "asymptotic") -> Column:
+    """``asymptotic`` or ``exact``, for samples of any size: the caller says which.  The exact form takes a number
+    of steps that grows with the sample sizes, for each monitored column."""
+    if method not in ("asymptotic", "exact"):
+        raise ValueError(f"unknown p-value method {method!r}")
+    return _exact_ks_pvalues(d, n, m) if method == "exact" else asymptotic_ks_pvalue(d, n, m)
 
 
 def asymptotic_ks_pvalue(d: Column, n: Column, m: Column) -> Column:

@@ -117,15 +117,17 @@ def _psi(both: DataFrame, features: DataFrame, edges: DataFrame, bins: int, open
     )
 
 
-def ks(baseline: DataFrame, current: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """``feature, ks_stat, ks_pvalue``; (0, 1) when a side is empty."""
+def ks(
+    baseline: DataFrame, current: DataFrame, cols: list[str] | None = None, pvalue: str = "asymptotic"
+) -> DataFrame:
+    """``feature, ks_stat, ks_pvalue``; (0, 1) when a side is empty.  ``pvalue``: ``asymptotic`` or ``exact``."""
     cols = cols or shared_numeric_columns(baseline, current)
     distance = two_sample_distance(_both(baseline, current, cols), ["feature"], "value", "is_current")
-    return _ks(distance, _feature_list(baseline, cols))
+    return _ks(distance, _feature_list(baseline, cols), pvalue)
 
 
-def _ks(distance: DataFrame, features: DataFrame) -> DataFrame:
-    p = ks_pvalue(F.col("ks_stat"), F.col("n_base"), F.col("n_cur"))
+def _ks(distance: DataFrame, features: DataFrame, pvalue: str) -> DataFrame:
+    p = ks_pvalue(F.col("ks_stat"), F.col("n_base"), F.col("n_cur"), pvalue)
     return features.join(distance.withColumn("ks_pvalue", p), "feature", "left").select(
         "feature",
         F.coalesce("ks_stat", F.lit(0.0)).alias("ks_stat"),
@@ -141,6 +143,7 @@ def detect_drift(
     ks_pvalue_threshold: float = 0.01,
     bins: int = 10,
     open_ended: bool = False,
+    pvalue: str = "asymptotic",
 ) -> DataFrame:
     """``feature, psi, ks_stat, ks_pvalue, drift_detected, message`` per monitored column.
 
@@ -159,7 +162,7 @@ def detect_drift(
         .agg(F.max("n_base").alias("n_base"), F.max("n_cur").alias("n_cur"), F.max("d").alias("ks_stat"))
         .where("n_base > 0 AND n_cur > 0")
     )
-    joined = _psi(both, features, edges, bins, open_ended).join(_ks(distance, features), "feature")
+    joined = _psi(both, features, edges, bins, open_ended).join(_ks(distance, features, pvalue), "feature")
     # NaN compares greater than any number in Spark; a NaN index is not a breach.
     psi_breach = (F.col("psi") >= psi_threshold) & ~F.isnan("psi")
     ks_breach = F.col("ks_pvalue") < ks_pvalue_threshold

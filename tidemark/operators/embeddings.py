@@ -63,10 +63,12 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def _best(
-    qids: np.ndarray, queries: np.ndarray, ids: np.ndarray, base: np.ndarray, k: int, metric: str, digits: int
+    qids: np.ndarray, queries: np.ndarray, ids: np.ndarray, base: np.ndarray, k: int, metric: str, digits: int | None
 ) -> pd.DataFrame:
-    """The k nearest of one batch per query; equal rounded distances are ordered by id."""
-    d = np.round(_scores(queries, base, metric), digits)
+    """The k nearest of one batch per query, by full distances; equal ones are ordered by id."""
+    d = _scores(queries, base, metric)
+    if digits is not None:
+        d = np.round(d, digits)
     qi, bi, dist = [], [], []
     for q in range(len(qids)):
         usable = np.flatnonzero(~np.isnan(d[q]))
@@ -92,7 +94,7 @@ def knn(
     metric: str = "cosine",
     where: Column | None = None,
     min_score: float | None = None,
-    digits: int = 9,
+    digits: int | None = None,
     max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
     block_salts: int = 64,
 ) -> DataFrame:
@@ -101,7 +103,8 @@ def knn(
     ``metric`` is cosine (1 - cosine), l2 or ip (negated inner product); ``where`` filters the
     base *before* ranking; ``min_score`` keeps neighbours whose score (1 - cosine distance,
     inner product, or 1 / (1 + l2)) is at least that.  Vectors of another length than the query
-    are skipped.
+    are skipped, and so are queries without an id: nobody could be given the answer.  ``digits`` rounds distances before
+    they are ranked.
 
     A request batch is small and the base is large, so the counted queries travel to the base:
     every Arrow batch is scored by one matrix product and keeps k rows per query, and no
@@ -114,7 +117,7 @@ def knn(
     if where is not None:
         base = base.where(where)
     base = base.select(F.col(base_id).alias("id"), F.col(base_vec).alias("vec")).where("vec IS NOT NULL AND id IS NOT NULL")
-    asked = queries.select(F.col(query_id).alias("id"), F.col(query_vec).alias("vec")).where("vec IS NOT NULL")
+    asked = queries.select(F.col(query_id).alias("id"), F.col(query_vec).alias("vec")).where("vec IS NOT NULL AND id IS NOT NULL")
     schema = T.StructType(
         [
             T.StructField("query_id", queries.schema[query_id].dataType),
@@ -149,7 +152,7 @@ def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndar
         yield dim, part.column("id").to_numpy(zero_copy_only=False), matrix
 
 
-def _knn_broadcast(batch: pa.Table, base: DataFrame, schema: T.StructType, k: int, metric: str, digits: int):
+def _knn_broadcast(batch: pa.Table, base: DataFrame, schema: T.StructType, k: int, metric: str, digits: int | None):
     packed: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for part in batch.combine_chunks().to_batches():
         packed |= {dim: (ids, matrix) for dim, ids, matrix in _by_length(part)}
@@ -174,7 +177,7 @@ def _knn_broadcast(batch: pa.Table, base: DataFrame, schema: T.StructType, k: in
 
 
 def _knn_blocks(
-    asked: DataFrame, base: DataFrame, schema: T.StructType, k: int, metric: str, digits: int, salts: int
+    asked: DataFrame, base: DataFrame, schema: T.StructType, k: int, metric: str, digits: int | None, salts: int
 ) -> DataFrame:
     def blocks(df: DataFrame) -> DataFrame:
         """One row per Arrow batch and vector length, ids and vectors side by side."""

@@ -25,6 +25,8 @@ from tidemark.operators.skew import (
 
 _T = "__t"
 _ROW = "__row"
+#: Sums below 1e20 with nine decimals are exact.
+_EXACT = "decimal(38,9)"
 
 
 def _packed(df: DataFrame, entity: str, ts: str, extra: dict[str, Column]) -> DataFrame:
@@ -152,10 +154,13 @@ def trailing_agg(
                 up = v.isNotNull() & (F.isnan(v) | (v == inf))
                 down = v.isNotNull() & (F.isnan(v) | (v == -inf))
                 finite = F.when(v.isNotNull() & ~up & ~down, v * sign).otherwise(0.0)
-                fields.append((finite if mine else F.lit(0.0)).alias(f"s_{n}"))
+                # What is added and taken back must cancel: decimals do; the double holds what they cannot.
+                exact = F.when(F.abs(finite) < 1e20, finite).otherwise(0.0).cast(_EXACT)
+                fields.append((exact if mine else F.lit(0).cast(_EXACT)).alias(f"e_{n}"))
+                fields.append((finite - exact.cast("double") if mine else F.lit(0.0)).alias(f"s_{n}"))
                 fields.append((F.when(up, sign).otherwise(0) if mine else F.lit(0)).cast("long").alias(f"u_{n}"))
                 fields.append((F.when(down, sign).otherwise(0) if mine else F.lit(0)).cast("long").alias(f"d_{n}"))
-                sums.update({f"s_{n}": "double", f"u_{n}": "long", f"d_{n}": "long"})
+                sums.update({f"e_{n}": _EXACT, f"s_{n}": "double", f"u_{n}": "long", f"d_{n}": "long"})
         at = F.col(_T) if length is None else F.col(_T) + F.lit(length + 1)
         return F.struct(at.alias("at"), F.lit(length is None).alias("event"), *fields)
 
@@ -182,7 +187,7 @@ def trailing_agg(
             F.when((F.col(f"u_{n}") > 0) & (F.col(f"d_{n}") > 0), F.lit(float("nan")))
             .when(F.col(f"u_{n}") > 0, F.lit(float("inf")))
             .when(F.col(f"d_{n}") > 0, F.lit(float("-inf")))
-            .otherwise(F.col(f"s_{n}"))
+            .otherwise(F.col(f"e_{n}").cast("double") + F.col(f"s_{n}"))
         )
         outputs.append(F.when(count > 0, total if s.fn == "sum" else total / count).alias(n))
     return scanned.select(*[F.col(f"{_ROW}.{c}").alias(c) for c in df.columns], *outputs)

@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.bounded import local_rows
 
 ROWS_PER_SLICE = 4_000_000
-MIN_ROW_BYTES = 16
-MAX_HOT_KEYS = 100_000
 
 SLICE = "__slice"
 SLICE_START = "__slice_start"
@@ -31,14 +29,14 @@ SLICE_END = "__slice_end"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Sliced entities: one row ``(keys..., lo, width)`` each, at most ``MAX_HOT_KEYS`` of them."""
+    """Sliced entities: one row ``(keys..., cuts)`` each; ``cuts`` are the first times of its slices, ascending."""
 
     frame: DataFrame
     count: int
 
     def renamed(self, keys: list[str]) -> HotKeys:
         """The same list for tables that name the keys differently, in order."""
-        return HotKeys(self.frame.toDF(*keys, "lo", "width"), self.count)
+        return HotKeys(self.frame.toDF(*keys, "cuts"), self.count)
 
 
 def find_hot_keys(
@@ -48,39 +46,50 @@ def find_hot_keys(
     rows_per_slice: int = ROWS_PER_SLICE,
     min_width: int = 1,
 ) -> HotKeys | None:
-    """Entities with more than ``rows_per_slice`` rows, and how wide their time slices are.
+    """Entities with more than ``rows_per_slice`` rows, cut at times that leave about so many rows between them.
 
-    Inputs that the optimizer's size estimate puts below ``rows_per_slice`` small rows are not
-    looked at: one task can hold any of their entities.
-
-    One column-pruned count per key (map-side combined).  At most ``MAX_HOT_KEYS`` rows reach the
-    driver: of N rows no key beyond the largest 100 000 can own more than N / 100 000, and such
-    keys are processed whole.
+    One column-pruned count per key finds them, map-side combined; a second pass over their rows alone finds the
+    cuts as approximate quantiles of time, whose error is a tenth of a slice.  A stray early time or a burst
+    moves cuts, not rows into one slice.  Cuts are at least ``min_width`` apart, and rows of one instant stay
+    together.  Of N rows fewer than N / ``rows_per_slice`` keys are hot and they have fewer than twice as many
+    cuts, which bounds what reaches the driver and is broadcast; no key is left out.
     """
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if estimate < rows_per_slice * MIN_ROW_BYTES:
-        return None
-    stats = (
+    counted = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi"))
         .where((F.col("n") > rows_per_slice) & (F.col("hi") > F.col("lo")))
-        .withColumn("pieces", F.ceil(F.col("n") / F.lit(rows_per_slice)))
-        .select(
-            *keys,
-            "lo",
-            F.greatest(F.ceil((F.col("hi") - F.col("lo") + 1) / F.col("pieces")).cast("long"), F.lit(min_width)).alias(
-                "width"
-            ),
-            "n",
-        )
-        .orderBy(F.desc("n"))
-        .limit(MAX_HOT_KEYS)
-        .drop("n")
     )
-    rows = stats.toArrow()
+    rows = counted.toArrow()
     if rows.num_rows == 0:
         return None
-    return HotKeys(local_rows(stats, rows), rows.num_rows)
+    grid = 4 * -(-max(rows.column("n").to_pylist()) // rows_per_slice)
+    hot = local_rows(counted, rows).select(*[F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)])
+    same: Column = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & df[k].eqNullSafe(hot[f"__hot_{i}"])
+    quantiles = (
+        df.join(F.broadcast(hot), same, "left_semi")
+        .groupBy(*keys)
+        .agg(
+            F.percentile_approx(t, [i / grid for i in range(grid)], 10 * grid).alias("grid"),
+            F.min(t).alias("lo"),
+            F.count(F.lit(1)).alias("n"),
+        )
+    )
+    # Every key takes from the common grid the points nearest to its own slices.
+    pieces = F.ceil(F.col("n") / F.lit(rows_per_slice)).cast("int")
+    taken = F.transform(
+        F.sequence(F.lit(1), pieces - 1),
+        lambda i: F.element_at("grid", F.round(i * F.lit(grid) / pieces).cast("int") + 1).cast("long"),
+    )
+    spaced = F.aggregate(
+        taken,
+        F.array(F.col("lo").cast("long")),
+        lambda kept, cut: F.when(cut >= F.element_at(kept, -1) + min_width, F.concat(kept, F.array(cut))).otherwise(kept),
+    )
+    cuts = quantiles.select(*keys, spaced.alias("cuts"))
+    rows = cuts.toArrow()
+    return HotKeys(local_rows(cuts, rows), rows.num_rows)
 
 
 AUTO = "auto"
@@ -94,9 +103,10 @@ def resolve_hot(
 
 
 def add_slices(df: DataFrame, keys: list[str], t: str, hot: HotKeys | None) -> DataFrame:
-    """Add ``__slice`` (-1 for entities kept whole) with the slice's bounds in microseconds.
+    """Add ``__slice`` (-1 for entities kept whole) with the slice's bounds in microseconds; the first
+    slice has all earlier times, the last has no end.
 
-    The broadcast side is the counted list above, never more than ``MAX_HOT_KEYS`` rows.
+    The broadcast side is the list above, whose size is bounded by the row count.
     """
     if hot is None:
         return df.withColumns(
@@ -107,22 +117,21 @@ def add_slices(df: DataFrame, keys: list[str], t: str, hot: HotKeys | None) -> D
             }
         )
     renamed = hot.frame.select(
-        *[F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)],
-        F.col("lo").alias("__lo"),
-        F.col("width").alias("__width"),
+        *[F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)], F.col("cuts").alias("__cuts")
     )
     cond: Column = F.lit(True)
     for i, k in enumerate(keys):
         cond = cond & df[k].eqNullSafe(renamed[f"__hot_{i}"])
     # The list may stem from other data: rows before its first time belong to the first slice.
-    number = F.greatest(F.expr(f"({t} - __lo) div __width"), F.lit(0).cast("long"))
-    number = F.when(F.col("__width").isNotNull() & F.col(t).isNotNull(), number)
+    reached = F.size(F.filter("__cuts", lambda cut: cut <= F.col(t))).cast("long") - 1
+    number = F.when(F.col("__cuts").isNotNull() & F.col(t).isNotNull(), F.greatest(reached, F.lit(0).cast("long")))
+    bound = lambda i: F.try_element_at("__cuts", (F.col(SLICE) + i).cast("int"))
     return (
         df.join(F.broadcast(renamed), cond, "left")
         .withColumn(SLICE, F.coalesce(number, F.lit(-1).cast("long")))
-        .withColumn(SLICE_START, F.when(F.col(SLICE) >= 0, F.col("__lo") + F.col(SLICE) * F.col("__width")))
-        .withColumn(SLICE_END, F.col(SLICE_START) + F.col("__width"))
-        .drop("__lo", "__width", *[f"__hot_{i}" for i in range(len(keys))])
+        .withColumn(SLICE_START, F.when(F.col(SLICE) >= 0, bound(1)))
+        .withColumn(SLICE_END, F.when(F.col(SLICE) >= 0, bound(2)))
+        .drop("__cuts", *[f"__hot_{i}" for i in range(len(keys))])
     )
 
 

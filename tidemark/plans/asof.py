@@ -27,6 +27,13 @@ def pit_join(spark, sf):
     return naive_timestamps(out)
 
 
+def pit_join_sliced(spark, sf):
+    """As ``pit_join``, with every busy user cut into slices of a few rows."""
+    sides = purchases(spark, sf), _features(spark, sf)
+    keys = (["user_id"], "event_ts", "feature_ts", "6 hours", _COLS)
+    return naive_timestamps(join_as_of(*sides, *keys, match_ts="feature_ts", rows_per_slice=20))
+
+
 def pit_join_bucketed(spark, sf):
     out = join_as_of_bucketed(
         purchases(spark, sf), _features(spark, sf), ["user_id"], "event_ts", "feature_ts", "6 hours", _COLS, match_ts="feature_ts"
@@ -127,6 +134,15 @@ def training_set(spark, sf):
     return build_training_set(labels, views, ["user_id"], "label_ts", select, exclude=("user_id", "label_ts"))
 
 
+def training_set_sliced(spark, sf):
+    """As ``training_set``, with every busy user cut into slices of a few rows."""
+    labels, views = training_inputs(spark, sf)
+    select = ["interest:amount", "interest:product_id", "trouble:amount", "trouble:event_type"]
+    return build_training_set(
+        labels, views, ["user_id"], "label_ts", select, exclude=("user_id", "label_ts"), rows_per_slice=20
+    )
+
+
 LIFETIME_VIEW = FeatureView(
     "lifetime",
     (Entity("customer", ("customer_id",), ValueType.INT64),),
@@ -168,12 +184,14 @@ QUERIES = {
     f.__name__: f
     for f in (
         pit_join,
+        pit_join_sliced,
         pit_join_bucketed,
         pit_join_inner,
         pit_join_ties,
         pit_join_bitemporal,
         pit_join_tombstone,
         training_set,
+        training_set_sliced,
         training_set_lifetime,
     )
 }
@@ -266,3 +284,4 @@ SELECT l_orderkey, l_linenumber, l_partkey, customer_id, l_shipdate, returned,
        CASE WHEN ok THEN CAST(products AS INTEGER) END AS lifetime__distinct_products_purchased
 FROM m""",
 }
+ORACLE |= {f"{name}_sliced": ORACLE[name] for name in ("pit_join", "training_set")}

@@ -67,18 +67,13 @@ def psi(spark, sf):
 
 def ks_statistic(spark, sf):
     base, current = _sides(spark, sf)
-    return drift.ks(base, current, _COLS).select("feature", F.round("ks_stat", 6).alias("ks_stat"))
+    return drift.ks(base, current, _COLS).withColumns({c: F.round(c, 6) for c in ("ks_stat", "ks_pvalue")})
 
 
 def detect_drift(spark, sf):
     base, current = _sides(spark, sf)
     out = drift.detect_drift(base, current, _COLS, psi_threshold=0.1)
-    return out.select(
-        "feature",
-        F.round("psi", 6).alias("psi"),
-        F.round("ks_stat", 6).alias("ks_stat"),
-        (F.col("psi") >= 0.1).alias("psi_breach"),
-    )
+    return out.withColumns({c: F.round(c, 6) for c in ("psi", "ks_stat", "ks_pvalue")})
 
 
 def drift_trend(spark, sf):
@@ -212,7 +207,14 @@ _KS = """ecdf AS (
   SELECT feature, abs(sum(CAST(base AS INTEGER)) OVER u / sum(CAST(base AS INTEGER)) OVER a
                       - sum(CAST(NOT base AS INTEGER)) OVER u / sum(CAST(NOT base AS INTEGER)) OVER a) AS d
   FROM long WINDOW u AS (PARTITION BY feature ORDER BY value), a AS (PARTITION BY feature)),
-ks AS (SELECT feature, max(d) AS ks_stat FROM ecdf GROUP BY feature)"""
+ks0 AS (SELECT feature, max(d) AS ks_stat FROM ecdf GROUP BY feature),
+ks1 AS (SELECT feature, ks_stat, sqrt(n * m / (n + m)) AS root FROM ks0 JOIN (
+  SELECT feature, CAST(count(*) FILTER (base) AS DOUBLE) AS n, CAST(count(*) FILTER (NOT base) AS DOUBLE) AS m
+  FROM long WHERE value IS NOT NULL GROUP BY feature) USING (feature)),
+ks2 AS (SELECT feature, ks_stat, (root + 0.12 + 0.11 / root) * ks_stat AS x FROM ks1),
+ks AS (SELECT feature, ks_stat, CASE WHEN x < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, (
+  SELECT sum(CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * k * k * x * x)) FROM range(1, 101) t(k)))) END AS ks_pvalue
+  FROM ks2)"""
 _WEEK = "TIMESTAMP '2024-01-31' - INTERVAL 7 DAYS"
 _PERF = f"""perf AS (
   SELECT endpoint_name, date_trunc('hour', request_ts) AS hour, count(*) AS invocation_count,
@@ -239,9 +241,12 @@ SELECT 'l_extendedprice' AS feature_name, 'completeness_check' AS constraint_che
        printf('completeness %.4f is below %.4f', share, 0.95::DOUBLE) AS description FROM n WHERE share < 0.95
 UNION ALL SELECT 'l_tax', 'non_negative_check', printf('%d negative values', neg) FROM n WHERE neg > 0""",
     "psi": f"WITH {_TWO}, {_PSI} SELECT feature, round(psi, 6) AS psi FROM psi",
-    "ks_statistic": f"WITH {_TWO}, {_KS} SELECT feature, round(ks_stat, 6) AS ks_stat FROM ks",
+    "ks_statistic": f"WITH {_TWO}, {_KS} SELECT feature, round(ks_stat, 6) AS ks_stat, round(ks_pvalue, 6) AS ks_pvalue FROM ks",
     "detect_drift": f"""WITH {_TWO}, {_PSI}, {_KS}
-SELECT feature, round(psi, 6) AS psi, round(ks_stat, 6) AS ks_stat, psi >= 0.1 AS psi_breach
+SELECT feature, round(psi, 6) AS psi, round(ks_stat, 6) AS ks_stat, round(ks_pvalue, 6) AS ks_pvalue,
+       psi >= 0.1 OR ks_pvalue < 0.01 AS drift_detected,
+       concat_ws('; ', CASE WHEN psi >= 0.1 THEN printf('PSI=%.3f >= 0.1', psi) END,
+                 CASE WHEN ks_pvalue < 0.01 THEN printf('KS p-value=%.4f < 0.01', ks_pvalue) END) AS message
 FROM psi JOIN ks USING (feature)""",
     "drift_trend": f"""WITH {REPORTS}
 SELECT date_trunc('hour', monitoring_run_ts) AS hour, feature_name, psi, ks_stat

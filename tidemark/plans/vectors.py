@@ -53,7 +53,7 @@ def embedding_dim_filter(spark, sf):
 
 def _knn(spark, sf, metric, **options):
     out = emb.knn(
-        centroids(spark, sf), _vectors(spark, sf), "query_id", "query", "vec_id", "embedding", 10, metric, **options
+        centroids(spark, sf), _vectors(spark, sf), "query_id", "query", "vec_id", "embedding", 10, metric, digits=9, **options
     )
     return out.withColumn("distance", F.round("distance", 6))
 

@@ -70,8 +70,32 @@ def user_recency_trailing(spark, sf):
     return _r(recency.user_recency_trailing(events(spark, sf)), avg_order_value_last_1h=6)
 
 
+#: A few rows a slice, so that the plan for busy entities runs on small tables.
+_SLICED = 40
+
+
+def user_recency_trailing_sliced(spark, sf):
+    """As ``user_recency_trailing``, with every user cut into slices."""
+    out = recency.user_recency_trailing(events(spark, sf), rows_per_slice=_SLICED)
+    return _r(out, avg_order_value_last_1h=6)
+
+
+def gap_reset_counters_sliced(spark, sf):
+    """As ``gap_reset_counters``, with every user cut into slices."""
+    return _gap_counters(spark, sf, rows_per_slice=_SLICED)
+
+
+def sessionize_sliced(spark, sf):
+    """As ``sessionize``, with every user cut into slices."""
+    return naive_timestamps(recency.sessionize(events(spark, sf), "user_id", "event_ts", "1 hour", rows_per_slice=_SLICED))
+
+
 def gap_reset_counters(spark, sf):
-    out = recency.gap_reset_counters(events(spark, sf), "user_id", "event_ts", tiebreak="event_id")
+    return _gap_counters(spark, sf)
+
+
+def _gap_counters(spark, sf, **options):
+    out = recency.gap_reset_counters(events(spark, sf), "user_id", "event_ts", tiebreak="event_id", **options)
     return _r(out, order_value_last_1h=4, avg_order_value_last_1h=6)
 
 
@@ -94,8 +118,11 @@ QUERIES = {
         user_recency_sliding,
         time_since_last_event,
         user_recency_trailing,
+        user_recency_trailing_sliced,
         gap_reset_counters,
+        gap_reset_counters_sliced,
         sessionize,
+        sessionize_sliced,
     )
 }
 
@@ -185,3 +212,4 @@ i AS (
 SELECT user_id, min(event_ts) AS session_start, max(event_ts) AS session_last, count(*) AS n_events
 FROM i GROUP BY user_id, island""",
 }
+ORACLE |= {f"{name}_sliced": ORACLE[name] for name in ("user_recency_trailing", "gap_reset_counters", "sessionize")}

@@ -33,10 +33,14 @@ def build_session(master: str | None = None, app_name: str = "tidemark", **conf:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder, or a scratch one where none is named (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder: the context's own, else ``spark.checkpoint.dir``.  Only a local session, whose
+    executors are the driver, may fall back on a scratch folder."""
+    context = spark.sparkContext
+    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named

@@ -73,10 +73,24 @@ class VersionedTable:
 
 
 def upsert(old: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``new`` replace those of ``old`` with the same key."""
+    """Rows of ``new`` replace those of ``old`` with the same key; null keys are equal to each other."""
     if old is None:
         return new
-    return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new, allowMissingColumns=True)
+    named = new.select(*[F.col(k).alias(f"__new_{i}") for i, k in enumerate(keys)]).distinct()
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & old[k].eqNullSafe(named[f"__new_{i}"])
+    return old.join(named, same, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows that share a key the latest by ``event_time``, then ``ingestion_time``, where the table has these; else any."""
+    order = [c for c in ("event_time", "ingestion_time") if c in df.columns]
+    rest = [c for c in df.columns if c not in keys]
+    if not order or not rest:
+        return df.dropDuplicates(keys)
+    latest = F.max_by(F.struct(*rest), F.struct(*order)).alias("__latest")
+    return df.groupBy(*keys).agg(latest).select(*[F.col(c) if c in keys else F.col(f"__latest.{c}") for c in df.columns])
 
 
 def merge_into_catalog(df: DataFrame, table: str, keys: list[str]) -> None:
@@ -97,13 +111,14 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 def write_features(
     df: DataFrame, table: VersionedTable, mode: str = "merge", view: FeatureView | None = None
 ) -> WriteResult:
-    """Write a feature DataFrame: ``merge`` (upsert by key, default), ``overwrite`` or ``append``."""
+    """Write a feature DataFrame: ``merge`` (upsert by key, default), ``overwrite`` or ``append``.  A merge takes one row a
+    key, the latest of the batch."""
     if mode not in ("merge", "overwrite", "append"):
         raise ValueError(f"unknown write mode {mode!r}")
     if view is not None:
         check_schema(df, view)
     start = time.monotonic()
-    counted, seen = _counted(df, "features")
+    counted, seen = _counted(one_per_key(df, table.keys) if mode == "merge" else df, "features")
     old = None if mode == "overwrite" else table.read()
     if old is None:
         table.publish(counted)
@@ -212,7 +227,8 @@ def ingest(
         n_new = idempotent_append(good, history_path, view.keys)
         reasons: list[str] = []
         if n_bad:
-            per_reason = bad.groupBy("reject_reason").count().orderBy(F.desc("count")).limit(20).collect()
+            # One row a reason, of which a view has a few for each of its columns.
+            per_reason = bad.groupBy("reject_reason").count().orderBy(F.desc("count"), "reject_reason").collect()
             reasons = [f"{r['reject_reason']}: {r['count']}" for r in per_reason]
         if view.online:
             old = online.read()
