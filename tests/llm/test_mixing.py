@@ -93,3 +93,11 @@ def test_reruns_agree_and_empty(docs_of):
     assert mix_sources(docs).collect() == mix_sources(docs.repartition(7)).collect()
     assert mix_sources(docs_of([])).count() == 0
     assert mix_sources(docs_of([(1, None), (2, "")])).select("mix_taken", "mix_positions").collect() == [(0, []), (0, [])]
+
+
+def test_copies(docs_of):
+    docs = docs_of([(i, "w " * (i % 7 + 1), "en", "ab"[i % 2]) for i in range(200)])
+    rows = {r.doc_id: r.mix_positions for r in mix_sources(docs, whole=True).collect()}
+    copies = mix_sources(docs, whole=True, copies=True).select("doc_id", "mix_position").collect()
+    assert sorted((i, p) for i, ps in rows.items() for p in ps) == sorted(tuple(r) for r in copies)
+    assert [r.mix_position for r in copies] == sorted(r.mix_position for r in copies)

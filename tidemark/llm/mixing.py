@@ -77,6 +77,7 @@ def mix_sources(
     schedules: Sequence[Schedule] = SCHEDULES,
     epochs: int = 3,
     whole: bool = False,
+    copies: bool = False,
 ) -> DataFrame:
     """The rows of ``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target``, ``mix_taken`` (long) and
     ``mix_positions`` (array of double), in the order of the first position.
@@ -85,7 +86,8 @@ def mix_sources(
     the document whose words reach the target is cut there, or, with ``whole``, taken if at least half of it lies
     before.  Copy e of a document starts at ``offset + e * source_size`` words of its source; its position is the
     training time at which the source's scheduled demand gets there.  Rows that are not taken have no positions and
-    come last.
+    come last.  With ``copies`` the result has a row for each copy that is taken, in the order of ``mix_position``, in
+    place of ``mix_positions``.
 
     ``size`` counts words of ``text`` unless given; null texts have size 0.  Sources are ordered by code point, null
     last; ids may be null and rows repeat (each row counts).  Columns of the names above are replaced.  An empty
@@ -95,7 +97,7 @@ def mix_sources(
     at two levels, and only the last runs over documents, a 65 536th of a source at a time.
     """
     size = word_count(F.col("text")) if size is None else size
-    taken_names = ("mix_size", "mix_source_size", "mix_target", "mix_taken", "mix_positions")
+    taken_names = ("mix_size", "mix_source_size", "mix_target", "mix_taken", "mix_positions", "mix_position")
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in taken_names]
     digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     rows = docs.select(
@@ -151,13 +153,12 @@ def mix_sources(
         F.aggregate(F.transform(which, part), F.lit(0).cast("long"), lambda a, x: a + x.cast("long")).alias("taken"),
         F.transform(F.filter(which, has), position).alias("positions"),
     )
+    names = {"size": "mix_size", "source_size": "mix_source_size", "target": "mix_target", "taken": "mix_taken"}
+    named = [F.col(c).alias(n) for c, n in names.items()]
+    if copies:
+        each = taken.withColumn("position", F.explode("positions"))
+        return each.orderBy("position", "h").select("row.*", *named, F.col("position").alias("mix_position"))
     # Untaken rows get the places behind the end, spread by their hash, so that no range is full of them.
     behind = 1.0 + F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / 2.0**32
-    return taken.orderBy(F.coalesce(F.try_element_at("positions", F.lit(1)), behind), "h").select(
-        "row.*",
-        F.col("size").alias("mix_size"),
-        F.col("source_size").alias("mix_source_size"),
-        F.col("target").alias("mix_target"),
-        F.col("taken").alias("mix_taken"),
-        F.col("positions").alias("mix_positions"),
-    )
+    first = F.coalesce(F.try_element_at("positions", F.lit(1)), behind)
+    return taken.orderBy(first, "h").select("row.*", *named, F.col("positions").alias("mix_positions"))

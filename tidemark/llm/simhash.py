@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import schema_with, words, written
+from tidemark.llm.common import release, schema_with, words, written
 from tidemark.llm.components import connected_components
 
 BYTES = 8
@@ -182,6 +182,7 @@ def simhash_components(
 def _components(prints: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFrame:
     """``prints`` with the smallest id that each row reaches over the links of fingerprints."""
     roots = connected_components(links, "print-links")
+    release(prints.sparkSession)
     # Written before the joins: both sides of these are then plain exchanges, of which a hot key's can be split.
     rooted = written(
         distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
