@@ -236,5 +236,7 @@ def test_stream_reader_arguments(spark, tmp_path):
         readers.read_event_stream(spark, "kafka", "AT_TIMESTAMP")
     with pytest.raises(ValueError):
         readers.read_event_stream(spark, "kafka", "SOMEWHERE")
+    assert readers.rate_options("kafka", 300, 30) == {"maxOffsetsPerTrigger": "9000"}
+    assert readers.rate_options("kinesis", 300, 30) == {"kinesis.executor.maxFetchRecordsPerShard": "300"}
     s = readers.read_event_stream(spark, "json", schema=readers.EVENT_SCHEMA, path=str(tmp_path), maxFilesPerTrigger="1")
     assert s.isStreaming

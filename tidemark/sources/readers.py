@@ -77,11 +77,14 @@ def read_jdbc(
     return reader.load()
 
 
-# How each connector names its start position and rate limit.
-RATE_OPTION = {
-    "kinesis": "kinesis.executor.maxFetchRecordsPerShard",
-    "kafka": "maxOffsetsPerTrigger",
-}
+def rate_options(format: str, records_per_second: int, trigger_seconds: int) -> dict[str, str]:
+    """A rate as the connector's own limit: Kinesis reads so many records a second and shard, Kafka so many a
+    trigger.  Files have no limit by records; callers give ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``."""
+    if format == "kinesis":
+        return {"kinesis.executor.maxFetchRecordsPerShard": str(records_per_second)}
+    if format == "kafka":
+        return {"maxOffsetsPerTrigger": str(records_per_second * trigger_seconds)}
+    return {}
 
 
 def read_event_stream(
@@ -90,11 +93,13 @@ def read_event_stream(
     position: str = "LATEST",
     timestamp: str | None = None,
     records_per_second: int = 10_000,
+    trigger_seconds: int = 30,
     schema: T.StructType | None = None,
     path: str | None = None,
     **options: str,
 ) -> DataFrame:
-    """A stream of raw events from a connector (kinesis, kafka) or, in tests, a folder of files."""
+    """A stream of raw events from a connector (kinesis, kafka) or a folder of files, no faster than the rate for a
+    stream that is triggered every ``trigger_seconds``."""
     if position not in ("LATEST", "TRIM_HORIZON", "AT_TIMESTAMP"):
         raise ValueError(f"unknown start position {position!r}")
     if position == "AT_TIMESTAMP" and not timestamp:
@@ -111,9 +116,7 @@ def read_event_stream(
             reader = reader.option("startingTimestamp", timestamp)
         else:
             reader = reader.option("startingOffsets", "latest" if position == "LATEST" else "earliest")
-    if format in RATE_OPTION:
-        reader = reader.option(RATE_OPTION[format], str(records_per_second))
-    reader = reader.options(**options)
+    reader = reader.options(**{**rate_options(format, records_per_second, trigger_seconds), **options})
     return reader.load(path) if path else reader.load()
 
 
