@@ -6,6 +6,8 @@ import hashlib
 import heapq
 import json
 import os
+import re
+import struct
 import tempfile
 import unicodedata
 import uuid
@@ -19,11 +21,11 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import schema_with
+from tidemark.llm.common import schema_with, written
 from tidemark.llm.lexicon import Lexicon, compile_lexicon
 
-#: Words that a task remembers at a time.
-MEMORY = 200_000
+#: Words, and stretches without white space, that a task remembers at a time.
+MEMORY = 400_000
 
 
 def _byte_letters() -> list[str]:
@@ -51,6 +53,8 @@ class WordBpe:
         self.pattern = regex.compile(split["pattern"]["Regex"])
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))))
         self.letters = _byte_letters()
+        # What the pattern comes to on printable lower-case ASCII.
+        self.plain = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
 
     def normal(self, text: str) -> str:
         """NFC and letter-wise lower case: a final sigma is a sigma."""
@@ -59,13 +63,33 @@ class WordBpe:
 
     def words(self, chunk: str) -> list[str]:
         """Words of a chunk without special tokens."""
+        if chunk.isascii() and chunk.isprintable():
+            chunk = chunk.lower()
+            return [chunk] if chunk.isalpha() else self.plain(chunk)
         return self.pattern.findall(self.normal(chunk))
 
     def merge(self, word: str) -> list[int]:
-        """Ids of one word by its merges: lowest rank first, leftmost of equals, from a heap of neighbours, so that very
-        long words take n log n."""
+        """Ids of one word by its merges: lowest rank first, leftmost of equals."""
         symbols = [self.letters[b] for b in word.encode("utf-8")]
         symbols[-1] += self.end
+        symbols = self._merge_short(symbols) if len(symbols) <= 64 else self._merge_long(symbols)
+        return [self.vocabulary[s] for s in symbols if s in self.vocabulary]
+
+    def _merge_short(self, symbols: list[str]) -> list[str]:
+        rank, none = self.ranks.get, 1 << 60
+        ranks = [rank(pair, none) for pair in zip(symbols, symbols[1:], strict=False)]
+        while ranks and (best := min(ranks)) < none:
+            i = ranks.index(best)
+            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((symbols[i - 1], symbols[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank((symbols[i], symbols[i + 1]), none)
+        return symbols
+
+    def _merge_long(self, symbols: list[str]) -> list[str]:
+        """From a heap of neighbours, in n log n."""
         n = len(symbols)
         after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
         heap = [(r, i, symbols[i], symbols[i + 1]) for i in range(n - 1) if (r := self.ranks.get((symbols[i], symbols[i + 1]))) is not None]
@@ -82,7 +106,7 @@ class WordBpe:
                 right = after[left] if left >= 0 else n
                 if right < n and (r := self.ranks.get((symbols[left], symbols[right]))) is not None:
                     heapq.heappush(heap, (r, left, symbols[left], symbols[right]))
-        return [self.vocabulary[symbols[i]] for i in range(n) if alive[i] and symbols[i] in self.vocabulary]
+        return [symbols[i] for i in range(n) if alive[i]]
 
     def decode(self, ids: list[int]) -> str:
         """Pieces with blanks between them: the file names no decoder."""
@@ -107,7 +131,7 @@ def _count_batches(path: str):
         def flush() -> pa.RecordBatch:
             found: Counter[str] = Counter()
             for chunk, n in seen.items():
-                for part in bpe.special.split(chunk):
+                for part in bpe.special.split(chunk) if "<" in chunk else (chunk,):
                     for word in bpe.words(part):
                         found[word] += n
             seen.clear()
@@ -133,10 +157,18 @@ def word_counts(docs: DataFrame, text_col: str, tokenizer: str) -> DataFrame:
 
 
 def frequent_lexicon(counts: DataFrame, tokenizer: str, size: int, name: str) -> str:
-    """Write the lexicon of the ``size`` most frequent words (ties: smaller word first) beside the driver, and hand the
-    file out to all executors; gives its name there.  ``size`` bounds both the file and what reaches the driver."""
+    """Write the lexicon of the most frequent words, at most ``size`` and no part of those with equal counts, beside the
+    driver, and hand the file out to all executors; gives its name there.  ``size`` bounds the file and what reaches
+    the driver: the words are not sorted, a table of how many have which count tells the least count to take."""
     spark = counts.sparkSession
-    ranked = counts.orderBy(F.desc("n"), "word").limit(size)
+    counts = written(counts, "word-counts")
+    taken, least = 0, None
+    for row in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(size).collect():
+        taken += row["words"]
+        if taken > size:
+            break
+        least = row["n"]
+    ranked = counts.where(F.col("n") >= least if least is not None else F.lit(False)).select("word")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = WordBpe(tokenizer)
@@ -156,29 +188,48 @@ def frequent_lexicon(counts: DataFrame, tokenizer: str, size: int, name: str) ->
     return name
 
 
+class _Words(dict):
+    """word -> (ids as bytes, decoded text), from the lexicon or merged; forgets all when it holds too much."""
+
+    def __init__(self, bpe: WordBpe, lexicon: Lexicon) -> None:
+        super().__init__()
+        self.bpe, self.lexicon = bpe, lexicon
+
+    def coded(self, ids: list[int]) -> tuple[bytes, str]:
+        return struct.pack(f"<{len(ids)}I", *ids), self.bpe.decode(ids)
+
+    def __missing__(self, word: str) -> tuple[bytes, str]:
+        known = self.lexicon.get(word.encode("utf-8"))
+        value = self.coded(self.bpe.merge(word) if known is None else known)
+        if len(word) <= 64:
+            if len(self) >= MEMORY:
+                self.clear()
+            self[word] = value
+        return value
+
+
 class _Encoder(dict):
-    """chunk -> (ids as bytes, decoded text); forgets all when it holds too much."""
+    """The same for chunks, which are words as a rule."""
 
     def __init__(self, tokenizer: str, lexicon: str) -> None:
         super().__init__()
         self.bpe = WordBpe(tokenizer)
-        self.lexicon = Lexicon(lexicon)
+        self.words = _Words(self.bpe, Lexicon(lexicon))
 
-    def ids(self, chunk: str) -> list[int]:
-        out: list[int] = []
-        at = 0
+    def pieces(self, chunk: str) -> list[tuple[bytes, str]]:
+        if "<" not in chunk:
+            return [self.words[w] for w in self.bpe.words(chunk)]
+        out, at = [], 0
         for found in [*self.bpe.special.finditer(chunk), None]:
-            for word in self.bpe.words(chunk[at : found.start() if found else len(chunk)]):
-                known = self.lexicon.get(word.encode("utf-8"))
-                out += self.bpe.merge(word) if known is None else known
+            out += [self.words[w] for w in self.bpe.words(chunk[at : found.start() if found else len(chunk)])]
             if found:
-                out.append(self.bpe.specials[found[0]])
+                out.append(self.words.coded([self.bpe.specials[found[0]]]))
                 at = found.end()
         return out
 
     def __missing__(self, chunk: str) -> tuple[bytes, str]:
-        ids = self.ids(chunk)
-        value = np.array(ids, dtype="<u4").tobytes(), self.bpe.decode(ids)
+        found = self.pieces(chunk)
+        value = found[0] if len(found) == 1 else (b"".join([p[0] for p in found]), " ".join([p[1] for p in found]))
         if len(chunk) <= 64:
             if len(self) >= MEMORY:
                 self.clear()

@@ -117,31 +117,31 @@ class Lexicon:
             self._map = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
         if self._map[:8] != _MAGIC:
             raise ValueError(f"{path} is no lexicon")
-        sizes, at, arrays = struct.unpack("<6Q", self._map[8:56]), 56, []
-        for n, kind in zip(sizes, (np.uint32, np.uint32, np.uint32, np.int32, np.uint32, np.uint8), strict=True):
-            arrays.append(np.frombuffer(self._map, kind, n, at))
-            at += n * np.dtype(kind).itemsize
-        self._first, self._targets, self._given, self._ends, self._pool, labels = arrays
-        self._labels = memoryview(labels)
+        sizes, at, parts = struct.unpack("<6Q", self._map[8:56]), 56, []
+        whole = memoryview(self._map)
+        for n, kind in zip(sizes[:5], "IIIiI", strict=True):
+            parts.append(whole[at : at + 4 * n].cast(kind))
+            at += 4 * n
+        self._first, self._targets, self._given, self._ends, self._pool = parts
+        self._labels = at
 
     @property
     def states(self) -> int:
         return len(self._ends)
 
     def _ids(self, place: int) -> list[int]:
-        return self._pool[place : place + int(self._pool[place - 1])].tolist() if place else []
+        return self._pool[place : place + self._pool[place - 1]].tolist() if place else []
 
     def get(self, word: bytes) -> list[int] | None:
         """The word's ids, or nothing if it is not in the lexicon."""
+        first, find, labels = self._first, self._map.find, self._labels
         state, out = len(self._ends) - 1, []
-        for b in word:
-            low, high = int(self._first[state]), int(self._first[state + 1])
-            for edge in range(low, high):
-                if self._labels[edge] == b:
-                    break
-            else:
+        for i in range(len(word)):
+            edge = find(word[i : i + 1], labels + first[state], labels + first[state + 1]) - labels
+            if edge < 0:
                 return None
-            out += self._ids(int(self._given[edge]))
-            state = int(self._targets[edge])
-        end = int(self._ends[state])
+            if self._given[edge]:
+                out += self._ids(self._given[edge])
+            state = self._targets[edge]
+        end = self._ends[state]
         return None if end < 0 else out + self._ids(end)
