@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -174,12 +173,12 @@ def simhash_components(
     """
     prints = written(fingerprints(docs, text_col, id_col, shingle), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-prints")
-    return _components(prints, distinct, near_links(distinct.select("fp"), max_bits)).select(
+    return components(prints, distinct, near_links(distinct.select("fp"), max_bits)).select(
         "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def _components(prints: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFrame:
+def components(prints: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFrame:
     """``prints`` with the smallest id that each row reaches over the links of fingerprints."""
     roots = connected_components(links, "print-links")
     release(prints.sparkSession)
@@ -193,84 +192,3 @@ def _components(prints: DataFrame, distinct: DataFrame, links: DataFrame) -> Dat
     least = written(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "least-ids")
     named = written(rooted.join(least, "root").select("fp", "component_id"), "named-prints")
     return prints.join(named, "fp")
-
-
-#: Prints of 64 bits that estimate a similarity, and how many of them are indexed.
-ESTIMATE, INDEXED = 4, 2
-
-
-def bits_for(similarity: float, shares: int = ESTIMATE) -> int:
-    """Differing bits of ``shares`` prints up to which two texts of this similarity (shared share of all shingles) are
-    taken for similar: the expected number and one standard deviation."""
-    apart = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    bits = 64 * shares
-    return math.floor(bits * apart + math.sqrt(bits * apart * (1 - apart)))
-
-
-def _similar(prints: np.ndarray, ends: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links inside lists (rows ``ends[i]`` to ``ends[i + 1]``) that connect all rows at ``most`` or fewer differing bits."""
-    size, low, high = np.diff(ends), [], []
-    owner = np.repeat(np.arange(len(size)), size)
-    short = size[owner] <= 32
-    for shift in range(1, min(32, int(size.max(initial=0)))):  # all short lists at once, by distance of rows
-        a = np.flatnonzero(short[:-shift] & (owner[:-shift] == owner[shift:]))
-        near = np.bitwise_count(prints[a] ^ prints[a + shift]).sum(axis=1) <= most
-        low.append(a[near])
-        high.append(a[near] + shift)
-    for i in np.flatnonzero(size > 32):  # rows reached leave the list, so that a crowd of copies is one pass
-        left = np.arange(ends[i], ends[i + 1])
-        while len(left):
-            reached, left = [left[0]], left[1:]
-            while reached and len(left):
-                row = reached.pop()
-                near = np.bitwise_count(prints[left] ^ prints[row]).sum(axis=1) <= most
-                low.append(np.full(near.sum(), row))
-                high.append(left[near])
-                reached += left[near].tolist()
-                left = left[~near]
-    empty = np.zeros(0, dtype=np.int64)
-    return np.concatenate([empty, *low]), np.concatenate([empty, *high])
-
-
-def similar_links(prints: DataFrame, most: int) -> DataFrame:
-    """Links (``a``, ``b``) between rows of ``fp``, ``fp1``... at ``most`` or fewer differing bits of all of them together.
-
-    The index is over pairs of positional bytes of the first ``INDEXED`` prints, 28 lists a print: two rows meet if their
-    tally of shared bytes is two or more in a print.  Texts of similarity 0.8 share a byte with probability 0.27, hence
-    meet with 0.9, at 0.9 with 0.99.  What meets is verified by all bits; lists answer with no more links than rows.
-    """
-    places = list(combinations(range(BYTES), 2))
-    keys = [
-        F.col(_names(ESTIMATE)[r]).bitwiseAND(F.lit(int(np.uint64(sum(255 << (8 * p) for p in c)).astype(np.int64))))
-        for r in range(INDEXED)
-        for c in places
-    ]
-    names = _names(ESTIMATE)
-    postings = prints.select(F.array(*names).alias("all"), F.posexplode(F.array(*keys)).alias("which", "octets"))
-    lists = postings.groupBy("which", "octets").agg(F.collect_list("all").alias("members")).where(F.size("members") > 1)
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            members = batch.column("members")
-            rows, ends = members.flatten().flatten().to_numpy().view(np.uint64).reshape(-1, ESTIMATE), members.offsets.to_numpy()
-            low, high = _similar(rows, ends - ends[0], most)
-            found = np.unique(np.stack([rows[low, 0].view(np.int64), rows[high, 0].view(np.int64)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
-
-    return lists.select("members").mapInArrow(verify, "a long, b long").distinct()
-
-
-def near_duplicate_components(
-    docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 5, similarity: float = 0.8
-) -> DataFrame:
-    """(``doc_id``, ``component_id``) for every row: the smallest id reached over links between texts whose shingles of five
-    words are similar to ``similarity`` or more, as 256 bits of SimHash estimate it.
-
-    Texts with equal first prints count as one.  Estimates err: of pairs at 0.8 about four of five are linked, at 0.9
-    practically all, at 0.6 none.  Odd rows are treated as by ``simhash_components``.
-    """
-    prints = written(fingerprints(docs, text_col, id_col, shingle, ESTIMATE), "fingerprints")
-    others = [F.first(n).alias(n) for n in _names(ESTIMATE)[1:]]
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), *others), "distinct-prints")
-    links = similar_links(distinct, bits_for(similarity))
-    return _components(prints.select("doc_id", "fp"), distinct.select("fp", "least_id"), links).select("doc_id", "component_id")
