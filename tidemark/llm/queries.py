@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, langid, mixing, quality, simhash, suffix, token_counts, topk, warc
+from tidemark.llm import ann, bpe, langid, merkle, mixing, perfect_hash, quality, shared_search, simhash, suffix, token_counts, topk, warc
 
 
 def tokenizer_path(name: str) -> str:
@@ -101,6 +101,23 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(ann.build_index(vectors), vectors.where("vec_id % 100 = 0"), k=10)
 
 
+def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that are the same but for A-Z: the row with the largest id stays."""
+    found = perfect_hash.exact_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A proof for every document; where 2 divides the checksum of the id, the text has lost its line feeds."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return merkle.manifest(_table(spark, sf_dir, "documents"), tampered, F.replace("text", F.lit("\n"), F.lit("")))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of every benchmark item."""
+    return shared_search.search(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -114,6 +131,9 @@ QUERIES = {
         op8_quality,
         op9_bpe,
         op10_ann,
+        op11_exact,
+        op12_merkle,
+        op13_search,
     )
 }
 
@@ -163,5 +183,94 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
        CAST(least(size, greatest(0, floor(target - o))) + least(size, greatest(0, floor(target - o - source_size)))
             + least(size, greatest(0, floor(target - o - 2 * source_size))) AS BIGINT) AS taken
 FROM placed
+""",
+    "op11_exact": """
+WITH hashed AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h FROM documents
+)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+       row_number() OVER (PARTITION BY h ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, h AS text_sha256
+FROM hashed
+""",
+    "op12_merkle": r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, source, text, replace(text, chr(10), '') AS cut,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         -- CRC-32, bit by bit
+         list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT)),
+           lambda x, b: list_reduce([xor(x, b)] || [0, 0, 0, 0, 0, 0, 0, 0],
+             lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END)) % 2 = 1 AS even
+  FROM documents
+), leaves AS (
+  SELECT doc_id, even, coalesce('=' || source, '') AS tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(cut) || ':' || cut, '-')) AS other
+  FROM fields
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves
+), nodes AS (
+  SELECT tree, 0 AS level, idx, n, leaf AS digest FROM numbered
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM nodes WHERE n > 1 GROUP BY tree, level, idx // 3, n
+), subroots AS (
+  SELECT tree, level AS low, digest, row_number() OVER (ORDER BY tree COLLATE "binary") - 1 AS place, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, place AS idx, n, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx)) FROM tops WHERE n > 1 GROUP BY level, idx // 3, n
+), every AS (
+  SELECT tree, level, idx, digest FROM nodes WHERE n > 1
+  UNION ALL
+  SELECT s.tree, t.level + s.low, t.idx, t.digest FROM subroots s, tops t WHERE t.n > 1
+), steps AS (
+  SELECT o.tree, o.level, o.idx, coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (WHERE s.idx < o.idx), '') AS l,
+         coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (WHERE s.idx > o.idx), '') AS r
+  FROM every o JOIN every s ON s.tree = o.tree AND s.level = o.level AND s.idx // 3 = o.idx // 3 GROUP BY 1, 2, 3
+), up AS (
+  SELECT d.tree, d.idx AS leaf_idx, 0 AS level, CASE WHEN s.low = 0 THEN s.place ELSE d.idx END AS idx, '' AS proof,
+         CASE WHEN d.even THEN d.other ELSE d.leaf END AS folded
+  FROM numbered d JOIN subroots s USING (tree)
+  UNION ALL
+  SELECT u.tree, u.leaf_idx, u.level + 1, CASE WHEN u.level + 1 = h.low THEN h.place ELSE u.idx // 3 END,
+         u.proof || s.l || s.r, sha256(s.l || u.folded || s.r)
+  FROM up u JOIN steps s ON s.tree = u.tree AND s.level = u.level AND s.idx = u.idx JOIN subroots h ON h.tree = u.tree
+), root AS (
+  SELECT digest, level FROM tops WHERE n = 1
+)
+SELECT d.doc_id, d.leaf, s.digest AS subroot, root.digest AS root, sha256(u.proof) AS proof_sha256, u.folded AS folded_root,
+       u.folded = root.digest AS verified
+FROM numbered d JOIN subroots s USING (tree) JOIN root ON true
+JOIN up u ON u.tree = d.tree AND u.leaf_idx = d.idx AND u.level = s.low + root.level
+""",
+    "op13_search": r"""
+WITH found AS (
+  SELECT doc_id, row_number() OVER () AS d,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents
+), docs AS (
+  SELECT d, doc_id, CAST(len(t) AS BIGINT) AS n, t FROM found WHERE len(t) > 0
+), total AS (
+  SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM docs
+), postings AS (
+  SELECT d, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT d, unnest(t) AS term FROM docs) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0 * (SELECT docs FROM total) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM postings GROUP BY term
+), items AS (
+  SELECT row_number() OVER () AS i, item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), asked AS (
+  SELECT i, item_id, term, CAST(count(*) AS BIGINT) AS times FROM (SELECT i, item_id, unnest(t) AS term FROM items) GROUP BY ALL
+), scored AS (
+  SELECT a.i, a.item_id, x.d, d.doc_id,
+         CAST(sum(a.times * w.w * ((1000000000 * x.tf) // (1000 * x.tf + 8 * (25 + (75 * d.n * (SELECT docs FROM total)) // (SELECT words FROM total))))) AS BIGINT) AS score
+  FROM asked a JOIN weights w USING (term) JOIN postings x USING (term) JOIN docs d USING (d) GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
 """,
 }
