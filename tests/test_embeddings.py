@@ -57,13 +57,13 @@ def brute(base, queries, metric, k):
 
 
 @pytest.mark.parametrize("metric", ["cosine", "l2", "ip"])
-@pytest.mark.parametrize("limit", [4096, 3], ids=["broadcast", "blocks"])
+@pytest.mark.parametrize("limit", [4096, 3], ids=["broadcast", "index"])
 def test_knn_matches_brute_force(spark, vectors, metric, limit):
     base, queries = vectors
     b = spark.createDataFrame(pd.DataFrame({"id": range(len(base)), "v": list(base)})).repartition(5)
     b = b.unionByName(spark.createDataFrame([(900, None), (901, [1.0])], "id long, v array<double>"))
     q = spark.createDataFrame(pd.DataFrame({"qid": range(len(queries)), "v": list(queries)}))
-    found = emb.knn(q, b, "qid", "v", "id", "v", 5, metric, max_broadcast_queries=limit, block_salts=3)
+    found = emb.knn(q, b, "qid", "v", "id", "v", 5, metric, max_broadcast_queries=limit)
     got = {}
     for r in found.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append(r.neighbor_id)

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.vectors import dot, norm
+from tidemark.operators.vector_index import METRICS, best, build_vector_index, by_length
+from tidemark.session import ensure_checkpoint_dir
 
 MAX_BROADCAST_QUERIES = 4_096
-METRICS = ("cosine", "l2", "ip")
 
 
 def normalize_embedding(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
@@ -45,44 +46,6 @@ def validate_embedding_dim(
     return df.where(fits)
 
 
-def _scores(queries: np.ndarray, base: np.ndarray, metric: str) -> np.ndarray:
-    """Distances, queries in rows and base vectors in columns; smaller is nearer."""
-    products = queries @ base.T
-    if metric == "ip":
-        return -products
-    q2 = np.einsum("ij,ij->i", queries, queries)[:, None]
-    b2 = np.einsum("ij,ij->i", base, base)[None, :]
-    if metric == "l2":
-        return np.sqrt(np.maximum(q2 + b2 - 2.0 * products, 0.0))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return 1.0 - products / np.sqrt(q2 * b2)
-
-
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.array(vectors.to_list(), dtype=np.float64)
-
-
-def _best(
-    qids: np.ndarray, queries: np.ndarray, ids: np.ndarray, base: np.ndarray, k: int, metric: str, digits: int | None
-) -> pd.DataFrame:
-    """The k nearest of one batch per query, by full distances; equal ones are ordered by id."""
-    d = _scores(queries, base, metric)
-    if digits is not None:
-        d = np.round(d, digits)
-    qi, bi, dist = [], [], []
-    for q in range(len(qids)):
-        usable = np.flatnonzero(~np.isnan(d[q]))
-        if len(usable) > k:
-            limit = np.partition(d[q][usable], k - 1)[k - 1]
-            usable = usable[d[q][usable] <= limit]
-        order = usable[np.lexsort((ids[usable], d[q][usable]))[:k]]
-        qi.append(np.repeat(q, len(order)))
-        bi.append(order)
-        dist.append(d[q][order])
-    qi, bi = np.concatenate(qi), np.concatenate(bi)
-    return pd.DataFrame({"query_id": qids[qi], "neighbor_id": ids[bi], "distance": np.concatenate(dist)})
-
-
 def knn(
     queries: DataFrame,
     base: DataFrame,
@@ -96,7 +59,6 @@ def knn(
     min_score: float | None = None,
     digits: int | None = None,
     max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
-    block_salts: int = 64,
 ) -> DataFrame:
     """``query_id, neighbor_id, distance, rank``: the exact k nearest base rows per query.
 
@@ -108,9 +70,9 @@ def knn(
 
     A request batch is small and the base is large, so the counted queries travel to the base:
     every Arrow batch is scored by one matrix product and keeps k rows per query, and no
-    (query, base) pair ever becomes a row.  The base is neither shuffled nor sorted.  Above
-    ``max_broadcast_queries`` both sides are packed into blocks and query blocks are copied to
-    ``block_salts`` groups of base blocks, an equi-join on the group number.
+    (query, base) pair ever becomes a row.  The base is neither shuffled nor sorted.  More queries than
+    ``max_broadcast_queries`` are worth an index: the base is written as one and searched block by block, with
+    the same result.  Keep such an index (``build_vector_index``) where the base is asked again.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
@@ -129,7 +91,9 @@ def knn(
     if batch.num_rows <= max_broadcast_queries:
         found = _knn_broadcast(batch, base, schema, k, metric, digits)
     else:
-        found = _knn_blocks(asked, base, schema, k, metric, digits, block_salts)
+        scratch = f"{ensure_checkpoint_dir(base.sparkSession)}/tidemark/vectors-{uuid.uuid4().hex}"
+        index = build_vector_index(base, scratch, "id", "vec", metric)
+        found = index.search(asked, "id", "vec", k, metric, digits=digits, block=max_broadcast_queries).drop("rank")
     if min_score is not None:
         score = {
             "cosine": 1 - F.col("distance"),
@@ -142,79 +106,30 @@ def knn(
     return found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
 
 
-def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, ids, matrix) of an Arrow batch, without a Python object per component."""
-    lengths = pc.list_value_length(batch.column("vec"))
-    for dim in pc.unique(lengths).to_pylist():
-        part = batch.filter(pc.equal(lengths, dim))
-        flat = part.column("vec").flatten().to_numpy(zero_copy_only=False)
-        matrix = flat.astype(np.float64, copy=False).reshape(part.num_rows, dim)
-        yield dim, part.column("id").to_numpy(zero_copy_only=False), matrix
-
-
 def _knn_broadcast(batch: pa.Table, base: DataFrame, schema: T.StructType, k: int, metric: str, digits: int | None):
     packed: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for part in batch.combine_chunks().to_batches():
-        packed |= {dim: (ids, matrix) for dim, ids, matrix in _by_length(part)}
+        packed |= {dim: (rows.column("id").to_numpy(zero_copy_only=False), matrix) for dim, rows, matrix in by_length(part)}
     shared = base.sparkSession.sparkContext.broadcast(packed)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, pd.DataFrame] = {}
+        held: dict[int, pd.DataFrame] = {}
         for batch in batches:
-            for dim, ids, vectors in _by_length(batch):
+            for dim, rows, vectors in by_length(batch):
                 if dim not in shared.value:
                     continue
                 qids, matrix = shared.value[dim]
-                both = _best(qids, matrix, ids, vectors, k, metric, digits)
-                if dim in best:
-                    both = pd.concat([best[dim], both]).sort_values(["query_id", "distance", "neighbor_id"])
+                both = best(qids, matrix, rows.column("id").to_numpy(zero_copy_only=False), vectors, k, metric, digits)
+                if dim in held:
+                    both = pd.concat([held[dim], both]).sort_values(["query_id", "distance", "neighbor_id"])
                     both = both.groupby("query_id", sort=False).head(k)
-                best[dim] = both
-        for found in best.values():
+                held[dim] = both
+        for found in held.values():
             yield pa.RecordBatch.from_pandas(found, preserve_index=False)
 
     return base.mapInArrow(scan, schema)
 
 
-def _knn_blocks(
-    asked: DataFrame, base: DataFrame, schema: T.StructType, k: int, metric: str, digits: int | None, salts: int
-) -> DataFrame:
-    def blocks(df: DataFrame) -> DataFrame:
-        """One row per Arrow batch and vector length, ids and vectors side by side."""
-        id_type = df.schema["id"].dataType
-        out = T.StructType(
-            [
-                T.StructField("dim", T.IntegerType()),
-                T.StructField("ids", T.ArrayType(id_type)),
-                T.StructField("flat", T.ArrayType(T.DoubleType())),
-            ]
-        )
-
-        def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for dim, part in pdf.groupby(pdf["vec"].map(len)):
-                    for start in range(0, len(part), 1024):
-                        cut = part.iloc[start : start + 1024]
-                        flat = _matrix(cut["vec"]).ravel()
-                        yield pd.DataFrame({"dim": [dim], "ids": [cut["id"].to_numpy()], "flat": [flat]})
-
-        return df.mapInPandas(pack, out)
-
-    q = blocks(asked).select("dim", F.col("ids").alias("qids"), F.col("flat").alias("qflat"))
-    q = q.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    b = blocks(base).withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int"))
-    pairs = b.join(q, ["salt", "dim"])
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.itertuples():
-                qids, ids = np.asarray(row.qids), np.asarray(row.ids)
-                queries = np.asarray(row.qflat).reshape(len(qids), -1)
-                yield _best(qids, queries, ids, np.asarray(row.flat).reshape(len(ids), -1), k, metric, digits)
-
-    return pairs.mapInPandas(score, schema)
-
-
 def embedding_document_id(entity_type: str, entity_id: str, feature_name: str) -> Column:
     """``type:entity:feature``."""
     return F.concat_ws(":", F.col(entity_type), F.col(entity_id), F.col(feature_name))

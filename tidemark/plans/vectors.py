@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import embeddings as emb
+from tidemark.operators.vector_index import build_vector_index
 from tidemark.plans.inputs import table
+from tidemark.session import ensure_checkpoint_dir
 
 
 def _vectors(spark, sf):
@@ -75,6 +79,31 @@ def knn_filtered(spark, sf):
     return _knn(spark, sf, "cosine", where=F.col("label") > 2, min_score=0.05)
 
 
+def _knn_indexed(spark, sf, metric, **options):
+    """The same through a stored index of the vectors by label."""
+    path = f"{ensure_checkpoint_dir(spark)}/tidemark/index-{uuid.uuid4().hex}"
+    index = build_vector_index(_vectors(spark, sf), path, "vec_id", "embedding", metric, "label", cell_rows=256)
+    out = index.search(centroids(spark, sf), "query_id", "query", 10, metric, digits=9, **options)
+    return out.withColumn("distance", F.round("distance", 6))
+
+
+def knn_indexed_cosine(spark, sf):
+    return _knn_indexed(spark, sf, "cosine")
+
+
+def knn_indexed_l2(spark, sf):
+    return _knn_indexed(spark, sf, "l2")
+
+
+def knn_indexed_ip(spark, sf):
+    return _knn_indexed(spark, sf, "ip")
+
+
+def knn_indexed_filtered(spark, sf):
+    """Only neighbours of labels 3 to 9: files of other types are not read."""
+    return _knn_indexed(spark, sf, "cosine", kinds=[str(i) for i in range(3, 10)]).where("1 - distance >= 0.05")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,6 +114,10 @@ QUERIES = {
         knn_l2,
         knn_ip,
         knn_filtered,
+        knn_indexed_cosine,
+        knn_indexed_l2,
+        knn_indexed_ip,
+        knn_indexed_filtered,
     )
 }
 
@@ -120,3 +153,6 @@ FROM b JOIN q ON query_id = label""",
     "knn_filtered": f"""WITH k AS ({_knn_sql("1 - list_cosine_similarity(query, v)", "label > 2")})
 SELECT * FROM k WHERE 1 - distance >= 0.05""",
 }
+ORACLE |= {f"knn_indexed_{m}": ORACLE[f"knn_{m}"] for m in ("cosine", "l2", "ip")}
+ORACLE["knn_indexed_filtered"] = f"""WITH k AS ({_knn_sql("1 - list_cosine_similarity(query, v)", "label BETWEEN 3 AND 9")})
+SELECT * FROM k WHERE 1 - distance >= 0.05"""
