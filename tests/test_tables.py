@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,86 @@ def test_merge_overwrite_append(spark, tmp_path):
         tables.write_features(rows(spark, ("a", 0, 0, 1)).withColumn("y", F.lit(1)), t, "merge", VIEW)
 
 
+def many(spark, keys, x, minute=0):
+    return rows(spark, *[(k, minute, minute, x) for k in keys])
+
+
+def test_a_merge_rewrites_the_buckets_of_its_keys_only(spark, tmp_path):
+    t = tables.VersionedTable(spark, str(tmp_path / "t"), ["user_id"], buckets=32)
+    keys = [f"u{i}" for i in range(300)]
+    tables.write_features(many(spark, keys, 1), t)
+    before = t.manifest()
+    tables.write_features(many(spark, keys[:3], 2, 1), t)  # 1 % of the keys
+    after = t.manifest()
+    changed = {b for b in after.files if after.files[b] != before.files[b]}
+    buckets = {str(r[0]) for r in t._bucketed(many(spark, keys[:3], 0), 32).select("__bucket").collect()}
+    assert changed == buckets and 1 <= len(changed) <= 3 < len(before.files)
+    assert values(t.read()) == {k: 2 if i < 3 else 1 for i, k in enumerate(keys)}
+    assert values(t.read(before.version)) == dict.fromkeys(keys, 1)
+    tables.write_features(many(spark, keys[:1], 3, 2), t, "append")
+    added = t.manifest()
+    assert all(set(after.files[b]) <= set(added.files[b]) for b in after.files)
+    assert sum(map(len, added.files.values())) == sum(map(len, after.files.values())) + 1
+
+
+def test_null_keys_and_new_columns(spark, tmp_path):
+    t = tables.VersionedTable(spark, str(tmp_path / "t"), ["user_id"], buckets=4)
+    tables.write_features(rows(spark, (None, 0, 0, 1), ("a", 0, 0, 1)), t)
+    tables.write_features(rows(spark, (None, 1, 1, 2)).withColumn("y", F.lit("new")), t)
+    assert {(r.user_id, r.x, r.y) for r in t.read().collect()} == {(None, 2, "new"), ("a", 1, None)}
+    tables.write_features(rows(spark), t)
+    assert t.read().count() == 2
+
+
+@pytest.mark.parametrize("mode", ["merge", "append"])
+def test_two_writers_lose_nothing(spark, tmp_path, mode):
+    """Writers that start from one version: the second finds it taken and starts from the first one's."""
+    path, shared = str(tmp_path / "t"), [f"s{i}" for i in range(5)]
+    tables.write_features(many(spark, [*shared, "old"], 0), tables.VersionedTable(spark, path, ["user_id"], buckets=4))
+
+    def write(n):
+        t = tables.VersionedTable(spark, path, ["user_id"], buckets=4)
+        tables.write_features(many(spark, [*shared, f"own{n}"], n, n), t, mode)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(1, 5)))
+    t = tables.VersionedTable(spark, path, ["user_id"])
+    assert t.versions() == [0, 1, 2, 3, 4]
+    got = t.read().collect()
+    assert {r.user_id for r in got} == {*shared, "old", *(f"own{n}" for n in range(1, 5))}
+    assert len(got) == (10 if mode == "merge" else 6 + 4 * 6)
+    if mode == "merge":  # the last writer's rows, not a mixture of keys
+        assert len({r.x for r in got if r.user_id in shared}) == 1
+
+
+def test_a_stale_merge_is_done_again(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    one, two = (tables.VersionedTable(spark, path, ["user_id"], buckets=2) for _ in range(2))
+    tables.write_features(rows(spark, ("a", 0, 0, 1)), one)
+    calls = []
+
+    def combine(old, new):
+        calls.append(old.count())
+        if len(calls) == 1:
+            tables.write_features(many(spark, [f"k{i}" for i in range(20)], 5), two)
+        return tables.upsert(old, new, ["user_id"])
+
+    one.merge(rows(spark, ("a", 1, 1, 2)), combine)
+    assert len(calls) == 2 and calls[1] > calls[0]
+    assert values(one.read()) == {"a": 2, **{f"k{i}": 5 for i in range(20)}}
+
+
+def test_retention(spark, tmp_path):
+    t = tables.VersionedTable(spark, str(tmp_path / "t"), ["user_id"], buckets=2)
+    for x in range(4):
+        tables.write_features(many(spark, ["a", "b", "c"], x, x), t, "overwrite")
+    assert t.retain(2) == 0  # all files are young
+    removed = t.retain(2, grace_seconds=0)
+    assert removed > 0 and t.versions() == [2, 3]
+    assert values(t.read()) == dict.fromkeys("abc", 3) and values(t.read(2)) == dict.fromkeys("abc", 2)
+    assert t.retain(2, grace_seconds=0) == 0
+
+
 def test_an_unfinished_version_is_invisible(spark, tmp_path):
     t = tables.VersionedTable(spark, str(tmp_path / "t"), ["user_id"])
     tables.write_features(rows(spark, ("a", 0, 0, 1)), t)

@@ -1,29 +1,34 @@
 """Feature tables and the ways to write them.
 
 Where the catalogue's format supports it, an upsert is one ``MERGE`` (``merge_into_catalog``).  On
-plain parquet a table is a folder of immutable versions and a small pointer file that is written
-last: readers see the old version or the new one, a lost executor or driver leaves only an
-unreferenced folder behind, and a replayed stream batch is recognised by its number.
+plain parquet a table's rows lie in buckets of their key's hash, and a version is a numbered manifest that lists the files of
+every bucket.  A write adds files, then the next manifest, which must not exist yet: readers see the old version or the new one, a
+lost executor or driver leaves only files behind that no manifest names, of two writers the second starts from the
+first one's version, and a replayed stream batch is recognised by its number.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.model import FeatureView, check_schema, reject_rows
 from tidemark.operators.embeddings import embedding_document_id
 from tidemark.operators.snapshot import latest_per_entity, new_rows_only, recomputed
 
-POINTER = "current.json"
+BUCKETS = 64
+_BUCKET = "__bucket"
 
 
 @dataclass
@@ -34,42 +39,227 @@ class WriteResult:
     failures: list[str] = field(default_factory=list)
 
 
+@dataclass(frozen=True)
+class Manifest:
+    """A version: the schema, the files of each bucket (paths below the table), the last batch number of each stream."""
+
+    version: int | None = None
+    buckets: int = 0
+    schema: str | None = None
+    files: dict[str, list[str]] = field(default_factory=dict)
+    streams: dict[str, int] = field(default_factory=dict)
+
+
+class Conflict(RuntimeError):
+    """Another writer changed the same buckets meanwhile."""
+
+
 class VersionedTable:
-    """A parquet table that is replaced as a whole, keyed by ``keys``."""
+    """A parquet table of which writes replace buckets of keys, keyed by ``keys``.
+
+    ``buckets`` holds for a new table; give it so many that one bucket is rewritten in good time.  All rows of a key lie in one
+    bucket; null keys are keys.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = BUCKETS):
+        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
+    # -- files
 
-    def _fs(self):
+    def _hadoop(self, name: str = ""):
+        """(file system, path) of a file below the table."""
         sc = self.spark.sparkContext
-        pointer = sc._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{POINTER}")
-        return pointer.getFileSystem(sc._jsc.hadoopConfiguration()), pointer
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}".rstrip("/"))
+        return path.getFileSystem(sc._jsc.hadoopConfiguration()), path
+
+    def _names(self, folder: str) -> list[str]:
+        fs, path = self._hadoop(folder)
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    def _files(self, folder: str) -> list[str]:
+        """Parquet files below a folder of the table."""
+        fs, path = self._hadoop(folder)
+        found, out = fs.listFiles(path, True), []
+        while found.hasNext():
+            name = found.next().getPath().toString()
+            if name.endswith(".parquet"):
+                out.append(f"{folder}/{name.split(f'/{folder}/', 1)[1]}")
+        return out
+
+    def _write_once(self, name: str, text: str) -> bool:
+        """Make a whole file appear, unless one of that name exists."""
+        fs, target = self._hadoop(name)
+        _, draft = self._hadoop(f"{name}.{uuid.uuid4().hex}.draft")
+        out = fs.create(draft, False)
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+        try:
+            if fs.getScheme() == "file":  # a local rename would replace the other writer's file; a link does not
+                os.link(draft.toUri().getPath(), target.toUri().getPath())
+                return True
+            return not fs.exists(target) and fs.rename(draft, target)
+        except FileExistsError:
+            return False
+        finally:
+            fs.delete(draft, False)
 
-    def state(self) -> dict:
-        """The pointer: current version and the last batch number of each stream."""
-        fs, pointer = self._fs()
-        if not fs.exists(pointer):
-            return {"version": None, "streams": {}}
-        return json.loads(self.spark.read.text(f"{self.path}/{POINTER}", wholetext=True).head()[0])
+    # -- versions
 
-    def read(self) -> DataFrame | None:
-        version = self.state()["version"]
-        return None if version is None else self.spark.read.parquet(f"{self.path}/{version}")
+    def versions(self) -> list[int]:
+        return sorted(int(n.removesuffix(".json")) for n in self._names("versions") if n.endswith(".json"))
+
+    def manifest(self, version: int | None = None) -> Manifest:
+        """A version's manifest, the newest one's by default; an empty one where the table does not exist."""
+        if version is None:
+            known = self.versions()
+            if not known:
+                return Manifest(buckets=self.buckets)
+            version = known[-1]
+        text = self.spark.read.text(f"{self.path}/versions/{version:012d}.json", wholetext=True).head()[0]
+        return Manifest(**json.loads(text))
+
+    def state(self) -> dict:
+        """Current version and the last batch number of each stream."""
+        now = self.manifest()
+        return {"version": now.version, "streams": now.streams}
+
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """The rows of a version, the newest by default; nothing where the table does not exist."""
+        now = self.manifest(version)
+        return None if now.version is None else self._rows(now, list(now.files))
+
+    def _rows(self, manifest: Manifest, buckets: list[str]) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(manifest.schema))
+        paths = [f"{self.path}/{f}" for b in buckets for f in manifest.files.get(b, [])]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _commit(self, based: Manifest, change: Callable[[Manifest], Manifest | None], replaced: list[str] | None) -> Manifest | None:
+        """Publish ``change`` of the newest version.  ``replaced`` buckets must be as they were in the version that the change is based
+        on, else it is a conflict; a change that returns nothing is already there."""
+        while True:
+            head = self.manifest()
+            if replaced and head.version != based.version and any(head.files.get(b) != based.files.get(b) for b in replaced):
+                raise Conflict(f"buckets of {self.path} were changed by another writer")
+            new = change(head)
+            if new is None:
+                return None
+            number = 0 if head.version is None else head.version + 1
+            new = replace(new, version=number)
+            if self._write_once(f"versions/{number:012d}.json", json.dumps(asdict(new))):
+                return new
+
+    # -- rows
+
+    def _bucketed(self, df: DataFrame, buckets: int) -> DataFrame:
+        return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("int"))
+
+    def _store(self, df: DataFrame, buckets: int) -> dict[str, list[str]]:
+        """Write rows into new files; the files of each bucket.  Large buckets are written by several tasks."""
+        folder = f"data/{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex}"
+        self._bucketed(df, buckets).hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.path}/{folder}")
+        out: dict[str, list[str]] = {}
+        for name in self._files(folder):
+            bucket = name.split(f"{_BUCKET}=", 1)[1].split("/", 1)[0]
+            out.setdefault(bucket, []).append(name)
+        return out
+
+    def _schema(self, old: Manifest, df: DataFrame) -> str:
+        """The columns of the table and those that ``df`` adds."""
+        fields = T.StructType.fromJson(json.loads(old.schema)).fields if old.schema else []
+        known = {f.name for f in fields}
+        return T.StructType([*fields, *(f for f in df.schema.fields if f.name not in known)]).json()
+
+    def _ready(self) -> None:
+        fs, path = self._hadoop("versions")
+        fs.mkdirs(path)
 
     def publish(self, df: DataFrame, stream: str | None = None, batch_id: int | None = None) -> None:
-        """Write ``df`` as the next version, then point to it."""
-        state = self.state()
-        number = 0 if state["version"] is None else int(state["version"].rsplit("=", 1)[1]) + 1
-        # The time keeps a retry from writing into the folder of a failed attempt.
-        folder = f"at={datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}/v={number}"
-        df.write.mode("errorifexists").parquet(f"{self.path}/{folder}")
-        streams = dict(state["streams"])
-        if stream is not None:
-            streams[stream] = batch_id
-        fs, pointer = self._fs()
-        out = fs.create(pointer, True)
-        out.write(bytearray(json.dumps({"version": folder, "streams": streams}), "utf-8"))
-        out.close()
+        """Replace all rows."""
+        self._ready()
+        buckets = self.manifest().buckets
+        files = self._store(df, buckets)
+
+        def change(head: Manifest) -> Manifest:
+            streams = dict(head.streams) | ({stream: batch_id} if stream is not None else {})
+            return replace(head, buckets=buckets, schema=df.schema.json(), files=files, streams=streams)
+
+        self._commit(self.manifest(), change, None)
+
+    def append(self, df: DataFrame) -> None:
+        """Add rows, whatever their keys; only they are written."""
+        self._ready()
+        now = self.manifest()
+        files = self._store(df, now.buckets)
+
+        def change(head: Manifest) -> Manifest:
+            both = {b: [*head.files.get(b, []), *files.get(b, [])] for b in {*head.files, *files}}
+            return replace(head, buckets=now.buckets, schema=self._schema(head, df), files=both)
+
+        self._commit(now, change, None)
+
+    def merge(
+        self,
+        df: DataFrame,
+        combine: Callable[[DataFrame | None, DataFrame], DataFrame],
+        stream: str | None = None,
+        batch_id: int | None = None,
+    ) -> None:
+        """Replace the buckets that have keys of ``df`` by ``combine(their rows, df)``; other buckets are neither read nor written.
+
+        ``df`` is evaluated once and lies in the table's folder while it is merged.  If another writer changes one of the buckets meanwhile,
+        the merge is done again on the new version.
+        """
+        self._ready()
+        staged = f"staged/{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path}/{staged}")
+        new = self.spark.read.schema(df.schema).parquet(f"{self.path}/{staged}")
+        try:
+            while True:
+                now = self.manifest()
+                if stream is not None and now.streams.get(stream, -1) >= batch_id:
+                    return
+                # At most one row a bucket.
+                touched = [str(r[0]) for r in self._bucketed(new, now.buckets).select(_BUCKET).distinct().collect()]
+                schema = self._schema(now, new)
+                old = self._rows(replace(now, schema=schema), touched) if now.version is not None else None
+                files = self._store(combine(old, new), now.buckets)
+
+                def change(head: Manifest) -> Manifest | None:
+                    if stream is not None and head.streams.get(stream, -1) >= batch_id:
+                        return None
+                    kept = {b: f for b, f in head.files.items() if b not in touched}
+                    streams = dict(head.streams) | ({stream: batch_id} if stream is not None else {})
+                    return replace(head, buckets=now.buckets, schema=self._schema(head, new), files=kept | files, streams=streams)
+
+                try:
+                    self._commit(now, change, touched)
+                    return
+                except Conflict:
+                    continue
+        finally:
+            fs, path = self._hadoop(staged)
+            fs.delete(path, True)
+
+    def retain(self, versions: int, grace_seconds: float = 86_400.0) -> int:
+        """Forget all but the newest ``versions``, and remove files that no remaining version names.  Files younger than
+        ``grace_seconds`` stay, as a write that is under way may be about to name them.  Returns the number of files removed."""
+        known = self.versions()
+        fs, _ = self._hadoop()
+        for number in known[:-versions]:
+            fs.delete(self._hadoop(f"versions/{number:012d}.json")[1], False)
+        named = {f for v in known[-versions:] for files in self.manifest(v).files.values() for f in files}
+        removed = 0
+        for folder in self._names("data"):
+            files = self._files(f"data/{folder}")
+            for name in files:
+                path = self._hadoop(name)[1]
+                if name not in named and time.time() - fs.getFileStatus(path).getModificationTime() / 1000 >= grace_seconds:
+                    fs.delete(path, False)
+                    removed += 1
+                    files = [f for f in files if f != name]
+            if not files:
+                fs.delete(self._hadoop(f"data/{folder}")[1], True)
+        return removed
 
 
 def upsert(old: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -119,21 +309,33 @@ def write_features(
         check_schema(df, view)
     start = time.monotonic()
     counted, seen = _counted(one_per_key(df, table.keys) if mode == "merge" else df, "features")
-    old = None if mode == "overwrite" else table.read()
-    if old is None:
+    if mode == "overwrite":
         table.publish(counted)
     elif mode == "append":
-        table.publish(old.unionByName(counted, allowMissingColumns=True))
+        table.append(counted)
     else:
-        # The new rows feed both the anti-join and the union; stored once, they are counted once.
-        counted = counted.persist()
-        try:
-            table.publish(upsert(old, counted, table.keys))
-        finally:
-            counted.unpersist()
+        table.merge(counted, lambda old, new: upsert(old, new, table.keys))
     return WriteResult(int(seen.get["rows"]), 0, int((time.monotonic() - start) * 1000))
 
 
+def merge_latest(
+    df: DataFrame,
+    table: VersionedTable,
+    event_time: str = "event_time",
+    created: str | None = "ingestion_time",
+    stream: str | None = None,
+    batch_id: int | None = None,
+) -> None:
+    """Merge rows into a table of the newest row per key: an older event replaces nothing."""
+
+    def newest(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        both = new if old is None else old.unionByName(new, allowMissingColumns=True)
+        return latest_per_entity(both, table.keys, event_time, created if created in both.columns else None)
+
+    # Reduced before it is staged: a hot key is one row.
+    table.merge(newest(None, df), newest, stream, batch_id)
+
+
 def write_features_stream(
     stream: DataFrame,
     table: VersionedTable,
@@ -143,19 +345,14 @@ def write_features_stream(
     event_time: str = "event_time",
     created: str | None = "ingestion_time",
 ) -> DataStreamWriter:
-    """Merge every micro-batch into the table, newest row per key.  Exactly once: the number of
-    the last merged batch is part of the table's pointer, and a replayed batch is skipped."""
+    """Merge every micro-batch into the table, newest row per key; buckets without a key of the batch stay as they are.  Exactly
+    once: the number of the last merged batch is part of the table's manifest, and a replayed batch is skipped."""
     if not checkpoint:
         raise ValueError("a streaming write needs a checkpoint location")
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        done = table.state()["streams"].get(name)
-        if done is not None and batch_id <= done:
-            return
-        old = table.read()
-        both = batch if old is None else old.unionByName(batch, allowMissingColumns=True)
-        newest = latest_per_entity(both, table.keys, event_time, created if created in both.columns else None)
-        table.publish(newest, name, batch_id)
+        if table.state()["streams"].get(name, -1) < batch_id:
+            merge_latest(batch, table, event_time, created, name, batch_id)
 
     return (
         stream.writeStream.foreachBatch(merge_batch)
@@ -231,9 +428,7 @@ def ingest(
             per_reason = bad.groupBy("reject_reason").count().orderBy(F.desc("count"), "reject_reason").collect()
             reasons = [f"{r['reject_reason']}: {r['count']}" for r in per_reason]
         if view.online:
-            old = online.read()
-            both = good if old is None else old.unionByName(good)
-            online.publish(latest_per_entity(both, view.keys))
+            merge_latest(good, online)
     finally:
         df.unpersist()
     return WriteResult(n_new, n_bad, int((time.monotonic() - start) * 1000), reasons)
