@@ -7,9 +7,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.model import Entity, Feature, FeatureView, ValueType
+from tidemark.model import Entity, Feature, FeatureView, TrainingSpec, ValueType
 from tidemark.functions.timecols import micros
-from tidemark.operators.pit import AsOfSource, multi_pit_join, pit_join, pit_join_bucketed, training_set
+from tidemark.operators.pit import AsOfSource, multi_pit_join, pit_join, pit_join_bucketed, training_set, training_set_for
 from tidemark.operators.skew import find_hot_keys
 from tidemark.plans.asof import training_inputs
 from tidemark.plans.inputs import events, interest, purchases
@@ -158,3 +158,51 @@ def test_plan_has_no_join(spark, sf):
     )._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Cartesian" not in plan
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def keyed_views(spark):
+    user = FeatureView("u", (Entity("user", ("user_id",)),), (Feature("x", ValueType.INT32),), ttl_seconds=3600)
+    item = FeatureView("i", (Entity("item", ("item_id",)),), (Feature("x", ValueType.INT32),), ttl_seconds=60)
+    both = FeatureView("b", (Entity("pair", ("user_id", "item_id")),), (Feature("x", ValueType.INT32),), ttl_seconds=10**9)
+    at = lambda s: dt.datetime(2026, 4, 22, 10) + dt.timedelta(seconds=s)
+    labels = spark.createDataFrame(
+        [(1, "a", "p", at(100)), (2, "a", None, at(100)), (3, None, "p", at(100)), (4, "b", "q", at(200)), (4, "b", "q", at(200)), (5, "c", "p", None)],
+        "n int, user_id string, item_id string, ts timestamp",
+    )
+    stores = [
+        (user, spark.createDataFrame([("a", at(0), 1), ("a", at(101), 2), (None, at(0), 3), ("b", at(200), 4)], "user_id string, event_time timestamp, x int")),
+        (item, spark.createDataFrame([("p", at(50), 5), ("q", at(100), 6), (None, at(90), 7)], "item_id string, event_time timestamp, x int")),
+        (both, spark.createDataFrame([("a", "p", at(-10**7), 8), ("b", "p", at(0), 9)], "user_id string, item_id string, event_time timestamp, x int")),
+    ]
+    return labels, stores
+
+
+def test_views_with_their_own_keys(spark):
+    labels, stores = keyed_views(spark)
+    want = sorted([(1, 1, 5, 8), (2, 1, None, None), (3, None, 5, None), (4, 4, None, None), (4, 4, None, None), (5, None, None, None)], key=str)
+    got = training_set(labels, stores, None, "ts").select("n", "u__x", "i__x", "b__x").collect()
+    assert sorted(map(tuple, got), key=str) == want
+    renamed = labels.withColumnRenamed("user_id", "buyer").withColumnRenamed("item_id", "thing")
+    keys = {"u": ["buyer"], "i": ["thing"], "b": ["buyer", "thing"]}
+    got = training_set(renamed, stores, keys, "ts").select("n", "u__x", "i__x", "b__x").collect()
+    assert sorted(map(tuple, got), key=str) == want
+    with pytest.raises(ValueError):
+        training_set(renamed, stores, {**keys, "b": ["buyer"]}, "ts")
+
+
+def test_a_training_set_by_its_specification(spark):
+    labels, stores = keyed_views(spark)
+    spec = TrainingSpec("labels", ("user_id", "item_id"), "ts", ("u", "i"), ("i:x", "u:x"))
+    out = training_set_for(spec, labels, {v.name: (v, df) for v, df in stores}, exclude=("ts",))
+    assert out.columns == ["n", "user_id", "item_id", "u__x", "i__x"]
+    assert {(r.n, r.u__x, r.i__x) for r in out.collect()} == {(1, 1, 5), (2, 1, None), (3, None, 5), (4, 4, None), (5, None, None)}
+    with pytest.raises(ValueError):
+        training_set_for(TrainingSpec("labels", ("user_id",), "ts", ("u", "i")), labels, {v.name: (v, df) for v, df in stores})
+
+
+def test_one_pass_for_each_key_list(spark):
+    """Views of one key share a pass: as many exchanges by key as there are key lists, and no join."""
+    labels, stores = keyed_views(spark)
+    twin = FeatureView("u2", stores[0][0].entities, stores[0][0].features, ttl_seconds=60)
+    plan = training_set(labels, [*stores[:2], (twin, stores[0][1])], None, "ts", hot=None)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2

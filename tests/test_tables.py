@@ -321,3 +321,26 @@ def test_stream_reader_arguments(spark, tmp_path):
     assert readers.rate_options("kinesis", 300, 30) == {"kinesis.executor.maxFetchRecordsPerShard": "300"}
     s = readers.read_event_stream(spark, "json", schema=readers.EVENT_SCHEMA, path=str(tmp_path), maxFilesPerTrigger="1")
     assert s.isStreaming
+
+
+def test_lookup_in_several_views(spark):
+    user = FeatureView("u", (Entity("user", ("user_id",)),), (Feature("x", ValueType.INT32), Feature("y", ValueType.INT32)), ttl_seconds=3600)
+    item = FeatureView("i", (Entity("item", ("item_id",)),), (Feature("x", ValueType.INT32),), ttl_seconds=10**9)
+    users = spark.createDataFrame([("a", T0, 1, 10), ("b", T0 - dt.timedelta(hours=2), 2, None)], "user_id string, event_time timestamp, x int, y int")
+    items = spark.createDataFrame([("p", T0 - dt.timedelta(days=900), 5)], "item_id string, event_time timestamp, x int")
+    asked = spark.createDataFrame(
+        [(1, "a", "p", T0, "ios"), (2, "b", None, T0, None), (3, None, "q", T0, "web"), (4, "z", "p", None, "web"), (1, "a", "p", T0, "ios")],
+        "n int, user_id string, item_id string, at timestamp, device_type string",
+    )
+    stores = [(user, users), (item, items)]
+    out = snapshot.lookup_many(asked, stores, ["u:x", "i:x"], F.lit(T0), request_ts="at")
+    assert out.columns == [*asked.columns, "hour_of_day", "u__x", "u__is_stale", "i__x", "i__is_stale"]
+    got = sorted((r.n, r.device_type, r.hour_of_day, r.u__x, r.u__is_stale, r.i__x, r.i__is_stale) for r in out.where("n <> 4").collect() if r.device_type)
+    assert got == [(1, "ios", 10, 1, False, 5, False)] * 2 + [(3, "web", 10, None, False, None, False)]
+    assert [(r.u__x, r.u__is_stale, r.i__x, r.hour_of_day) for r in out.where("n = 2").collect()] == [(2, True, None, 10)]
+    assert [(r.u__x, r.i__x, r.hour_of_day) for r in out.where("n = 4").collect()] == [(None, 5, None)]
+    short = snapshot.lookup_many(asked.withColumnRenamed("user_id", "who"), stores, ["u:y", "i:x"], F.lit(T0), {"u": ["who"]}, full_names=False)
+    assert {(r.n, r.y, r.x) for r in short.collect()} == {(1, 10, 5), (2, None, None), (3, None, None), (4, None, 5)}
+    for wrong in (["u:x", "i:x"], ["nothing:x"], ["u:nothing"]):
+        with pytest.raises(ValueError):
+            snapshot.lookup_many(asked, stores, wrong, F.lit(T0), full_names=False)

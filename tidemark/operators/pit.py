@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.timecols import duration_micros, micros
-from tidemark.model import FeatureView
+from tidemark.model import FeatureView, TrainingSpec
 from tidemark.operators.skew import AUTO, ROWS_PER_SLICE, HotKeys, add_slices, carries, resolve_hot, task_keys
 
 _T = "__t"
@@ -251,10 +251,36 @@ def pit_join_bucketed(
     return best.select(*outputs)
 
 
+def chosen_features(views: list[FeatureView], select: list[str] | None) -> dict[str, list[str]]:
+    """View name -> its features among the ``view:feature`` names of ``select`` (None: all), in the order of the views."""
+    wanted: dict[str, list[str]] = {v.name: [] if select is not None else list(v.feature_names) for v in views}
+    for name in select or []:
+        view_name, _, feature = name.partition(":")
+        if view_name not in wanted:
+            raise ValueError(f"no view {view_name!r} is given")
+        wanted[view_name].append(feature)
+    for view in views:
+        missing = [n for n in wanted[view.name] if n not in view.feature_names]
+        if missing:
+            raise ValueError(f"{view.name} has no feature {missing}")
+    return {name: features for name, features in wanted.items() if features}
+
+
+def by_key_list(views: list[FeatureView], keys: list[str] | dict[str, list[str]] | None) -> dict[tuple[str, ...], list[FeatureView]]:
+    """Views by the caller's columns that hold their key: ``keys`` for all views, or by view; else columns named like the view's own."""
+    out: dict[tuple[str, ...], list[FeatureView]] = {}
+    for view in views:
+        own = keys.get(view.name, view.keys) if isinstance(keys, dict) else keys or view.keys
+        if isinstance(keys, dict) and len(own) != len(view.keys):
+            raise ValueError(f"{view.name} is keyed by {list(view.keys)}, not by {len(own)} columns")
+        out.setdefault(tuple(own), []).append(view)
+    return out
+
+
 def training_set(
     labels: DataFrame,
     views: list[tuple[FeatureView, DataFrame]],
-    keys: list[str],
+    keys: list[str] | dict[str, list[str]] | None,
     label_ts: str,
     select: list[str] | None = None,
     exclude: tuple[str, ...] = (),
@@ -266,31 +292,38 @@ def training_set(
 ) -> DataFrame:
     """Labels with the features of several views as known at each label, named ``view__feature``.
 
-    ``select`` lists ``view:feature`` names (None = all).  Views with the labels' entity share one
-    pass; each uses its own TTL.  ``exclude`` drops columns such as keys and times at the end.
+    ``select`` lists ``view:feature`` names (None = all).  ``keys`` names the labels' key columns: one list for all views, a list by view
+    name, or None where labels name them as each view does.  Views of one key list share one pass, each with its own
+    TTL; the labels, with what they have so far, go through one pass for every key list, so nothing is joined back.  A
+    null key matches nothing.  ``exclude`` drops columns such as keys and times at the end.
     """
-    wanted: dict[str, list[str]] | None = None
-    if select is not None:
-        wanted = {}
-        for name in select:
-            view_name, _, feature = name.partition(":")
-            wanted.setdefault(view_name, []).append(feature)
-        unknown = set(wanted) - {v.name for v, _ in views}
-        if unknown:
-            raise ValueError(f"views not given: {sorted(unknown)}")
-    sources = []
-    for view, df in views:
-        names = view.feature_names if wanted is None else wanted.get(view.name, [])
-        missing = [n for n in names if n not in view.feature_names]
-        if missing:
-            raise ValueError(f"{view.name} has no feature {missing}")
-        if not names:
-            continue
-        tie = created if created and created in df.columns else None
-        sources.append(
-            AsOfSource(df, feature_ts, {n: f"{view.name}__{n}" for n in names}, view.ttl_seconds, tie)
-        )
+    wanted = chosen_features([v for v, _ in views], select)
+    tables = {v.name: df for v, df in views}
+    groups = by_key_list([v for v, _ in views if v.name in wanted], keys)
+    if len(groups) > 1 and hot is not None and hot != AUTO:
+        raise ValueError("a list of hot keys belongs to one key list")
     joined = labels
-    if sources:
-        joined = multi_pit_join(labels, sources, keys, label_ts, strict, "left", rows_per_slice, hot)
+    for own, members in groups.items():
+        sources = [
+            AsOfSource(
+                tables[v.name],
+                feature_ts,
+                {n: f"{v.name}__{n}" for n in wanted[v.name]},
+                v.ttl_seconds,
+                created if created and created in tables[v.name].columns else None,
+                keys=list(own) if isinstance(keys, list) else list(v.keys),
+            )
+            for v in members
+        ]
+        joined = multi_pit_join(joined, sources, list(own), label_ts, strict, "left", rows_per_slice, hot)
     return joined.drop(*exclude) if exclude else joined
+
+
+def training_set_for(spec: TrainingSpec, labels: DataFrame, stores: dict[str, tuple[FeatureView, DataFrame]], **options) -> DataFrame:
+    """The training set that ``spec`` describes; ``stores`` has every view's history by the view's name."""
+    views = [stores[name] for name in spec.views]
+    strange = sorted({k for v, _ in views for k in v.keys} - set(spec.join_keys))
+    if strange:
+        raise ValueError(f"{strange} are no join keys of the training set")
+    select = None if spec.features is None else list(spec.features)
+    return training_set(labels, views, None, spec.event_time_column, select, **options)

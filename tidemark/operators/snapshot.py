@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timecols import duration_micros, micros
 from tidemark.model import FeatureView
+from tidemark.operators.pit import by_key_list, chosen_features
 
 
 def latest_per_entity(
@@ -69,6 +70,49 @@ def snapshot_lookup(
     return joined.withColumn("is_stale", stale).drop("__et")
 
 
+def lookup_many(
+    requests: DataFrame,
+    stores: list[tuple[FeatureView, DataFrame]],
+    select: list[str] | None,
+    as_of: Column,
+    keys: list[str] | dict[str, list[str]] | None = None,
+    event_time: str = "event_time",
+    full_names: bool = True,
+    request_ts: str | None = None,
+) -> DataFrame:
+    """Requests with the ``view:feature`` names of ``select`` (None: all) from several snapshots, each found by its view's own key.
+
+    ``keys`` names the requests' key columns as in ``training_set``.  All columns of the request stay, with what is computed from the
+    request itself (``request_features``) where ``request_ts`` names its time.  Each view that is asked has ``<view>__is_stale``: its row is
+    older than the view's TTL.  Absent rows and null keys give null features that are not stale.  Views of one key list
+    follow each other, so the requests are dealt out once for each key list; a snapshot has one row per entity, so no
+    join multiplies.
+    """
+    wanted = chosen_features([v for v, _ in stores], select)
+    tables = {v.name: df for v, df in stores}
+    names = [n if not full_names else f"{view}__{n}" for view, features in wanted.items() for n in features]
+    twice = sorted({n for n in names if names.count(n) > 1 or n in requests.columns})
+    if twice:
+        raise ValueError(f"{twice} would stand for several columns; use full names")
+    out = requests if request_ts is None else request_features(requests, request_ts)
+    for own, members in by_key_list([v for v, _ in stores if v.name in wanted], keys).items():
+        for view in members:
+            theirs = list(own) if isinstance(keys, list) else list(view.keys)
+            renamed = {n: f"{view.name}__{n}" if full_names else n for n in wanted[view.name]}
+            chosen = tables[view.name].select(
+                *[F.col(k).alias(f"__k{i}") for i, k in enumerate(theirs)],
+                F.col(event_time).alias("__et"),
+                *[F.col(c).alias(name) for c, name in renamed.items()],
+            )
+            same = F.lit(True)
+            for i, k in enumerate(own):
+                same = same & (out[k] == chosen[f"__k{i}"])
+            joined = out.join(chosen, same, "left")
+            stale = F.col("__et").isNotNull() & (micros("__et") < micros(as_of) - F.lit(duration_micros(view.ttl_seconds)))
+            out = joined.withColumn(f"{view.name}__is_stale", stale).drop("__et", *[f"__k{i}" for i in range(len(theirs))])
+    return out
+
+
 def request_features(requests: DataFrame, ts: str) -> DataFrame:
     """Features computed from the request itself."""
     return requests.withColumn("hour_of_day", F.hour(ts).cast("int"))

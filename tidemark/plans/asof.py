@@ -143,6 +143,39 @@ def training_set_sliced(spark, sf):
     )
 
 
+PRODUCT_VIEW = FeatureView(
+    "product",
+    (Entity("product", ("product_id",), ValueType.STRING),),
+    (Feature("amount", ValueType.DOUBLE), Feature("user_id", ValueType.INT64)),
+    ttl_seconds=12 * 3600,
+)
+BUYER_VIEW = FeatureView(
+    "buyer",
+    (Entity("user_product", ("user_id", "product_id")),),
+    (Feature("amount", ValueType.DOUBLE),),
+    ttl_seconds=20 * 86400,
+)
+
+
+def two_key_inputs(spark, sf):
+    """Purchases, some without a product, and views of the user, the product and both; the label's user has another name."""
+    labels, views = training_inputs(spark, sf)
+    ev = events(spark, sf)
+    product = F.when(F.col("amount") > 20, F.col("product_id")).alias("product_id")
+    bought = ev.where("event_type = 'purchase'").select("event_id", F.col("user_id").alias("buyer_id"), product, F.col("event_ts").alias("label_ts"))
+    history = ev.withColumnRenamed("event_ts", "event_time")
+    seen = history.where("event_type IN ('view', 'error')")
+    keys = {"interest": ["buyer_id"], "trouble": ["buyer_id"], "buyer": ["buyer_id", "product_id"]}
+    return bought, [*views, (PRODUCT_VIEW, seen), (BUYER_VIEW, history.where("event_type = 'click'"))], keys
+
+
+def training_set_two_keys(spark, sf):
+    """Features of the buyer, of the product and of both together: one pass for each key list."""
+    labels, views, keys = two_key_inputs(spark, sf)
+    select = ["interest:amount", "trouble:event_type", "product:amount", "product:user_id", "buyer:amount"]
+    return build_training_set(labels, views, keys, "label_ts", select, exclude=("label_ts",), created="event_id")
+
+
 LIFETIME_VIEW = FeatureView(
     "lifetime",
     (Entity("customer", ("customer_id",), ValueType.INT64),),
@@ -192,6 +225,7 @@ QUERIES = {
         pit_join_tombstone,
         training_set,
         training_set_sliced,
+        training_set_two_keys,
         training_set_lifetime,
     )
 }
@@ -260,6 +294,25 @@ b AS (SELECT l.event_id, f.event_ts > l.event_ts - INTERVAL 24 HOURS AS ok, f.am
 SELECT l.event_id, l.label, a.amount AS interest__amount, a.product_id AS interest__product_id,
        b.amount AS trouble__amount, b.event_type AS trouble__event_type
 FROM l LEFT JOIN a ON a.event_id = l.event_id AND a.ok LEFT JOIN b ON b.event_id = l.event_id AND b.ok""",
+    "training_set_two_keys": f"""WITH {EV},
+l AS (SELECT event_id, user_id AS buyer_id, CASE WHEN amount > 20 THEN product_id END AS product_id, event_ts
+      FROM ev WHERE event_type = 'purchase'),
+a AS (SELECT l.event_id, f.event_ts > l.event_ts - INTERVAL 6 HOURS AS ok, f.amount
+      FROM l ASOF JOIN (SELECT * FROM ev WHERE event_type IN ('view', 'click')) f
+      ON l.buyer_id = f.user_id AND l.event_ts >= f.event_ts),
+b AS (SELECT l.event_id, f.event_ts > l.event_ts - INTERVAL 24 HOURS AS ok, f.event_type
+      FROM l ASOF JOIN (SELECT * FROM ev WHERE event_type IN ('error', 'signup')) f
+      ON l.buyer_id = f.user_id AND l.event_ts >= f.event_ts),
+c AS (SELECT l.event_id, f.event_ts > l.event_ts - INTERVAL 12 HOURS AS ok, f.amount, f.user_id
+      FROM l ASOF JOIN (SELECT * FROM ev WHERE event_type IN ('view', 'error')) f
+      ON l.product_id = f.product_id AND l.event_ts >= f.event_ts),
+d AS (SELECT l.event_id, f.event_ts > l.event_ts - INTERVAL 20 DAYS AS ok, f.amount
+      FROM l ASOF JOIN (SELECT * FROM ev WHERE event_type = 'click') f
+      ON l.buyer_id = f.user_id AND l.product_id = f.product_id AND l.event_ts >= f.event_ts)
+SELECT l.event_id, l.buyer_id, l.product_id, a.amount AS interest__amount, b.event_type AS trouble__event_type,
+       c.amount AS product__amount, c.user_id AS product__user_id, d.amount AS buyer__amount
+FROM l LEFT JOIN a ON a.event_id = l.event_id AND a.ok LEFT JOIN b ON b.event_id = l.event_id AND b.ok
+LEFT JOIN c ON c.event_id = l.event_id AND c.ok LEFT JOIN d ON d.event_id = l.event_id AND d.ok""",
     "training_set_lifetime": """WITH first AS (
   SELECT o_custkey, l_partkey, min((o_orderdate, o_orderkey)) AS o FROM lineitem JOIN orders ON o_orderkey = l_orderkey
   GROUP BY ALL),

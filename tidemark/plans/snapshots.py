@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timecols import naive_timestamps
 from tidemark.operators import formats, lifetime, snapshot
+from tidemark.plans.asof import INTEREST_VIEW, PRODUCT_VIEW, TROUBLE_VIEW
 from tidemark.plans.inputs import EV, LATE, events, table, utc, with_lateness
 from tidemark.sinks.tables import upsert
 
@@ -58,6 +59,29 @@ def snapshot_lookup(spark, sf):
     )
 
 
+def lookup_many_views(spark, sf):
+    """Every event asks for its user's interest and trouble and its product's state as of the 31st; device and latency come with the
+    request, the hour is computed from it."""
+    ev = events(spark, sf)
+    history = ev.withColumnRenamed("event_ts", "event_time")
+    stores = [
+        (view, snapshot.latest_per_entity(history.where(kinds).where(F.col(view.keys[0]).isNotNull()), list(view.keys), created="event_id"))
+        for view, kinds in (
+            (INTEREST_VIEW, "event_type IN ('view', 'click') AND event_time < '2024-01-25'"),
+            (TROUBLE_VIEW, "event_type IN ('error', 'signup')"),
+            (PRODUCT_VIEW, "event_type = 'purchase' AND amount > 100"),
+        )
+    ]
+    requests = ev.select(
+        "event_id", F.col("user_id").alias("asked_user"), F.when(F.col("amount") > 10, F.col("product_id")).alias("product_id"),
+        "event_ts", F.col("event_type").alias("device_type"), (F.col("amount") / 10).cast("float").alias("client_latency_ms"),
+    )
+    select = ["interest:amount", "interest:product_id", "trouble:event_type", "product:amount", "product:user_id"]
+    keys = {"interest": ["asked_user"], "trouble": ["asked_user"]}
+    out = snapshot.lookup_many(requests, stores, select, utc("2024-01-31"), keys, request_ts="event_ts")
+    return naive_timestamps(out)
+
+
 def request_features(spark, sf):
     ev = events(spark, sf).select("event_id", "user_id", "event_ts", F.col("event_type").alias("device_type"))
     return naive_timestamps(snapshot.request_features(ev, "event_ts"))
@@ -216,6 +240,7 @@ QUERIES = {
         push_backfill_union,
         idempotent_append,
         snapshot_lookup,
+        lookup_many_views,
         request_features,
         parity_report,
         delete_entities,
@@ -254,6 +279,21 @@ s AS (SELECT * FROM ev WHERE event_type = 'purchase'
 SELECT ev.event_id, ev.user_id, s.amount AS orders__amount, s.product_id AS orders__product_id,
        coalesce(s.event_ts < TIMESTAMP '2024-01-31' - INTERVAL 1 DAY, false) AS is_stale
 FROM ev LEFT JOIN s ON s.user_id = ev.user_id""",
+    "lookup_many_views": f"""WITH {EV},
+a AS (SELECT * FROM ev WHERE event_type IN ('view', 'click') AND event_ts < '2024-01-25'
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_ts DESC, event_id DESC) = 1),
+b AS (SELECT * FROM ev WHERE event_type IN ('error', 'signup')
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_ts DESC, event_id DESC) = 1),
+c AS (SELECT * FROM ev WHERE event_type = 'purchase' AND amount > 100 AND product_id IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY event_ts DESC, event_id DESC) = 1),
+r AS (SELECT event_id, user_id AS asked_user, CASE WHEN amount > 10 THEN product_id END AS product_id, event_ts,
+             event_type AS device_type, CAST(amount / 10 AS FLOAT) AS client_latency_ms, CAST(hour(event_ts) AS INTEGER) AS hour_of_day FROM ev)
+SELECT r.*, a.amount AS interest__amount, a.product_id AS interest__product_id, b.event_type AS trouble__event_type,
+       c.amount AS product__amount, c.user_id AS product__user_id,
+       coalesce(a.event_ts < TIMESTAMP '2024-01-31' - INTERVAL 6 HOURS, false) AS interest__is_stale,
+       coalesce(b.event_ts < TIMESTAMP '2024-01-31' - INTERVAL 24 HOURS, false) AS trouble__is_stale,
+       coalesce(c.event_ts < TIMESTAMP '2024-01-31' - INTERVAL 12 HOURS, false) AS product__is_stale
+FROM r LEFT JOIN a ON a.user_id = r.asked_user LEFT JOIN b ON b.user_id = r.asked_user LEFT JOIN c ON c.product_id = r.product_id""",
     "request_features": """
 SELECT event_id, user_id, ts AS event_ts, event_type AS device_type, CAST(hour(ts) AS INTEGER) AS hour_of_day FROM events""",
     "parity_report": """
