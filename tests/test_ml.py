@@ -35,10 +35,26 @@ def test_split_is_exact_and_repeatable(rows):
     assert not split.select("entity_id", "is_test").exceptAll(other.select("entity_id", "is_test")).isEmpty()
 
 
-def test_sizes_by_largest_remainder():
-    assert ml.test_sizes({"a": 7, "b": 2, "c": 1}, 0.2) == {"a": 2, "b": 0, "c": 0} or sum(
-        ml.test_sizes({"a": 7, "b": 2, "c": 1}, 0.2).values()
-    ) == 2
+def sizes(spark, classes, share):
+    rows = spark.createDataFrame(list(classes.items()), "y string, count long")
+    return {r.y: r.test for r in ml.test_sizes(rows, "y", share).collect()}
+
+
+def test_sizes_by_largest_remainder(spark):
+    assert sizes(spark, {"a": 7, "b": 2, "c": 1}, 0.2) == {"a": 2, "b": 0, "c": 0}
+    assert sizes(spark, {"a": 5, "b": 5, "c": 5}, 0.3) == {"a": 2, "b": 2, "c": 1}  # equal remainders: by name
+    assert sizes(spark, {"a": 6 * 10**9, "b": 1}, 0.5) == {"a": 3 * 10**9, "b": 1}
+    assert sizes(spark, {}, 0.5) == {}
+
+
+def test_many_classes(spark):
+    """Classes are rows: there is no bound on their number."""
+    rows = spark.range(30_000).selectExpr("id", "concat('class', id % 12000) AS y")
+    split = ml.stratified_split(rows, "y", "id", test_size=0.5).cache()
+    assert split.where("is_test").count() == 15_000
+    per_class = split.groupBy("y").agg(F.count_if("is_test").alias("t"), F.count("*").alias("n"))
+    assert per_class.where("abs(t - n / 2) > 0.5").isEmpty()
+    split.unpersist()
 
 
 @pytest.mark.parametrize(

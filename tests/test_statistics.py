@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.buckets import value_bucket
+from tidemark.functions.timecols import duration_micros
 from tidemark.operators import baseline, drift, quantiles
 
 
@@ -204,3 +205,84 @@ def test_auc_with_ties_and_one_class(spark):
     df = spark.createDataFrame([(0.1, 0), (0.4, 0), (0.4, 1), (0.8, 1), (None, 1)], "s double, y int")
     assert quantiles.score_counts(df, "s", F.col("y") == 1, 0.5).first().roc_auc == pytest.approx(3.5 / 4)
     assert quantiles.score_counts(df.where("y = 1"), "s", F.col("y") == 1, 0.5).first().roc_auc is None
+
+
+@pytest.fixture()
+def small_cells(monkeypatch):
+    """Cells of at most 2 000 values; what is left to order after the last pass."""
+    monkeypatch.setattr(quantiles, "CELL", 2_000)
+    seen, fetch = [], quantiles.fetch_small
+
+    def watched(df, *args):
+        found = fetch(df, *args)
+        if "__suspect" in df.columns:
+            seen.append(found[0])
+        return found
+
+    monkeypatch.setattr(quantiles, "fetch_small", watched)
+    return seen
+
+
+def largest_cell(kept):
+    wanted = (F.col("__lo") < F.col("__hi")) & (F.col("__suspect") | (F.size("__ranks") > 0))
+    return kept.where(wanted).agg(F.max(F.col("__nb") + F.col("__nc"))).first()[0] or 0
+
+
+def test_values_in_a_narrow_range_are_cut_into_cells(spark, small_cells):
+    """A million distinct values near 1.7e9 share a few value buckets."""
+    n = 1_000_000
+    base = spark.range(n).selectExpr("1.7e9 + (id * 7919L) % 1000000L AS x")
+    got = {r.prob: r["quantile"] for r in quantiles.exact_quantiles(base.withColumn("g", F.lit(1)), ["g"], "x", [0, 0.1, 0.5, 0.99, 1]).collect()}
+    assert got == {p: pytest.approx(1.7e9 + p * (n - 1), abs=1e-6) for p in (0, 0.1, 0.5, 0.99, 1)}
+    assert len(small_cells) == 2 and largest_cell(small_cells[0]) > 100_000 and largest_cell(small_cells[-1]) <= 2_000
+    small_cells.clear()
+    current = spark.range(n).selectExpr("1.7e9 + 500.5 + (id * 7919L) % 1000000L AS x")
+    long = base.selectExpr("1 AS g", "x", "false AS c").unionByName(current.selectExpr("1 AS g", "x", "true AS c"))
+    row = quantiles.two_sample_distance(long, ["g"], "x", "c").first()
+    assert (row.n_base, row.n_cur) == (n, n) and row.ks_stat == pytest.approx(501 / n, rel=1e-12)
+    assert largest_cell(small_cells[-1]) <= 2_000
+
+
+def test_cells_with_ties_and_gaps(spark, small_cells):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([np.full(9_000, 1e6), 1e6 + rng.integers(0, 50, 8_000), 1e6 + rng.random(9_000) * 1e-3, [2e6, np.inf, -np.inf, -1e6]])
+    y = np.concatenate([np.full(5_000, 1e6), 1e6 + rng.integers(0, 40, 9_000), 1e6 + rng.random(7_000) * 1.2e-3])
+    long = spark.createDataFrame(pd.DataFrame({"g": ["a"] * len(x) + ["a"] * len(y), "v": np.concatenate([x, y]), "c": [False] * len(x) + [True] * len(y)}))
+    assert quantiles.two_sample_distance(long, ["g"], "v", "c").first().ks_stat == pytest.approx(np_ks(x, y), abs=1e-15)
+    base = long.where("NOT c")
+    for r in quantiles.exact_quantiles(base, ["g"], "v", [0.05, 0.3, 0.5, 0.77, 0.99]).collect():
+        assert r["quantile"] == np.quantile(x, r.prob)
+    assert largest_cell(small_cells[-1]) <= 2_000
+
+
+def test_scores_in_a_narrow_range(spark):
+    """The area under the curve where all scores share one bucket; ties count one half."""
+    rng = np.random.default_rng(6)
+    s = 0.5 + rng.integers(0, 3_000, 6_000) * 1e-9
+    y = (rng.random(6_000) < 0.3 + (s - 0.5) * 1e5).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"s": s, "y": y}))
+    row = quantiles.score_counts(df, "s", F.col("y") == 1, 0.5).first()
+    diff = s[y == 1][:, None] - s[y == 0][None, :]
+    assert row.roc_auc == pytest.approx(((diff > 0) + 0.5 * (diff == 0)).mean(), abs=1e-12)
+    assert (row.n_pos, row.n_neg) == (int(y.sum()), int((1 - y).sum()))
+
+
+def test_tables_above_the_bound_are_written_once(spark):
+    from tidemark.functions.bounded import fetch_small
+
+    kept, small = fetch_small(spark.range(50).withColumn("r", F.rand()), 10)
+    assert not small and kept.count() == 50 and kept.inputFiles()
+    assert sorted(kept.collect()) == sorted(kept.collect())
+
+
+@pytest.mark.parametrize(
+    "text,micros", [("6 hours", 21_600_000_000), ("1.5 hours", 5_400_000_000), ("1 day 2 hours", 93_600_000_000), ("2weeks", 1_209_600_000_000), (0.5, 500_000)]
+)
+def test_durations(text, micros):
+    assert duration_micros(text) == micros
+
+
+@pytest.mark.parametrize("text", ["-5 minutes", "5", "hours", "5 fortnights", "5 minutes ago!", "0 seconds", "", "1.2.3 hours", "0.3 microseconds"])
+def test_what_is_no_duration(text):
+    with pytest.raises(ValueError):
+        duration_micros(text)

@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scratch import written_once
+
 MAX_BROADCAST_ROWS = 200_000
 
 
 def fetch_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Evaluate a derived table once when it is small: ``(local relation, True)``.
 
-    At most ``max_rows + 1`` rows are looked at; a larger table comes back as it was, with False,
-    and must be joined without a broadcast hint.
+    At most ``max_rows + 1`` rows are looked at; a larger table comes back written to the checkpoint folder, with
+    False, and must be joined without a broadcast hint.
     """
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
-        return df, False
+        return written_once(df, "bounded"), False
     return local_rows(df, rows), True
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,18 +22,20 @@ UNIT_MICROS = {
 
 
 def duration_micros(duration: str | int | float) -> int:
-    """``'6 hours'`` -> microseconds; a bare number is seconds."""
+    """``'6 hours'``, ``'1.5 hours'``, ``'1 day 2 hours'`` -> microseconds; a bare number is seconds."""
     if isinstance(duration, (int, float)):
         return int(round(duration * 1_000_000))
-    total = 0
-    for amount, unit in re.findall(r"(\d+)\s*([a-zA-Z]+)", duration):
+    if not re.fullmatch(r"\s*(\d+(\.\d+)?\s*[a-zA-Z]+\s*)+", duration):
+        raise ValueError(f"not a duration: {duration!r}")
+    total = Decimal(0)
+    for amount, unit in re.findall(r"([\d.]+)\s*([a-zA-Z]+)", duration):
         name = unit.lower().rstrip("s")
         if name not in UNIT_MICROS:
             raise ValueError(f"unknown time unit in {duration!r}")
-        total += int(amount) * UNIT_MICROS[name]
-    if total <= 0:
-        raise ValueError(f"not a positive duration: {duration!r}")
-    return total
+        total += Decimal(amount) * UNIT_MICROS[name]
+    if total <= 0 or total != int(total):
+        raise ValueError(f"not a positive duration in whole microseconds: {duration!r}")
+    return int(total)
 
 
 def micros(ts: Column | str) -> Column:

@@ -11,6 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scratch import written_once
+from tidemark.operators.ordering import in_order
 from tidemark.operators.quantiles import order_statistics, score_counts
 
 # Columns that are never features, and the models' settings.
@@ -20,7 +22,6 @@ MODEL_SETTINGS = {
     "random_forest": {"numTrees": 200, "maxDepth": 10},
     "boosted_trees": {"maxIter": 200, "maxDepth": 6, "stepSize": 0.1},
 }
-MAX_CLASSES = 10_000
 
 
 def feature_columns(df: DataFrame, label: str, exclude: tuple[str, ...] = ()) -> list[str]:
@@ -33,23 +34,19 @@ def prepare_features(df: DataFrame, label: str, exclude: tuple[str, ...] = ()) -
     return df.select(*feature_columns(df, label, exclude), label)
 
 
-def _class_sizes(df: DataFrame, label: str) -> dict:
-    sizes = df.where(F.col(label).isNotNull()).groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    if len(sizes) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return {r[label]: r["count"] for r in sizes}
-
-
-def test_sizes(class_sizes: dict, test_size: float) -> dict:
-    """Test rows per class: ``ceil(test_size * n)`` in all, shared by largest remainder."""
-    n = sum(class_sizes.values())
+def test_sizes(class_sizes: DataFrame, label: str, test_size: float) -> DataFrame:
+    """``label, count, test``: test rows of each class (``label, count``), ``ceil(test_size * n)`` in all, shared by largest remainder; equal
+    remainders by the class's name.  Classes are rows, however many there are."""
+    n = class_sizes.agg(F.sum("count")).first()[0] or 0
     wanted = math.ceil(test_size * n)
-    shares = {c: size * wanted / n for c, size in class_sizes.items()}
-    out = {c: math.floor(x) for c, x in shares.items()}
-    by_rest = sorted(shares, key=lambda c: (-(shares[c] - out[c]), str(c)))
-    for c in by_rest[: wanted - sum(out.values())]:
-        out[c] += 1
-    return out
+    product = F.col("count").cast("decimal(19,0)") * F.lit(wanted).cast("decimal(18,0)")
+    shares = class_sizes.withColumn("__product", product).withColumn("__whole", F.expr(f"__product div {max(1, n)}BD"))
+    shares = shares.withColumns({"__rest": F.col("__product") - F.col("__whole") * F.lit(max(1, n)).cast("decimal(19,0)"), "__one": F.lit(1).cast("long")})
+    # Written by the sort: both uses see the same rows.
+    placed = in_order(shares, [F.desc("__rest"), F.col(label).cast("string")], {"__place": "__one"})
+    over = wanted - (shares.agg(F.sum("__whole")).first()[0] or 0)
+    test = F.col("__whole") + (F.col("__place") < F.lit(over)).cast("long")
+    return placed.select(label, "count", test.alias("test"))
 
 
 test_sizes.__test__ = False  # not a test case, whatever its name suggests
@@ -61,17 +58,14 @@ def stratified_split(
     """``df`` with ``is_test``: exactly the wanted share of every class, reproducibly.
 
     Rows are ordered by a 52-bit hash of their id; the cut of each class is an exact order
-    statistic of the hash, so no class is sorted or collected.
+    statistic of the hash, so no class is sorted or collected.  Rows without a class are no test rows.
     """
-    cuts = test_sizes(_class_sizes(df, label), test_size)
     hashed = df.withColumn("__h", F.shiftrightunsigned(F.xxhash64(F.col(row_id), F.lit(seed)), 12).cast("double"))
-    cut = F.create_map(*[F.lit(x) for c, k in cuts.items() for x in (c, k)])
-    limits = order_statistics(
-        hashed.where(F.col(label).isNotNull()), [label], "__h", F.array((cut[F.col(label)] - 1).cast("long"))
-    )
-    # One row per class, and the classes were counted above.
-    limits = F.broadcast(limits.select(label, F.col("value").alias("__cut")))
-    joined = hashed.join(limits, label, "left")
+    known = hashed.where(F.col(label).isNotNull())
+    sizes = written_once(test_sizes(known.groupBy(label).count(), label, test_size), "class-sizes")
+    cut = known.select(label, "__h").join(sizes.select(label, "test"), label)
+    limits = order_statistics(cut, [label, "test"], "__h", F.array(F.col("test") - 1))
+    joined = hashed.join(limits.select(label, F.col("value").alias("__cut")), label, "left")
     return joined.withColumn("is_test", F.coalesce(F.col("__h") <= F.col("__cut"), F.lit(False))).drop("__h", "__cut")
 
 
@@ -93,6 +87,8 @@ def train(
     else:
         estimator = GBTClassifier(**common, seed=seed, **options)
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias("__label"))
+    # The imputer and every round of the estimator read the rows again: a training set is joined once.
+    numeric = written_once(numeric, "training-rows")
     fitted = Pipeline(stages=[imputer, assembler, estimator]).fit(numeric)
     # A training summary holds the training DataFrame and its session, which must not be shipped
     # to the executors with the model.
