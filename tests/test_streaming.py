@@ -4,18 +4,22 @@ import datetime as dt
 import json
 import uuid
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.operators.recency import gap_reset_counters
-from tidemark.operators.windows import rolling_count
+from tidemark.operators.windows import rolling_count, user_recency_sliding
 from tidemark.plans.inputs import events
 from tidemark.sources import readers
 from tidemark.streaming import recency as stream
 
 T0 = dt.datetime(2026, 4, 22, 10)
+
+
 COLUMNS = "event_id long, user_id string, event_type string, product_id string, amount double, event_ts timestamp"
 
 
@@ -78,16 +82,83 @@ def test_state_goes_on_over_micro_batches(spark, tmp_path):
     assert [r.seconds_since_last_event for r in rows] == [100, 300, 301, 3601]
 
 
+def test_one_hot_user_in_several_files_and_batches(spark, tmp_path):
+    """Two thirds of all events are one user's; files overlap inside a batch, times repeat."""
+    rng = np.random.default_rng(4)
+    n = 30_000
+    gaps = rng.choice([0, 0, 1, 5, 299, 300, 301, 3600, 3601], n, p=[0.4, 0.3, 0.2, 0.08, 0.005, 0.005, 0.005, 0.003, 0.002])
+    at = np.cumsum(gaps)
+    users = np.where(rng.random(n) < 0.67, "hot", np.char.add("u", rng.integers(0, 20, n).astype(str)))
+    kinds, products = rng.choice(["view", "purchase"], n), rng.choice(["a", "b", "c", "d", None], n)
+    pdf = pd.DataFrame(
+        {"event_id": range(n), "user_id": users, "event_type": kinds, "product_id": products, "amount": rng.integers(0, 100, n) * 1.0, "event_ts": [T0 + dt.timedelta(seconds=int(s)) for s in at]}
+    )
+    path = str(tmp_path / "in")
+    for k in range(3):  # three batches of four files; inside a batch rows are dealt out at random
+        part = spark.createDataFrame(pdf.iloc[k * n // 3 : (k + 1) * n // 3], COLUMNS)
+        part.repartition(4).write.mode("append").parquet(path)
+    ev = spark.createDataFrame(pdf, COLUMNS)
+    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 4).parquet(path)
+    out = drain(spark, tmp_path, stream.gap_reset_stream(src), "update")
+    got = {r.user_id: r for r in out.orderBy("event_time").collect()}
+    counted = gap_reset_counters(ev, "user_id", "event_ts", tiebreak="event_id")
+    want = {r.user_id: r for r in counted.orderBy("event_ts", "event_id").collect()}
+    assert set(got) == set(want)
+    for user, w in want.items():
+        for c in ("events_last_5min", "events_last_1h", "distinct_products_last_1h", "orders_last_1h", "seconds_since_last_event"):
+            assert got[user][c] == w[c], (user, c)
+        assert got[user].event_time == w.event_ts and got[user].order_value_last_1h == pytest.approx(w.order_value_last_1h)
+    assert out.where("user_id = 'hot'").count() == 3
+
+
+def test_a_hot_user_reaches_its_state_as_few_rows():
+    rows = pd.DataFrame(
+        {"user_id": "hot", "event_type": "purchase", "product_id": ["a", None] * 5_000, "amount": 1.0,
+         "event_ts": [T0 + dt.timedelta(milliseconds=50 * i) for i in range(10_000)]}
+    )
+    [sums] = list(stream._pane_batches(300_000_000)(iter([rows])))
+    assert len(sums) <= 2 * 3 and sums["n"].sum() == 10_000 and sums["value"].sum() == 10_000.0
+
+
+def test_state_expires_after_the_long_gap(spark, tmp_path):
+    """The timer clears a user; a later event starts anew."""
+    src = write_batches(
+        spark,
+        tmp_path,
+        [(1, "u", "purchase", "p1", 10.0, 0), (2, "w", "view", "p9", None, 0)],
+        [(3, "w", "view", "p9", None, 9000)],
+        [(4, "w", "view", "p9", None, 9001)],
+        [(5, "u", "view", "p1", None, 20_000)],
+    )
+    rows = drain(spark, tmp_path, stream.gap_reset_stream(src), "update").orderBy("event_time").collect()
+    assert [(r.user_id, r.events_last_1h, r.distinct_products_last_1h, r.orders_last_1h) for r in rows if r.user_id == "u"] == [("u", 1, 1, 1), ("u", 1, 1, 0)]
+    assert [(r.events_last_1h, r.seconds_since_last_event) for r in rows if r.user_id == "w"] == [(1, 0), (1, 9000), (2, 1)]
+
+
 def test_sliding_stream_equals_batch_on_closed_windows(spark, tmp_path, sf):
     ev = events(spark, sf).withColumn("user_id", F.col("user_id").cast("string")).select(*[c.split()[0] for c in COLUMNS.split(", ")])
     path = str(tmp_path / "in")
-    ev.coalesce(1).write.parquet(path)
-    src = spark.readStream.schema(ev.schema).parquet(path)
-    got = drain(spark, tmp_path, stream.gold(src), "append").drop("distinct_products_last_1h", "avg_order_value_last_1h")
+    for part in ("< '2024-01-09'", "BETWEEN '2024-01-09' AND '2024-01-19'", "> '2024-01-19'"):
+        ev.where(f"event_ts {part}").coalesce(1).write.mode("append").parquet(path)
+    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    rounded = F.round("avg_order_value_last_1h", 9)
+    got = drain(spark, tmp_path, stream.gold(src), "append").withColumn("avg_order_value_last_1h", rounded)
     closed = ev.agg(F.max("event_ts")).first()[0] - dt.timedelta(minutes=10)
-    want = stream.gold(ev).where(F.col("event_time") <= closed).select(*got.columns)
+    want = stream.gold(ev).where(F.col("event_time") <= closed).withColumn("avg_order_value_last_1h", rounded)
+    assert got.columns == want.columns and "distinct_products_last_1h" in got.columns and "ingestion_time" in got.columns
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).isEmpty()
+    exact = stream.gold(ev, exact_distinct=True).where(F.col("event_time") <= closed).withColumn("avg_order_value_last_1h", rounded)
+    assert got.exceptAll(exact).isEmpty()  # few products: the sketch is exact
+    with pytest.raises(ValueError):
+        stream.gold(src, exact_distinct=True)
+
+
+def test_ingestion_time_may_be_given(spark):
+    ev = spark.createDataFrame([(1, "u", "view", "p", None, T0)], COLUMNS)
+    at = F.lit(T0 + dt.timedelta(days=1))
+    assert {r.ingestion_time for r in user_recency_sliding(ev, ingested=at).collect()} == {T0 + dt.timedelta(days=1)}
+    assert all(r.ingestion_time == r.event_time for r in user_recency_sliding(ev).collect())
 
 
 def test_tumbling_features_run_on_streams(spark, tmp_path):

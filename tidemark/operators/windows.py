@@ -164,81 +164,76 @@ def user_recency_sliding(
     window: str = "1 hour",
     slide: str = "5 minutes",
     exact_distinct: bool = False,
+    ingested: Column | None = None,
 ) -> DataFrame:
     """The recency table: per entity and sliding window, as of the window's end.
 
     ``events_last_5min`` counts the last slide of the window and ``seconds_since_last_event`` runs
-    from the newest event to the window's end, so a rerun gives the same rows.  On a stream, set a
-    watermark first; the result then appends once a window closes.
+    from the newest event to the window's end, so a rerun gives the same rows.  ``ingestion_time`` is ``ingested``, for instance
+    the clock; by default the window's end, before which the row cannot be known.
+
+    Batch and stream have one definition: panes of one slide with a mergeable sketch of the products, copied into the windows
+    that cover them.  On a stream, set a watermark first: panes are a first aggregation, windows a second one on top of it, and a window is
+    appended once it closes.  ``exact_distinct`` counts the products themselves, on batches only.
     """
     w_len, s_len = duration_micros(window), duration_micros(slide)
+    if exact_distinct and events.isStreaming:
+        raise ValueError("a stream counts distinct products by a sketch: exact_distinct is for batches")
     is_order = F.col(event_type) == "purchase"
+    rows = events.select(
+        entity,
+        F.col(product).alias("__product"),
+        F.col(ts).alias("__ts"),
+        micros(ts).alias("__t"),
+        F.when(is_order, F.col(amount)).alias("__amount"),
+    ).where("__t IS NOT NULL")
+    sketch = F.hll_sketch_agg("__product", F.lit(12)).alias("products")
     if events.isStreaming:
-        w = events.withColumn("__w", F.window(ts, window, slide))
-        agged = w.groupBy(entity, "__w").agg(
-            F.count(F.lit(1)).alias("events_last_1h"),
-            F.count(F.when(F.col(ts) >= F.col("__w.end") - F.expr(f"INTERVAL {s_len // 1_000_000} SECONDS"), 1)).alias(
-                "events_last_5min"
-            ),
-            F.approx_count_distinct(product).alias("distinct_products_last_1h"),
-            F.avg(F.when(is_order, F.col(amount))).alias("avg_order"),
-            F.max(ts).alias("last_ts"),
-        )
-        agged = agged.withColumns({"event_time": F.col("__w.end"), "last_us": micros("last_ts")})
+        panes = rows.groupBy(entity, F.window("__ts", slide).alias("__pane")).agg(*_recency_parts(), sketch)
+        windows = panes.withColumn("__window", F.window(F.window_time("__pane"), window, slide))
+        end, in_last = F.col("__window.end"), F.col("__pane.end") == F.col("__window.end")
+        group = "__window"
     else:
-        rows = events.select(
-            entity,
-            F.col(product).alias("__product"),
-            micros(ts).alias("__t"),
-            F.when(is_order, F.col(amount)).alias("__amount"),
-        ).where("__t IS NOT NULL")
         rows = rows.withColumn("__pane", F.col("__t") - F.pmod("__t", F.lit(s_len)))
         if exact_distinct:
             # One row per (entity, pane, product) carries the additive parts; products stay apart.
             panes = rows.groupBy(entity, "__pane", "__product").agg(*_recency_parts())
         else:
-            panes = rows.groupBy(entity, "__pane").agg(
-                *_recency_parts(), F.hll_sketch_agg("__product", F.lit(12)).alias("products")
-            )
+            panes = rows.groupBy(entity, "__pane").agg(*_recency_parts(), sketch)
         windows = panes.withColumn("__back", F.explode(F.sequence(F.lit(0), F.lit(w_len // s_len - 1)))).withColumn(
             "__end", F.col("__pane") + F.lit(w_len) - F.col("__back") * F.lit(s_len).cast("long")
         )
-        parts = [
-            F.sum("n").alias("n"),
-            F.sum(F.when(F.col("__pane") == F.col("__end") - F.lit(s_len), F.col("n")).otherwise(0)).alias("n_last"),
-            F.sum("orders").alias("orders"),
-            F.sum("spend").alias("spend"),
+        end, in_last = F.timestamp_micros("__end"), F.col("__pane") == F.col("__end") - F.lit(s_len)
+        group = "__end"
+    parts = [
+        F.sum("n").alias("n"),
+        F.sum(F.when(in_last, F.col("n")).otherwise(0)).alias("n_last"),
+        F.sum("orders").alias("orders"),
+        F.sum("spend").alias("spend"),
+        F.max("last_us").alias("last_us"),
+    ]
+    if exact_distinct:
+        by_product = windows.groupBy(entity, group, "__product").agg(*parts)
+        agged = by_product.groupBy(entity, group).agg(
+            *[F.sum(c).alias(c) for c in ("n", "n_last", "orders", "spend")],
             F.max("last_us").alias("last_us"),
-        ]
-        if exact_distinct:
-            by_product = windows.groupBy(entity, "__end", "__product").agg(*parts)
-            agged = by_product.groupBy(entity, "__end").agg(
-                F.sum("n").alias("events_last_1h"),
-                F.sum("n_last").alias("events_last_5min"),
-                F.count("__product").alias("distinct_products_last_1h"),
-                F.sum("orders").alias("orders"),
-                F.sum("spend").alias("spend"),
-                F.max("last_us").alias("last_us"),
-            )
-        else:
-            agged = windows.groupBy(entity, "__end").agg(
-                *parts, F.hll_sketch_estimate(F.hll_union_agg("products")).alias("distinct_products_last_1h")
-            )
-            agged = agged.withColumnsRenamed({"n": "events_last_1h", "n_last": "events_last_5min"})
-        agged = agged.withColumns(
-            {
-                "event_time": F.timestamp_micros("__end"),
-                "avg_order": F.when(F.col("orders") > 0, F.col("spend") / F.col("orders")),
-            }
+            F.count("__product").alias("distinct_products"),
+        )
+    else:
+        agged = windows.groupBy(entity, group).agg(
+            *parts, F.hll_sketch_estimate(F.hll_union_agg("products")).alias("distinct_products")
         )
+    agged = agged.withColumn("event_time", end)
     seconds = F.unix_seconds("event_time") - F.expr("last_us div 1000000")
+    mean = F.when(F.col("orders") > 0, F.col("spend") / F.col("orders"))
     return agged.select(
         entity,
         "event_time",
-        F.col("events_last_5min").cast("int").alias("events_last_5min"),
-        F.col("events_last_1h").cast("int").alias("events_last_1h"),
-        F.col("distinct_products_last_1h").cast("int").alias("distinct_products_last_1h"),
-        F.coalesce("avg_order", F.lit(0.0)).alias("avg_order_value_last_1h"),
+        (F.col("event_time") if ingested is None else ingested.cast("timestamp")).alias("ingestion_time"),
+        F.col("n_last").cast("int").alias("events_last_5min"),
+        F.col("n").cast("int").alias("events_last_1h"),
+        F.col("distinct_products").cast("int").alias("distinct_products_last_1h"),
+        F.coalesce(mean, F.lit(0.0)).alias("avg_order_value_last_1h"),
         seconds.cast("int").alias("seconds_since_last_event"),
     )
 

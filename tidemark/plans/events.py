@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timecols import naive_timestamps
 from tidemark.operators import quality
+from tidemark.operators.snapshot import latest_per_entity
 from tidemark.plans.inputs import EV, events
 from tidemark.plans.windows import GAPS
 from tidemark.session import ensure_checkpoint_dir
@@ -77,10 +78,12 @@ def recency_medallion(spark, sf):
 
 
 def _run_stream(spark, build, sf, mode: str) -> DataFrame:
-    """Read the events as a file stream, run it to its end, and return what it appended."""
+    """Let the events arrive in three parts by time, run the stream over each, and return what it appended."""
     root = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-    source = spark.read.parquet(f"{sf}/events.parquet").schema
-    raw = spark.readStream.schema(source).option("pathGlobFilter", "events.parquet").parquet(sf)
+    stored = spark.read.parquet(f"{sf}/events.parquet")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = stored.agg(F.percentile_approx(at, [1 / 3, 2 / 3], 1000)).first()[0] or [0, 0]
+    raw = spark.readStream.schema(stored.schema).parquet(f"{root}/in/*")
     ev = raw.select(
         "event_id",
         F.col("user_id").cast("string").alias("user_id"),
@@ -94,38 +97,32 @@ def _run_stream(spark, build, sf, mode: str) -> DataFrame:
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
 
-    query = (
-        result.writeStream.foreachBatch(store)
-        .outputMode(mode)
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    for k, part in enumerate((at < cuts[0], at.between(cuts[0], cuts[1] - 1), at >= cuts[1])):
+        stored.where(part).repartition(4).write.parquet(f"{root}/in/part={k}")
+        query = (
+            result.writeStream.foreachBatch(store)
+            .outputMode(mode)
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return spark.read.parquet(f"{root}/out").select(*result.columns)
 
 
 def gap_reset_stream(spark, sf):
-    """The keyed-state stream: one record per user and micro-batch."""
+    """The keyed-state stream over several micro-batches: the last record of every user."""
     out = _run_stream(spark, stream.gap_reset_stream, sf, "update")
+    last = latest_per_entity(out, ["user_id"], created=None)
     return naive_timestamps(
-        out.withColumns({c: F.round(c, 4) for c in ("order_value_last_1h", "avg_order_value_last_1h")})
+        last.withColumns({c: F.round(c, 4) for c in ("order_value_last_1h", "avg_order_value_last_1h")})
     )
 
 
 def user_recency_stream(spark, sf):
     """The sliding recency stream: windows the watermark has closed."""
     out = _run_stream(spark, stream.gold, sf, "append")
-    return naive_timestamps(
-        out.select(
-            "user_id",
-            "event_time",
-            "events_last_5min",
-            "events_last_1h",
-            F.round("avg_order_value_last_1h", 6).alias("avg_order_value_last_1h"),
-            "seconds_since_last_event",
-        )
-    )
+    return naive_timestamps(out.withColumn("avg_order_value_last_1h", F.round("avg_order_value_last_1h", 6)))
 
 
 QUERIES = {
@@ -177,7 +174,8 @@ SELECT CAST(user_id AS VARCHAR) AS user_id, event_time,
        CAST(count(*) AS INTEGER) AS events_last_1h,
        CAST(count(DISTINCT product_id) AS INTEGER) AS distinct_products_last_1h,
        round(coalesce(avg(CASE WHEN event_type = 'purchase' THEN amount END), 0.0), 6) AS avg_order_value_last_1h,
-       CAST(floor(epoch(event_time)) - floor(epoch(max(event_ts))) AS INTEGER) AS seconds_since_last_event
+       CAST(floor(epoch(event_time)) - floor(epoch(max(event_ts))) AS INTEGER) AS seconds_since_last_event,
+       event_time AS ingestion_time
 FROM w GROUP BY user_id, event_time""",
     "gap_reset_stream": f"""{GAPS}
 SELECT CAST(user_id AS VARCHAR) AS user_id, event_ts AS event_time, events_last_5min, events_last_1h,
@@ -188,7 +186,8 @@ FROM g QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_ts DESC, e
     "user_recency_stream": f"""WITH {EV}, e AS (SELECT * FROM ev), {_WINDOWS}
 SELECT CAST(user_id AS VARCHAR) AS user_id, event_time,
        CAST(count(*) FILTER (event_ts >= event_time - INTERVAL 5 MINUTES) AS INTEGER) AS events_last_5min,
-       CAST(count(*) AS INTEGER) AS events_last_1h,
+       CAST(count(*) AS INTEGER) AS events_last_1h, event_time AS ingestion_time,
+       CAST(count(DISTINCT product_id) AS INTEGER) AS distinct_products_last_1h,
        round(coalesce(avg(CASE WHEN event_type = 'purchase' THEN amount END), 0.0), 6) AS avg_order_value_last_1h,
        CAST(floor(epoch(event_time)) - floor(epoch(max(event_ts))) AS INTEGER) AS seconds_since_last_event
 FROM w WHERE event_time <= (SELECT max(ts) - INTERVAL 10 MINUTES FROM events) GROUP BY user_id, event_time""",

@@ -185,7 +185,7 @@ ORACLE = {
     "distinct_count_exact": _tumbling("count(DISTINCT product_id) AS distinct_product_id_count", "30 DAYS"),
     "salted_rolling_count": _tumbling("count(*) AS rolling_count, round(sum(amount), 4) AS rolling_sum", "1 HOUR"),
     "user_recency_sliding": f"""{_SLIDES}, e AS (SELECT *, window_start + INTERVAL 1 HOUR AS event_time FROM w)
-SELECT user_id, event_time,
+SELECT user_id, event_time, event_time AS ingestion_time,
        CAST(count(*) FILTER (event_ts >= event_time - INTERVAL 5 MINUTES) AS INTEGER) AS events_last_5min,
        CAST(count(*) AS INTEGER) AS events_last_1h,
        CAST(count(DISTINCT product_id) AS INTEGER) AS distinct_products_last_1h,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +53,45 @@ COUNTER_SCHEMA = (
     "avg_order_value_last_1h double, seconds_since_last_event long"
 )
 STATE_SCHEMA = "last_us long, n_short long, n_long long, products array<string>, orders long, value double"
+_PANES = "user_id string, pane long, product_id string, first long, last long, before long, n long, orders long, value double, event_ts timestamp"
+
+
+def _pane_batches(width: int):
+    """Rows of an Arrow batch summed by user, pane and product: a hot user is a few rows a batch, however many events it has."""
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            t = rows["event_ts"].astype("datetime64[us]").astype("int64")
+            amount = rows["amount"].where(rows["event_type"] == "purchase")
+            rows = rows.assign(t=t, pane=t // width, amount=amount).sort_values("t")
+            # Of a pane's events, whichever their product, the last two times are needed.
+            by_pane = rows.groupby(["user_id", "pane"], sort=False)["t"]
+            rows["rank"] = by_pane.cumcount(ascending=False)
+            second = rows.loc[rows["rank"] == 1].set_index(["user_id", "pane"])["t"]
+            out = rows.groupby(["user_id", "pane", "product_id"], dropna=False, sort=False).agg(
+                first=("t", "min"), last=("t", "max"), n=("t", "size"), orders=("amount", "count"), value=("amount", "sum")
+            )
+            out = out.reset_index().join(second.rename("before"), on=["user_id", "pane"])
+            out["before"] = out["before"].astype("Int64")
+            out["event_ts"] = pd.to_datetime(out["last"], unit="us")
+            yield out[[c.split()[0] for c in _PANES.split(", ")]]
+
+    return sums
+
+
+def _fold(panes: dict[int, list], newest: dict[str, int], rows: pd.DataFrame) -> None:
+    """Add a chunk of sums: per pane its first time, last two times, events, orders and value; per product its newest pane."""
+    for pane, product, first, last, before, n, orders, value in zip(
+        *(rows[c] for c in ("pane", "product_id", "first", "last", "before", "n", "orders", "value")), strict=True
+    ):
+        at = panes.setdefault(pane, [first, [], 0, 0, 0.0])
+        at[0] = min(at[0], first)
+        at[1] = sorted([*at[1], last, *([] if pd.isna(before) else [before])], reverse=True)[:2]
+        at[2] += int(n)
+        at[3] += int(orders)
+        at[4] += float(value)
+        if isinstance(product, str):
+            newest[product] = max(newest.get(product, pane), pane)
 
 
 def gap_reset_stream(
@@ -62,74 +100,64 @@ def gap_reset_stream(
     short_gap: str = "5 minutes",
     long_gap: str = "1 hour",
 ) -> DataFrame:
-    """The streaming form of ``gap_reset_counters``: one record per user and micro-batch.
+    """The streaming form of ``gap_reset_counters``: one record per user and micro-batch, of its newest event.
 
-    Input columns: ``user_id, event_type, product_id, amount, event_ts``.  State is a few numbers
-    and the products since the last long gap; it expires one long gap after the last event, when
-    a new event would reset it anyway.  A batch's rows of one user are bounded by the source's
-    rate limit.
+    Input columns: ``user_id, event_type, product_id, amount, event_ts``.  Events are summed by user, pane of one short gap, and product before they are
+    shuffled, and the user's state takes these sums chunk by chunk: memory grows with the time that a batch spans, not with
+    its events.  No two events of a pane are further apart than the short gap, so gaps lie between panes only.  State is a
+    few numbers and the products since the last long gap; it expires one long gap after the last event, when a new
+    event would reset it anyway.
     """
     short, long_ = duration_micros(short_gap), duration_micros(long_gap)
-
-    def tail_start(gaps: np.ndarray, limit: int) -> int:
-        """Index of the last event that opens an island, -1 when the open island goes on."""
-        cuts = np.flatnonzero(gaps > limit)
-        return int(cuts[-1]) if len(cuts) else -1
+    clean = events.where("user_id IS NOT NULL AND event_ts IS NOT NULL").select(
+        F.col("user_id").cast("string").alias("user_id"),
+        "event_type",
+        F.col("product_id").cast("string").alias("product_id"),
+        F.col("amount").cast("double").alias("amount"),
+        "event_ts",
+    )
 
     def update(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(chunks)).sort_values("event_ts", kind="stable")
-        t = rows["event_ts"].astype("datetime64[us]").astype("int64").to_numpy()
-        last, n_short, n_long, products, orders, value = None, 0, 0, [], 0, 0.0
-        if state.exists:
-            last, n_short, n_long, products, orders, value = state.get
-        prev = np.concatenate([[t[0] if last is None else last], t[:-1]])
-        gaps = t - prev
-        if last is None:
-            gaps[0] = long_ + 1  # the first event opens both islands
-        s, l = tail_start(gaps, short), tail_start(gaps, long_)
-        n_short = len(t) - s if s >= 0 else n_short + len(t)
-        tail = rows.iloc[max(l, 0) :]
-        if l >= 0:
-            n_long, products, orders, value = 0, [], 0, 0.0
-        n_long += len(tail)
-        seen = set(products) | set(tail["product_id"].dropna())
-        bought = tail.loc[tail["event_type"] == "purchase", "amount"].dropna()
-        orders, value = int(orders + len(bought)), float(value + bought.sum())
-        newest = int(max(t[-1], last if last is not None else t[-1]))
-        state.update((newest, int(n_short), int(n_long), sorted(seen), orders, value))
-        expiry_ms = (newest + long_) // 1000 + 1
-        state.setTimeoutTimestamp(max(expiry_ms, state.getCurrentWatermarkMs() + 1))
-        since = t[-1] // 1_000_000 - prev[-1] // 1_000_000 if (last is not None or len(t) > 1) else 0
+        panes: dict[int, list] = {}
+        newest: dict[str, int] = {}
+        for chunk in chunks:
+            _fold(panes, newest, chunk)
+        last, n_short, n_long, products, orders, value = state.get if state.exists else (None, 0, 0, [], 0, 0.0)
+        since, start, event, before = 0, None, 0, last
+        for pane in sorted(panes):
+            first, tops, n, bought, spent = panes[pane]
+            gap = None if before is None else first - before
+            if gap is None or gap > long_:
+                n_long, orders, value, start = 0, 0, 0.0, pane
+            if gap is None or gap > short:
+                n_short = 0
+            n_short, n_long, orders, value = n_short + n, n_long + n, orders + bought, value + spent
+            event, previous = tops[0], tops[1] if len(tops) > 1 else before
+            since = 0 if previous is None else event // 1_000_000 - previous // 1_000_000
+            before = event if before is None else max(before, event)
+        seen = {p for p, pane in newest.items() if start is None or pane >= start} | (set(products) if start is None else set())
+        state.update((int(before), int(n_short), int(n_long), sorted(seen), int(orders), float(value)))
+        state.setTimeoutTimestamp(max(int(before + long_) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(
             {
                 "user_id": [key[0]],
-                "event_time": [pd.Timestamp(int(t[-1]), unit="us")],
+                "event_time": [pd.Timestamp(int(event), unit="us")],
                 "events_last_5min": [int(n_short)],
                 "events_last_1h": [int(n_long)],
                 "distinct_products_last_1h": [len(seen)],
-                "orders_last_1h": [orders],
-                "order_value_last_1h": [value],
-                "avg_order_value_last_1h": [value / orders if orders else 0.0],
+                "orders_last_1h": [int(orders)],
+                "order_value_last_1h": [float(value)],
+                "avg_order_value_last_1h": [float(value) / orders if orders else 0.0],
                 "seconds_since_last_event": [max(int(since), 0)],
             }
         )
 
-    clean = events.where("user_id IS NOT NULL AND event_ts IS NOT NULL").select(
-        F.col("user_id").cast("string").alias("user_id"),
-        "event_type",
-        F.col("product_id").cast("string").alias("product_id"),
-        F.col("amount").cast("double").alias("amount"),
-        "event_ts",
-    )
-    return (
-        clean.withWatermark("event_ts", watermark)
-        .groupBy("user_id")
-        .applyInPandasWithState(
-            update, COUNTER_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.EventTimeTimeout
-        )
+    panes = clean.mapInPandas(_pane_batches(short), _PANES).withWatermark("event_ts", watermark)
+    return panes.groupBy("user_id").applyInPandasWithState(
+        update, COUNTER_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.EventTimeTimeout
     )
 
 
