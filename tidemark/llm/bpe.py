@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import json
 import os
-import re
 import struct
 import tempfile
 import unicodedata
 import uuid
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Collection, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +21,15 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import schema_with, written
+from tidemark.llm.common import free_name, schema_with, written
 from tidemark.llm.lexicon import Lexicon, compile_lexicon
 
-#: Words, and stretches without white space, that a task remembers at a time.
-MEMORY = 400_000
+#: Words, and as many chunks, that a Python worker remembers: beyond the common ones hardly any comes again.
+MEMORY = 200_000
+#: Letters of the texts that are cut into words before the unseen ones are coded together.
+LETTERS = 1 << 22
+#: Bytes from which on a word is merged on its own, and rows of a matrix of words.
+LONG, ROWS = 48, 1 << 13
 
 
 def _byte_letters() -> list[str]:
@@ -53,8 +57,6 @@ class WordBpe:
         self.pattern = regex.compile(split["pattern"]["Regex"])
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))))
         self.letters = _byte_letters()
-        # What the pattern comes to on printable lower-case ASCII.
-        self.plain = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
 
     def normal(self, text: str) -> str:
         """NFC and letter-wise lower case: a final sigma is a sigma."""
@@ -63,30 +65,99 @@ class WordBpe:
 
     def words(self, chunk: str) -> list[str]:
         """Words of a chunk without special tokens."""
-        if chunk.isascii() and chunk.isprintable():
-            chunk = chunk.lower()
-            return [chunk] if chunk.isalpha() else self.plain(chunk)
+        if chunk.isascii() and chunk.isalpha():
+            return [chunk.lower()]
         return self.pattern.findall(self.normal(chunk))
 
+    def parts(self, chunk: str) -> list[str]:
+        """Words and special tokens of a chunk, in order."""
+        if "<" not in chunk:
+            return self.words(chunk)
+        out, at = [], 0
+        for found in [*self.special.finditer(chunk), None]:
+            out += self.words(chunk[at : found.start() if found else len(chunk)])
+            if found:
+                out.append(found[0])
+                at = found.end()
+        return out
+
     def merge(self, word: str) -> list[int]:
         """Ids of one word by its merges: lowest rank first, leftmost of equals."""
         symbols = [self.letters[b] for b in word.encode("utf-8")]
         symbols[-1] += self.end
-        symbols = self._merge_short(symbols) if len(symbols) <= 64 else self._merge_long(symbols)
+        symbols = self._merge_long(symbols)
         return [self.vocabulary[s] for s in symbols if s in self.vocabulary]
 
-    def _merge_short(self, symbols: list[str]) -> list[str]:
-        rank, none = self.ranks.get, 1 << 60
-        ranks = [rank(pair, none) for pair in zip(symbols, symbols[1:], strict=False)]
-        while ranks and (best := min(ranks)) < none:
-            i = ranks.index(best)
-            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = rank((symbols[i - 1], symbols[i]), none)
-            if i < len(ranks):
-                ranks[i] = rank((symbols[i], symbols[i + 1]), none)
-        return symbols
+    @functools.cached_property
+    def _table(self) -> tuple[np.ndarray, ...]:
+        """Merges in numbers: numbers of a byte inside a word and at its end; pairs (left * symbols + right), ascending, with
+        the rank of each and the number of what it becomes; the id of each number, or -1."""
+        first = [*self.letters, *(x + self.end for x in self.letters)]
+        number = {s: i for i, s in enumerate(dict.fromkeys([*first, *(x for a, b in self.ranks for x in (a, b, a + b))]))}
+        keys = np.array([number[a] * len(number) + number[b] for a, b in self.ranks], np.int64)
+        order = np.argsort(keys)
+        ranks = np.array(list(self.ranks.values()), np.int64)[order]
+        made = np.array([number[a + b] for a, b in self.ranks], np.int64)[order]
+        ids = np.array([self.vocabulary.get(s, -1) for s in number], np.int64)
+        return np.array([number[s] for s in first], np.int64), keys[order], ranks, made, ids
+
+    def merge_all(self, words: Collection[str]) -> dict[str, list[int]]:
+        """``merge`` of many words: those of one length are rows of a matrix, of which each step merges the best pair of every row."""
+        out: dict[str, list[int]] = {}
+        lengths: dict[int, list[tuple[str, bytes]]] = defaultdict(list)
+        for word in words:
+            data = word.encode("utf-8")
+            if 0 < len(data) < LONG:
+                lengths[len(data)].append((word, data))
+            else:
+                out[word] = self.merge(word) if data else []
+        for length, group in lengths.items():
+            for at in range(0, len(group), ROWS):
+                part = group[at : at + ROWS]
+                raw = np.frombuffer(b"".join([d for _, d in part]), np.uint8).reshape(-1, length).astype(np.int64)
+                raw[:, -1] += 256
+                for rows, ids in self._merge_matrix(self._table[0][raw]):
+                    for row, found in zip(rows.tolist(), ids.tolist(), strict=True):
+                        out[part[row][0]] = found if min(found) >= 0 else [i for i in found if i >= 0]
+        return out
+
+    def _merge_matrix(self, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, ids of their symbols) as soon as nothing in them can be merged; every open row loses one symbol a step."""
+        _, keys, ranks, made, ids = self._table
+        none, size = np.int64(1 << 60), len(ids)
+        if not len(keys):
+            yield np.arange(len(symbols)), ids[symbols]
+            return
+
+        def look(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            pair = a * size + b
+            at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+            return np.where(keys[at] == pair, ranks[at], none), made[at]
+
+        rows = np.arange(len(symbols))
+        rank, become = look(symbols[:, :-1], symbols[:, 1:])
+        while len(rows):
+            if symbols.shape[1] == 1:
+                yield rows, ids[symbols]
+                return
+            best = rank.argmin(axis=1)
+            open_ = rank[np.arange(len(rows)), best] < none
+            if not open_.all():
+                yield rows[~open_], ids[symbols[~open_]]
+                rows, symbols, rank, become, best = (x[open_] for x in (rows, symbols, rank, become, best))
+            n, width = symbols.shape
+            every, columns = np.arange(n), np.arange(width - 1)
+            new = become[every, best]
+            symbols = symbols[every[:, None], columns + (columns > best[:, None])]
+            symbols[every, best] = new
+            # Pair i + 1 becomes pair i behind the merged one; the pairs on both sides of the new symbol are looked up.
+            pairs = columns[:-1]
+            moved = pairs + (pairs >= best[:, None])
+            rank, become = rank[every[:, None], moved], become[every[:, None], moved]
+            for side in (best - 1, best):
+                at = np.flatnonzero((side >= 0) & (side < width - 2))
+                i = side[at]
+                rank[at, i], become[at, i] = look(symbols[at, i], symbols[at, i + 1])
 
     def _merge_long(self, symbols: list[str]) -> list[str]:
         """From a heap of neighbours, in n log n."""
@@ -123,20 +194,40 @@ def chunks(text: str) -> list[str]:
     return GAPS.findall(text) if _ODD_GAPS.search(text) else text.split()
 
 
+def _pieces(texts: Iterable[pa.Scalar]) -> Iterator[list[str]]:
+    """Texts, a few of them or one long one at a time; null ones are empty."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.as_py() or "")
+        size += len(held[-1])
+        if size >= LETTERS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+@functools.lru_cache(maxsize=1)
+def _word_bpe(path: str) -> WordBpe:
+    """One for all tasks of a Python worker."""
+    return WordBpe(path)
+
+
 def _count_batches(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBpe(path)
+        bpe = _word_bpe(path)
         seen: Counter[str] = Counter()
 
         def flush() -> pa.RecordBatch:
-            found: Counter[str] = Counter()
+            words: Counter[str] = Counter()
             for chunk, n in seen.items():
-                for part in bpe.special.split(chunk) if "<" in chunk else (chunk,):
-                    for word in bpe.words(part):
-                        found[word] += n
+                for word in bpe.parts(chunk):
+                    words[word] += n
+            for special in bpe.specials:
+                words.pop(special, None)
             seen.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"]
+                [pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"]
             )
 
         for batch in batches:
@@ -171,12 +262,11 @@ def frequent_lexicon(counts: DataFrame, tokenizer: str, size: int, name: str) ->
     ranked = counts.where(F.col("n") >= least if least is not None else F.lit(False)).select("word")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBpe(tokenizer)
+        bpe = _word_bpe(tokenizer)
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            ids = [bpe.merge(w) for w in words]
+            coded = bpe.merge_all([w for w in batch.column(0).to_pylist() if w not in bpe.specials])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([w.encode() for w in words], pa.binary()), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"]
+                [pa.array([w.encode() for w in coded], pa.binary()), pa.array(list(coded.values()), pa.list_(pa.int32()))], names=["word", "ids"]
             )
 
     rows = ranked.mapInArrow(encode, "word binary, ids array<int>").collect()
@@ -188,53 +278,72 @@ def frequent_lexicon(counts: DataFrame, tokenizer: str, size: int, name: str) ->
     return name
 
 
-class _Words(dict):
-    """word -> (ids as bytes, decoded text), from the lexicon or merged; forgets all when it holds too much."""
+class _Recent:
+    """What was looked up lately: two generations, so that what comes again and again stays and memory is bounded."""
 
-    def __init__(self, bpe: WordBpe, lexicon: Lexicon) -> None:
-        super().__init__()
-        self.bpe, self.lexicon = bpe, lexicon
+    def __init__(self, most: int = MEMORY) -> None:
+        self.most, self.now, self.before = most, {}, {}
 
-    def coded(self, ids: list[int]) -> tuple[bytes, str]:
-        return struct.pack(f"<{len(ids)}I", *ids), self.bpe.decode(ids)
-
-    def __missing__(self, word: str) -> tuple[bytes, str]:
-        known = self.lexicon.get(word.encode("utf-8"))
-        value = self.coded(self.bpe.merge(word) if known is None else known)
-        if len(word) <= 64:
-            if len(self) >= MEMORY:
-                self.clear()
-            self[word] = value
-        return value
+    def unseen(self, keys: set[str]) -> list[str]:
+        """Those of ``keys`` that must be learnt; all others are in ``now`` then."""
+        if len(self.now) > self.most:
+            self.now, self.before = {}, self.now
+        new = []
+        for key in keys:
+            if key not in self.now:
+                value = self.before.get(key)
+                if value is None:
+                    new.append(key)
+                else:
+                    self.now[key] = value
+        return new
 
 
-class _Encoder(dict):
-    """The same for chunks, which are words as a rule."""
+class _Encoder:
+    """Words, and chunks of them, to (ids as bytes, decoded text): from the lexicon, or merged."""
 
     def __init__(self, tokenizer: str, lexicon: str) -> None:
-        super().__init__()
-        self.bpe = WordBpe(tokenizer)
-        self.words = _Words(self.bpe, Lexicon(lexicon))
-
-    def pieces(self, chunk: str) -> list[tuple[bytes, str]]:
-        if "<" not in chunk:
-            return [self.words[w] for w in self.bpe.words(chunk)]
-        out, at = [], 0
-        for found in [*self.bpe.special.finditer(chunk), None]:
-            out += [self.words[w] for w in self.bpe.words(chunk[at : found.start() if found else len(chunk)])]
-            if found:
-                out.append(self.words.coded([self.bpe.specials[found[0]]]))
-                at = found.end()
-        return out
-
-    def __missing__(self, chunk: str) -> tuple[bytes, str]:
-        found = self.pieces(chunk)
-        value = found[0] if len(found) == 1 else (b"".join([p[0] for p in found]), " ".join([p[1] for p in found]))
-        if len(chunk) <= 64:
-            if len(self) >= MEMORY:
-                self.clear()
-            self[chunk] = value
-        return value
+        self.bpe, self.lexicon = _word_bpe(tokenizer), Lexicon(lexicon)
+        self.words, self.chunks = _Recent(), _Recent()
+
+    def _value(self, ids: list[int]) -> tuple[bytes, str]:
+        pieces = self.bpe.pieces
+        return struct.pack(f"<{len(ids)}I", *ids), pieces[ids[0]] if len(ids) == 1 else " ".join([pieces[i] for i in ids])
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Unseen words, together: those of the lexicon by its transitions, all others by their merges."""
+        specials = self.bpe.specials
+        plain = [w for w in words if w not in specials]
+        found = dict(zip(plain, self.lexicon.get_all([w.encode("utf-8") for w in plain]), strict=True))
+        found.update(self.bpe.merge_all([w for w in plain if found[w] is None]))
+        found.update((w, [specials[w]]) for w in words if w in specials)
+        self.words.now.update((w, self._value(ids)) for w, ids in found.items())
+
+    def _learn(self, chunks: set[str]) -> None:
+        parts = {c: self.bpe.parts(c) for c in self.chunks.unseen(chunks)}
+        self._learn_words(self.words.unseen({w for words in parts.values() for w in words}))
+        known, out = self.words.now, self.chunks.now
+        for chunk, words in parts.items():
+            if len(words) == 1:
+                out[chunk] = known[words[0]]
+            else:
+                pieces = [known[w] for w in words]
+                out[chunk] = b"".join([p[0] for p in pieces]), " ".join([p[1] for p in pieces if p[0]])
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
+        """(ids as bytes, decoded text) of each text."""
+        cut = [chunks(t) for t in texts]
+        self._learn(set().union(*cut))
+        known = self.chunks.now
+        for own in cut:
+            pieces = [known[c] for c in own]
+            yield b"".join([p[0] for p in pieces]), " ".join([p[1] for p in pieces if p[0]])
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(tokenizer: str, lexicon: str) -> _Encoder:
+    """One for all tasks of a Python worker."""
+    return _Encoder(tokenizer, lexicon)
 
 
 def encode_decode(
@@ -261,21 +370,18 @@ def encode_decode(
     }
     names = [c for c in (docs.columns if keep is None else keep) if c != text_col and c not in added]
     rows = docs.select(
-        F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in names]).alias("row"),
+        F.struct(F.lit(True).alias(free_name(names)), *[F.col(f"`{c}`") for c in names]).alias("row"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _Encoder(tokenizer, SparkFiles.get(lexicon))
+        coder = _encoder(tokenizer, SparkFiles.get(lexicon))
         for batch in batches:
-            step = 256  # results of long texts are handed on before many of them gather
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                coded, decoded = [], []
-                for text in part.column("text").to_pylist():
-                    pieces = [coder[c] for c in chunks(text)]
-                    coded.append(b"".join([p[0] for p in pieces]))
-                    decoded.append(" ".join([p[1] for p in pieces if p[0]]))
+            at = 0
+            for texts in _pieces(batch.column("text")):
+                part = batch.slice(at, len(texts))
+                at += len(texts)
+                coded, decoded = zip(*coder.encode(texts), strict=True)
                 if digests_only:
                     columns = [
                         pa.array([len(c) // 4 for c in coded], pa.int64()),
@@ -283,10 +389,9 @@ def encode_decode(
                         pa.array([hashlib.sha256(d.encode("utf-8")).hexdigest() for d in decoded]),
                     ]
                 else:
-                    columns = [
-                        pa.array([np.frombuffer(c, "<u4").astype(np.int32) for c in coded], pa.list_(pa.int32())),
-                        pa.array(decoded, pa.string()),
-                    ]
+                    ends = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int32)
+                    ids = pa.array(np.frombuffer(b"".join(coded), "<u4").astype(np.int32))
+                    columns = [pa.ListArray.from_arrays(pa.array(ends), ids), pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays([part.column("row"), *columns], names=["row", *added])
 
     result = rows.mapInArrow(encode, schema_with(rows, ["row"], ", ".join(f"{n} {t}" for n, t in added.items())))

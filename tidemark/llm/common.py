@@ -37,6 +37,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` made and that nothing reads any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            if "/tidemark-llm/" not in folder:
+                raise ValueError(f"{folder} is no intermediate table")
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let go of finished shuffles: Spark deletes their files once the driver's JVM has collected what refers to them,
     which a driver with free memory may put off for long."""
@@ -49,6 +60,11 @@ def schema_with(rows: DataFrame, kept: list[str], added: str) -> StructType:
     return StructType([*(rows.schema[c] for c in kept), *StructType.fromDDL(added).fields])
 
 
+def free_name(names: list[str]) -> str:
+    """A field name that differs from all ``names``."""
+    return "_" * (1 + max(map(len, names), default=0))
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; null texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
