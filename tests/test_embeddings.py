@@ -31,10 +31,23 @@ def test_dimension_filter_counts_drops(spark):
     assert seen.get["dropped"] == 2
 
 
-def test_no_python_in_vector_functions(spark):
+def test_no_row_by_row_python_in_vector_functions(spark):
     df = spark.createDataFrame([([1.0, 2.0], [1.0, 2.0])], "a array<float>, b array<float>")
-    plan = emb.embedding_dot_product(emb.normalize_embedding(df, "a"), "a", "b")._jdf.queryExecution().toString()
+    plan = emb.embedding_dot_product(df, "a", "b")._jdf.queryExecution().toString()
     assert "Python" not in plan.replace("PythonRDD", "")
+    plan = emb.normalize_embedding(df, "a")._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
+
+
+def test_normalize_many_vectors(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, None if i % 7 == 0 else [float(x) for x in rng.normal(size=i % 5)]) for i in range(300)] + [(999, [3.0, None, 4.0])]
+    df = spark.createDataFrame(rows, "id int, v array<double>").repartition(3)
+    for r, (_, v) in zip(emb.normalize_embedding(df, "v", "u").orderBy("id").collect(), rows):
+        if not v or None in v:
+            assert r.u == v
+        else:
+            assert r.u == pytest.approx(np.array(v) / np.linalg.norm(v), rel=1e-6)
 
 
 @pytest.fixture(scope="module")

@@ -10,7 +10,3 @@ def dot(a: Column, b: Column) -> Column:
     """Sum of products in double; null when a side is null or the lengths differ."""
     terms = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
     return F.when(F.size(a) == F.size(b), F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x))
-
-
-def norm(a: Column) -> Column:
-    return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))

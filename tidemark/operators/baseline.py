@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,22 +29,38 @@ def baseline_statistics(df: DataFrame, cols: list[str] | None = None) -> DataFra
         f.name for f in df.schema.fields if isinstance(f.dataType, (T.IntegralType, T.BooleanType)) and f.name in cols
     ]
     kind = F.when(F.col("name").isin(integral), "Integral").otherwise("Fractional")
-    return (
-        long_form(df, cols)
-        .groupBy(F.col("feature").alias("name"))
-        .agg(
-            F.count("value").alias("num_present"),
-            (F.count(F.lit(1)) - F.count("value")).alias("num_missing"),
-            F.avg("value").alias("mean"),
-            F.sum("value").alias("sum"),
-            F.stddev_pop("value").alias("std_dev"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            F.count(F.lit(1)).alias("item_count"),
-        )
-        .where("num_present > 0")
-        .withColumn("inferred_type", kind)
-    )
+    aggregates = {
+        "num_present": F.count,
+        "mean": F.avg,
+        "sum": F.sum,
+        "std_dev": F.stddev_pop,
+        "min": F.min,
+        "max": F.max,
+    }
+    rows = per_column(df, cols, aggregates).where("num_present > 0")
+    return rows.select(
+        "name",
+        "num_present",
+        (F.col("item_count") - F.col("num_present")).alias("num_missing"),
+        *[c for c in aggregates if c != "num_present"],
+        "item_count",
+    ).withColumn("inferred_type", kind)
+
+
+def per_column(df: DataFrame, cols: list[str], aggregates: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """``name, <aggregates>, item_count``: aggregates of every column, as double and without NaN, and the number of rows.
+
+    All columns are aggregated side by side in one pass, and only the single row of results is turned into one row a column.
+    """
+    values = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in cols}
+    plain = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values.values())])
+    cells = [
+        F.struct(F.lit(c).alias("name"), *[fn(F.col(f"v{i}")).alias(a) for a, fn in aggregates.items()], F.count(F.lit(1)).alias("item_count"))
+        for i, c in enumerate(cols)
+    ]
+    if not cells:
+        return df.sparkSession.createDataFrame([], ", ".join(["name string", *(f"{a} double" for a in aggregates), "item_count long"]))
+    return plain.agg(F.array(*cells).alias("__cells")).select(F.inline("__cells"))
 
 
 def baseline_buckets(
@@ -99,15 +117,8 @@ def check_constraints(current: DataFrame, constraints: DataFrame) -> DataFrame:
     """
     known = {c for c in current.columns}
     names = [c for c in numeric_columns(current) if c in known]
-    seen = (
-        long_form(current, names)
-        .groupBy(F.col("feature").alias("name"))
-        .agg(
-            F.count(F.lit(1)).alias("total"),
-            F.count("value").alias("present"),
-            F.count_if(F.col("value") < 0).alias("negative"),
-        )
-    )
+    seen = per_column(current, names, {"present": F.count, "negative": lambda v: F.count_if(v < 0)})
+    seen = seen.withColumnRenamed("item_count", "total").where("total > 0")
     joined = constraints.join(seen, "name", "left")
     share = F.when(F.col("total") > 0, F.col("present") / F.col("total")).otherwise(1.0)
     missing = F.when(

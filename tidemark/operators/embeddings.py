@@ -12,20 +12,35 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.vectors import dot, norm
+from tidemark.functions.vectors import dot
 from tidemark.operators.vector_index import METRICS, best, build_vector_index, by_length
 from tidemark.session import ensure_checkpoint_dir
 
 MAX_BROADCAST_QUERIES = 4_096
 
 
+@F.arrow_udf(T.ArrayType(T.FloatType()))
+def _normalized(vectors: pa.Array) -> pa.Array:
+    there = vectors.is_valid().to_numpy(zero_copy_only=False)
+    lengths = np.where(there, np.diff(vectors.offsets.to_numpy()), 0)
+    row = np.repeat(np.arange(len(vectors)), lengths)
+    flat = vectors.flatten()
+    gaps = flat.is_null().to_numpy(zero_copy_only=False)
+    values = flat.cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False)
+    norms = np.sqrt(np.bincount(row, values * values, len(vectors)))
+    broken = np.bincount(row, gaps, len(vectors)) > 0  # a null component leaves no norm
+    scale = np.where((norms > 0) & ~broken, norms, 1.0)
+    unit = pa.array((values / scale[row]).astype(np.float32), mask=gaps)
+    starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(starts), unit, mask=pa.array(~there))
+
+
 def normalize_embedding(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Divide by the L2 norm (float result).  Null, empty and zero vectors pass unchanged."""
-    v = F.col(col)
-    with_norm = df.withColumn("__norm", norm(v))
-    unit = F.transform(v, lambda x: (x.cast("double") / F.col("__norm")).cast("float"))
-    kept = F.transform(v, lambda x: x.cast("float"))
-    return with_norm.withColumn(out or col, F.when(F.col("__norm") > 0, unit).otherwise(kept)).drop("__norm")
+    """Divide by the L2 norm (float result).  Null, empty and zero vectors, and those with a null component, pass unchanged.
+
+    Only the vectors travel to Python, as Arrow batches that are scaled as one array.
+    """
+    return df.withColumn(out or col, _normalized(F.col(col)))
 
 
 def embedding_dot_product(df: DataFrame, a: str, b: str, out: str = "dot_product") -> DataFrame:

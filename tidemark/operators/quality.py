@@ -83,6 +83,41 @@ def expectation_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return counted.select(F.explode(cells).alias("c")).select("c.*")
 
 
+def _alerts(drift: DataFrame, thresholds: DataFrame, group: str, score: str) -> DataFrame:
+    severity = F.when(F.col(score) >= F.col("psi_critical"), "critical").when(
+        F.col(score) >= F.col("psi_warning"), "warning"
+    )
+    return drift.join(thresholds, group).withColumn("severity", severity).where("severity IS NOT NULL")
+
+
+def topic_messages(
+    drift: DataFrame,
+    thresholds: DataFrame,
+    group: str = "endpoint_name",
+    feature: str = "feature_name",
+    score: str = "psi",
+    listed: int = 20,
+) -> DataFrame:
+    """``endpoint_name, subject, violation_count, violations``: one message for the topic of each endpoint with a critical alert.
+
+    All alerts of the endpoint are counted; the ``listed`` worst are part of the message, worst first, so a message is bounded however
+    many features drift.  The subject has at most 99 characters.
+    """
+    alerts = _alerts(drift, thresholds, group, score)
+    totals = alerts.groupBy(group).agg(
+        F.count(F.lit(1)).alias("violation_count"), F.bool_or(F.col("severity") == "critical").alias("__loud")
+    )
+    order = Window.partitionBy(group).orderBy(F.desc(score), F.col(feature))
+    top = alerts.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= listed)
+    entry = F.struct("__rank", F.col(feature).alias("feature"), F.col(score).alias("score"), "severity")
+    lists = top.groupBy(group).agg(F.array_sort(F.collect_list(entry)).alias("__list"))
+    subject = F.substring(F.format_string("[Drift] %s: %d violation(s)", F.col(group), "violation_count"), 1, 99)
+    violations = F.transform("__list", lambda x: F.struct(x["feature"].alias("feature"), x["score"].alias("score"), x["severity"].alias("severity")))
+    return totals.where("__loud").join(lists, group).select(
+        group, subject.alias("subject"), "violation_count", violations.alias("violations")
+    )
+
+
 def alert_severity(
     drift: DataFrame,
     thresholds: DataFrame,
@@ -96,10 +131,7 @@ def alert_severity(
     ``thresholds`` has ``endpoint_name, psi_warning, psi_critical``.  The rank filter is pushed
     below the shuffle (WindowGroupLimit), the remainder comes from a separate count.
     """
-    severity = F.when(F.col(score) >= F.col("psi_critical"), "critical").when(
-        F.col(score) >= F.col("psi_warning"), "warning"
-    )
-    alerts = drift.join(thresholds, group).withColumn("severity", severity).where("severity IS NOT NULL")
+    alerts = _alerts(drift, thresholds, group, score)
     totals = alerts.groupBy(group).agg(F.count(F.lit(1)).alias("__total"))
     order = Window.partitionBy(group).orderBy(F.desc(score), F.col(feature))
     top = alerts.withColumn("alert_rank", F.row_number().over(order)).where(F.col("alert_rank") <= shown)

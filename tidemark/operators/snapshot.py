@@ -17,7 +17,8 @@ def latest_per_entity(
 ) -> DataFrame:
     """The newest row of each entity, ties by ``created``.
 
-    ``max_by`` combines map-side: a hot entity is one row per task, and no group is sorted.
+    Rows combine map-side, so a hot entity crosses the network as one row per task.  Whole rows do not fit a hash aggregate's buffers:
+    each task sorts its rows by entity to combine them, and may spill while it does.
     """
     rest = [c for c in df.columns if c not in keys]
     order = [event_time] + ([created] if created else [])
@@ -118,23 +119,52 @@ def request_features(requests: DataFrame, ts: str) -> DataFrame:
     return requests.withColumn("hour_of_day", F.hour(ts).cast("int"))
 
 
+PARITY_BUCKETS = 4_096
+
+
+def differing_buckets(offline: DataFrame, online: DataFrame, keys: list[str], cols: list[str], buckets: int = PARITY_BUCKETS) -> DataFrame:
+    """``__bucket``: the key buckets whose rows are not the same on both sides, by their number and two order-independent sums of
+    row hashes.  Sums combine map-side: of each side, one row a bucket and task is shuffled."""
+
+    def sums(df: DataFrame) -> DataFrame:
+        row = df.select(F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("__bucket"), F.xxhash64(*keys, *cols).alias("__h"))
+        return row.groupBy("__bucket").agg(
+            F.count(F.lit(1)).alias("n"), F.bit_xor("__h").alias("x"), F.sum(F.col("__h").cast("decimal(20,0)")).alias("s")
+        )
+
+    a, b = sums(offline), sums(online).withColumnsRenamed({"n": "n2", "x": "x2", "s": "s2"})
+    same = F.col("n").eqNullSafe(F.col("n2")) & F.col("x").eqNullSafe(F.col("x2")) & F.col("s").eqNullSafe(F.col("s2"))
+    return a.join(b, "__bucket", "full_outer").where(~same).select("__bucket")
+
+
 def parity_report(
-    offline: DataFrame, online: DataFrame, keys: list[str], cols: list[str], tol: float = 0.0
+    offline: DataFrame, online: DataFrame, keys: list[str], cols: list[str], tol: float = 0.0, buckets: int = PARITY_BUCKETS
 ) -> DataFrame:
     """``keys, feature, offline_value, online_value, problem``: every cell on which the stores differ.
 
-    Rows missing on one side are reported once per column, two nulls agree, and numbers may differ
-    by ``tol``.
+    Rows missing on one side are reported once per column, two nulls agree, null keys are keys, and numbers may differ
+    by ``tol``.  Each side has one row a key.
+
+    Checksums of key buckets come first; only rows of buckets that differ are joined.  Stores that agree are read once
+    and nothing of them is shuffled but sums.
     """
+    # At most one row a bucket.
+    found = differing_buckets(offline, online, keys, cols, buckets).toArrow()
+    differing = offline.sparkSession.createDataFrame(found, "__bucket int")
 
     def tagged(df: DataFrame, side: str) -> DataFrame:
-        return df.select(
-            *keys,
+        inside = df.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        return inside.join(F.broadcast(differing), "__bucket", "left_semi").select(
+            *[F.col(k).alias(f"__{side}k{i}") for i, k in enumerate(keys)],
             F.lit(True).alias(f"__in_{side}"),
             *[F.col(c).alias(f"__{side}_{c}") for c in cols],
         )
 
-    joined = tagged(offline, "a").join(tagged(online, "b"), keys, "full_outer")
+    same_key = F.lit(True)
+    for i in range(len(keys)):
+        same_key = same_key & F.col(f"__ak{i}").eqNullSafe(F.col(f"__bk{i}"))
+    joined = tagged(offline, "a").join(tagged(online, "b"), same_key, "full_outer")
+    joined = joined.withColumns({k: F.coalesce(f"__ak{i}", f"__bk{i}") for i, k in enumerate(keys)})
     both = F.col("__in_a").isNotNull() & F.col("__in_b").isNotNull()
     cells = []
     for c in cols:
