@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.model import Entity, Feature, FeatureView, SchemaMismatch, ValueType
-from tidemark.operators import baseline, snapshot
+from tidemark.operators import baseline, lifetime, snapshot
 from tidemark.sinks import tables
+from tidemark.sinks.incremental import LifetimeState, fresh_rows, materialize
 from tidemark.sources import readers
 
 T0 = dt.datetime(2026, 4, 22, 10)
@@ -344,3 +345,85 @@ def test_lookup_in_several_views(spark):
     for wrong in (["u:x", "i:x"], ["nothing:x"], ["u:nothing"]):
         with pytest.raises(ValueError):
             snapshot.lookup_many(asked, stores, wrong, F.lit(T0), full_names=False)
+
+
+def test_equal_buckets_are_not_joined(spark):
+    keys = [(f"u{i}", i * 1.5, None if i % 5 else "x") for i in range(500)] + [(None, 1.0, "n")]
+    offline = spark.createDataFrame(keys, "k string, a double, b string")
+    online = offline.withColumn("a", F.when(F.col("k") == "u7", 0.0).otherwise(F.col("a"))).where("k <> 'u9' OR k IS NULL")
+    assert snapshot.differing_buckets(offline, offline.repartition(3), ["k"], ["a", "b"]).count() == 0
+    assert snapshot.differing_buckets(offline, online, ["k"], ["a", "b"]).count() == 2
+    report = snapshot.parity_report(offline, online, ["k"], ["a", "b"])
+    got = sorted((r.k, r.feature, r.offline_value, r.online_value, r.problem) for r in report.collect())
+    assert got == [("u7", "a", "10.5", "0.0", "value_mismatch"), ("u9", "a", "13.5", None, "missing_online"), ("u9", "b", None, None, "missing_online")]
+    agreeing = snapshot.parity_report(offline, offline, ["k"], ["a", "b"])
+    assert agreeing.count() == 0 and "Exchange hashpartitioning" not in agreeing._jdf.queryExecution().executedPlan().toString()
+    near = snapshot.parity_report(offline, online, ["k"], ["a"], tol=20.0)
+    assert [(r.k, r.problem) for r in near.collect()] == [("u9", "missing_online")]
+    few = snapshot.parity_report(offline, online, ["k"], ["a", "b"], buckets=1)  # everything is compared
+    assert few.exceptAll(report).isEmpty() and report.exceptAll(few).isEmpty()
+
+
+ORDERS = "user string, id int, ts timestamp, amount double, made timestamp"
+
+
+def orders(spark, *items):
+    day = lambda d: None if d is None else T0 + dt.timedelta(days=d)
+    return spark.createDataFrame([(u, i, day(d), a, day(m)) for u, i, d, a, m in items], ORDERS)
+
+
+def test_increments_equal_a_full_recompute(spark, tmp_path):
+    known = [("a", 1, 0, 10.0, 0), ("a", 2, 3, 5.0, 3), ("b", 3, 1, 7.0, 1), ("c", 4, 2, 1.0, 2)]
+    late = [("a", 5, 1, 2.5, 8), ("b", 6, 9, 3.0, 9), (None, 7, 4, 4.0, 9), ("a", 8, -5, 1.0, 9)]
+    items = spark.createDataFrame([(1, "p"), (1, "q"), (2, "p"), (3, "p"), (5, "r"), (6, "p"), (6, None), (8, "q")], "id int, product string")
+    state = LifetimeState(spark, str(tmp_path / "s"), "user", "product", buckets=8)
+    names = ("id", "ts", "amount", "id", "made")
+    state.fold(orders(spark, *known), items, *names)
+    first = state.days.manifest()
+    state.fold(orders(spark, *known), items, *names)  # nothing new: no version
+    assert state.days.manifest() == first
+    everything = orders(spark, *known, *late)
+    state.fold(everything, items, *names)
+    for as_of in (T0 + dt.timedelta(days=2), T0 + dt.timedelta(days=50)):
+        end = F.lit(dt.datetime.combine(as_of.date(), dt.time.max))
+        want = lifetime.user_lifetime(everything, items, end, "user", "id", "ts", "amount", "id", "product")
+        got = state.features(F.lit(as_of))
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.select(got.columns).collect()), key=str)
+    after = state.days.manifest()
+    untouched = str(state.days._bucketed(orders(spark, ("c", 0, 0, 0.0, 0)), 8).first()["__bucket"])
+    touched = {str(r[0]) for r in state.days._bucketed(orders(spark, *late), 8).select("__bucket").collect()}
+    assert {b for b in after.files if after.files[b] != first.files.get(b)} <= touched
+    assert untouched in touched or after.files[untouched] == first.files[untouched]
+
+
+def test_an_interrupted_fold_is_completed(spark, tmp_path, monkeypatch):
+    state = LifetimeState(spark, str(tmp_path / "s"), "user", "product", buckets=2)
+    data, items = orders(spark, ("a", 1, 0, 10.0, 0)), spark.createDataFrame([(1, "p")], "id int, product string")
+    monkeypatch.setattr(state.products, "merge", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        state.fold(data, items, "id", "ts", "amount", "id", "made")
+    monkeypatch.undo()
+    state.fold(data, items, "id", "ts", "amount", "id", "made")
+    assert [(r.total_orders, r.distinct_products_purchased) for r in state.features(F.lit(T0)).collect()] == [(1, 1)]
+
+
+def test_only_new_rows_are_materialised(spark, tmp_path):
+    path = str(tmp_path / "h")
+    rows(spark, ("a", 0, 0, 1), ("b", 0, 0, 2)).write.parquet(path)
+    online = tables.VersionedTable(spark, str(tmp_path / "t"), ["user_id"], buckets=4)
+    first = materialize(spark.read.parquet(path), online)
+    assert values(online.read()) == {"a": 1, "b": 2} and materialize(spark.read.parquet(path), online) is None
+    rows(spark, ("a", 5, 9, 3), ("b", -5, 9, 4), ("c", 1, 9, 5)).write.mode("append").parquet(path)
+    fresh, newest = fresh_rows(spark.read.parquet(path), online, "ingestion_time")
+    assert newest > first and fresh.count() == 3
+    assert "PushedFilters: [IsNotNull(ingestion_time), GreaterThan(ingestion_time" in fresh._jdf.queryExecution().executedPlan().toString()
+    materialize(spark.read.parquet(path), online)
+    assert values(online.read()) == {"a": 3, "b": 2, "c": 5}
+    assert online.manifest().streams == {"ingested": newest}
+
+
+def test_churn_risk_comes_from_a_view_of_scores(spark):
+    base = spark.createDataFrame([("a", 1), ("b", 2)], "user string, total_orders int")
+    scores = spark.createDataFrame([("a", T0, 0.1), ("a", T0 + dt.timedelta(1), 0.9), ("c", T0, 0.5)], "user string, event_time timestamp, prediction_score double")
+    got = {r.user: r.churn_risk_score for r in lifetime.with_churn_risk(base, scores, "user", F.lit(T0)).collect()}
+    assert got == {"a": pytest.approx(0.1), "b": None}

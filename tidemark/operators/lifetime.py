@@ -46,6 +46,17 @@ def user_lifetime(
     )
 
 
+def with_churn_risk(
+    lifetime: DataFrame, scores: DataFrame, user: str, as_of: Column, score: str = "prediction_score", ts: str = "event_time"
+) -> DataFrame:
+    """Lifetime features with ``churn_risk_score`` (float): the user's newest model score by ``as_of``, null where there is none.
+
+    Scores are a view of their own, written by batch scoring; reading them here keeps the model out of the feature's definition.
+    """
+    known = scores.where(F.col(ts) <= as_of).groupBy(user).agg(F.max_by(F.col(score), F.col(ts)).alias("__score"))
+    return lifetime.join(known, user, "left").withColumn("churn_risk_score", F.col("__score").cast("float")).drop("__score")
+
+
 def user_lifetime_history(
     orders: DataFrame,
     items: DataFrame,

@@ -125,6 +125,14 @@ def alert_severity(spark, sf):
     return quality.alert_severity(found, thresholds)
 
 
+def alert_topics(spark, sf):
+    """The message for each endpoint's topic, with its 20 worst features."""
+    found = drift_reports(spark, sf)
+    thresholds = found.groupBy("endpoint_name").agg((F.avg("psi") * 2).alias("psi_warning"), (F.avg("psi") * 4).alias("psi_critical"))
+    out = quality.topic_messages(found, thresholds)
+    return out.withColumn("violations", F.array_join(F.transform("violations", lambda v: F.concat_ws("/", v["feature"], v["severity"])), ","))
+
+
 def lookup_hit_rate(spark, sf):
     logs = events(spark, sf).select(
         F.col("event_type").alias("feature_view"), (F.col("amount") > 2.5).alias("is_hit"), F.col("amount").alias("latency_ms")
@@ -167,6 +175,7 @@ QUERIES = {
         drift_vs_performance,
         feature_freshness,
         alert_severity,
+        alert_topics,
         lookup_hit_rate,
         ingest_health,
         inference_log_sample,
@@ -281,6 +290,15 @@ SELECT endpoint_name, feature_name, psi, severity, CAST(alert_rank AS INTEGER) A
        greatest(total - 10, 0) AS n_more,
        CASE WHEN severity = 'critical' THEN 'topic,chat' ELSE 'chat' END AS channels
 FROM a WHERE alert_rank <= 10""",
+    "alert_topics": f"""WITH {REPORTS},
+t AS (SELECT endpoint_name, avg(psi) * 2 AS warn, avg(psi) * 4 AS crit FROM reports GROUP BY 1),
+a AS (
+  SELECT r.endpoint_name, feature_name, psi, CASE WHEN psi >= crit THEN 'critical' ELSE 'warning' END AS severity,
+         row_number() OVER (PARTITION BY r.endpoint_name ORDER BY psi DESC, feature_name) AS place
+  FROM reports r JOIN t ON t.endpoint_name = r.endpoint_name WHERE psi >= warn)
+SELECT endpoint_name, left('[Drift] ' || endpoint_name || ': ' || count(*) || ' violation(s)', 99) AS subject, count(*) AS violation_count,
+       string_agg(feature_name || '/' || severity, ',' ORDER BY place) FILTER (WHERE place <= 20) AS violations
+FROM a GROUP BY endpoint_name HAVING bool_or(severity = 'critical')""",
     "lookup_hit_rate": """
 SELECT event_type AS feature_view, count(*) AS lookups, count(*) FILTER (value > 2.5) AS lookups_hit,
        round(avg(value), 6) AS avg_latency_ms, round(count(*) FILTER (value > 2.5) / count(*), 6) AS hit_rate,
