@@ -77,3 +77,15 @@ def test_damage_is_noticed(spark):
 
 def test_empty(spark):
     assert warc.round_trip(pages_of(spark, [])).count() == 0
+
+
+def test_bundles_are_read_by_many_tasks(spark, tmp_path):
+    """Adaptive execution would give a handful of names to one task."""
+    pages = pages_of(spark, [(i, "u", "<p>%d</p>" % i * 50) for i in range(200)]).repartition(8)
+    index = warc.write_bundles(pages, f"file://{tmp_path}/w", bundle_bytes=1_000)
+    names = index.select("bundle").distinct()
+    assert names.count() > 40
+    back = warc.read_bundles(names)
+    tasks = back.rdd.getNumPartitions()
+    assert min(names.count(), 4 * spark.sparkContext.defaultParallelism) == tasks > 1
+    assert back.count() == 200

@@ -28,6 +28,11 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def base32(digest: str) -> str:
+    """A digest in hex, as WARC states it."""
+    return base64.b32encode(bytes.fromhex(digest)).decode()
+
+
 def _urn(page_id: int | None) -> str:
     return f"<urn:page:{'' if page_id is None else page_id}>"
 
@@ -131,19 +136,11 @@ def read_record(uri: str, frame: int, offset: int) -> tuple[dict[str, str], byte
 
 
 def with_roles(pages: DataFrame, smallest: int = 0) -> DataFrame:
-    """(``page_id``, ``url``, ``payload``, ``digest``, ``revisit``, ``refers_to``): of records with equal payloads of at least ``smallest``
+    """(``page_id``, ``url``, ``payload``, ``digest`` (hex), ``revisit``, ``refers_to``): of records with equal payloads of at least ``smallest``
     bytes, that with the largest id is the response."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            named = pa.array([payload_digest(p) for p in batch.column("payload").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, named], names=[*batch.schema.names, "digest"])
-
-    digested = rows.mapInArrow(digest, "page_id long, url string, payload binary, digest string").withColumn(
-        "bytes", F.octet_length("payload")
-    )
+    digested = rows.withColumns({"digest": F.sha1("payload"), "bytes": F.octet_length("payload")})
     # Written: the join then has plain exchanges on both sides, of which a hot payload's can be split.
     last = written(digested.groupBy("digest", "bytes").agg(F.max("page_id").alias("last")), "responses")
     joined = digested.join(last, ["digest", "bytes"])
@@ -181,7 +178,7 @@ def write_bundles(pages: DataFrame, folder: str, smallest: int = 0, bundle_bytes
                     name = f"{uuid.uuid4().hex}.warc.zst"
                     file = store.open_output_stream(f"{top}/{name}", compression=None)
                     writer, size, index = BundleWriter(file, frame_bytes), 0, []
-                data = record(*row)
+                data = record(*row[:3], base32(row[3]), *row[4:])
                 frame, offset = writer.add(data)
                 index.append({"page_id": row[0], "bundle": f"{folder}/{name}", "frame": frame, "offset": offset})
                 size += len(data)
@@ -210,7 +207,10 @@ def read_bundles(bundles: DataFrame) -> DataFrame:
                         data = zstandard.ZstdDecompressor().decompress(file.read_at(packed, start), max_output_size=unpacked)
                         yield _rows(data)
 
-    return bundles.select("bundle").mapInArrow(
+    spark = bundles.sparkSession
+    # Names are so small that adaptive execution would give them all to one task: their number says how many tasks read.
+    tasks = max(1, min(bundles.count(), 4 * spark.sparkContext.defaultParallelism))
+    return bundles.select("bundle").repartition(tasks).mapInArrow(
         read,
         "page_id long, record_type string, payload_digest string, payload_bytes long, refers_to long, url string, body binary",
     )
@@ -252,5 +252,4 @@ def archive_folder(spark: SparkSession) -> str:
 def round_trip(pages: DataFrame, smallest: int = 0) -> DataFrame:
     """Write the pages, then read all bundles of the index back."""
     index = write_bundles(pages, archive_folder(pages.sparkSession), smallest)
-    bundles = index.select("bundle").distinct()
-    return read_bundles(bundles.repartition("bundle"))
+    return read_bundles(index.select("bundle").distinct())
