@@ -91,3 +91,42 @@ def test_merge_against_rescanning():
     for _ in range(500):
         word = "".join(rng.choice("theinganore") for _ in range(rng.randint(1, 40)))
         assert bpe.merge(word) == plain(word)
+
+
+def test_many_words_at_once_are_merged_like_one(docs_of):
+    bpe = WordBpe(PATH)
+    rng = random.Random(7)
+    words = {"".join(rng.choice("theinganoreéß日x'") for _ in range(rng.randint(1, 70))) for _ in range(2_000)}
+    assert bpe.merge_all(words) == {w: bpe.merge(w) for w in words}
+    assert bpe.merge_all([]) == {} and bpe.merge_all([""]) == {"": []}
+
+
+def test_lookups_of_many_words(tmp_path):
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choice("abé") for _ in range(rng.randint(1, 6))).encode() for _ in range(400)})
+    path = tmp_path / "x"
+    path.write_bytes(compile_lexicon([(w, tuple(rng.choice([[1], [1, 2], [4, 1, 1]]))) for w in words]))
+    lexicon = Lexicon(str(path))
+    asked = [*words, b"", b"zz", *(w + b"q" for w in words), *(w[:2] for w in words)]
+    assert lexicon.get_all(asked) == [lexicon.get(w) for w in asked]
+    path.write_bytes(compile_lexicon([]))
+    assert Lexicon(str(path)).get_all([b"a", b""]) == [None, None]
+    assert Lexicon(str(path)).get_all([]) == []
+
+
+def test_little_memory_changes_nothing(library):
+    from tidemark.llm import bpe as module
+
+    coder = module._Encoder.__new__(module._Encoder)
+    coder.bpe, coder.words, coder.chunks = WordBpe(PATH), module._Recent(3), module._Recent(2)
+    coder.lexicon = type("Empty", (), {"get_all": lambda self, words: [None] * len(words)})()
+    texts = [f"{a} {b} don't <|endoftext|> {a}" for a in ("one", "two", "three") for b in ("x,", "y", "z!")] * 2
+    for text, (ids, decoded) in zip(texts, [r for t in texts for r in coder.encode([t])]):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want and decoded == library.decode(want, skip_special_tokens=False)
+
+
+def test_clashing_names(docs_of):
+    docs = docs_of([(1, "the cat")]).selectExpr("*", "'u' AS _", "'v' AS __", "7 AS row", "8 AS ids", "9 AS decoded")
+    [r] = encode_decode(docs, PATH).collect()
+    assert (r["_"], r["__"], r.row, r.decoded) == ("u", "v", 7, "the</w> cat</w>")

@@ -4,7 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
-from tidemark.llm.suffix import digests, remove_repeats
+from tidemark.llm.suffix import digests, remove_repeats, without_repeats
 
 
 def brute(texts, length):
@@ -57,3 +57,9 @@ def test_documents_of_the_smallest_table(spark, sf):
 
 def test_empty_table(docs_of):
     assert digests(remove_repeats(docs_of([]))).count() == 0
+
+
+def test_clashing_names(docs_of):
+    docs = docs_of([(1, "x" * 500), (2, None)]).selectExpr("*", "'u' AS `no text`", "'v' AS _", "7 AS row", "8 AS removed")
+    got = without_repeats(docs, "text", 200).orderBy("doc_id").collect()
+    assert [(r["no text"], r["_"], r.row, r.removed) for r in got] == [("u", "v", 7, 8)] * 2 and got[1].text is None

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import release, schema_with, written
+from tidemark.llm.common import free_name, release, schema_with, written
 from tidemark.llm.phrases import TRIGGER, phrases
 
 #: A run of window starts in one long: first start * 2^32 + offset of the trigger * 2^16 + number of starts - 1.
@@ -308,7 +308,8 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = 200)
     """The rows and columns of ``docs`` with the bytes that stay as their text; texts that lose nothing, null ones included,
     are as they were.  A cut may split a letter; what is left of it is no text and goes."""
     rest = [c for c in docs.columns if c != text_col]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest], F.col(text_col).isNull().alias("no text")).alias("row"), F.col(text_col).alias("text"))
+    missing = free_name(rest)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest], F.col(text_col).isNull().alias(missing)).alias("row"), F.col(text_col).alias("text"))
     cut = remove_repeats(rows, "text", length)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,5 +318,5 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = 200)
             yield pa.RecordBatch.from_arrays([batch.column("row"), kept], names=["row", "text"])
 
     new = cut.select("row", "kept").mapInArrow(decode, rows.schema)
-    text = F.when(~F.col("row.`no text`"), F.col("text")).alias(text_col)
+    text = F.when(~F.col(f"row.`{missing}`"), F.col("text")).alias(text_col)
     return new.select(*[text if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
