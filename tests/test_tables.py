@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -427,3 +428,36 @@ def test_churn_risk_comes_from_a_view_of_scores(spark):
     scores = spark.createDataFrame([("a", T0, 0.1), ("a", T0 + dt.timedelta(1), 0.9), ("c", T0, 0.5)], "user string, event_time timestamp, prediction_score double")
     got = {r.user: r.churn_risk_score for r in lifetime.with_churn_risk(base, scores, "user", F.lit(T0)).collect()}
     assert got == {"a": pytest.approx(0.1), "b": None}
+
+
+def test_file_streams_start_at_a_time_and_keep_a_rate(spark, tmp_path):
+    path = str(tmp_path / "in")
+    rows(spark, ("old", 0, 0, 1)).coalesce(1).write.mode("append").parquet(path)
+    for f in (tmp_path / "in").glob("*.parquet"):
+        os.utime(f, (1_000_000_000, 1_000_000_000))
+    for k in range(4):
+        rows(spark, (f"new{k}", 0, 0, 1)).coalesce(1).write.mode("append").parquet(path)
+
+    def run(name, **options):
+        stream = readers.read_event_stream(spark, "parquet", schema=rows(spark).schema, path=path, **options)
+        batches = []
+        query = (
+            stream.writeStream.foreachBatch(lambda df, i: batches.append(sorted(r.user_id for r in df.collect())))
+            .option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return [b for b in batches if b]
+
+    assert sorted(sum(run("all"), [])) == ["new0", "new1", "new2", "new3", "old"]
+    late = run("late", position="AT_TIMESTAMP", timestamp="2020-01-01 00:00:00")
+    assert sorted(sum(late, [])) == ["new0", "new1", "new2", "new3"]
+    slow = run("slow", records_per_second=1, trigger_seconds=1, record_bytes=1)
+    assert len(slow) == 5  # one file a batch at least, no more under the rate
+    assert len(run("two", maxFilesPerTrigger="2")) == 3
+
+
+def test_repeated_cells_have_one_value(spark):
+    from tidemark.operators.formats import feature_wide_format
+
+    long = spark.createDataFrame([("u", T0, T0, "f", v) for v in (2.0, 5.0, 3.0)], "entity_id string, event_time timestamp, ingestion_time timestamp, feature_name string, value double")
+    assert [r.f for r in feature_wide_format(long.repartition(3), ["f"]).collect()] == [5.0]

@@ -43,6 +43,7 @@ def feature_wide_format(
     name: str = "feature_name",
     value: str = "value",
 ) -> DataFrame:
-    """One row per (entity, event_time, ingestion_time); the column list is given, not discovered."""
-    picks = [F.first(F.when(F.col(name) == f, F.col(value)), ignorenulls=True).alias(f) for f in features]
+    """One row per (entity, event_time, ingestion_time); the column list is given, not discovered.  Of values that one ingestion repeats
+    for a cell, the largest stands."""
+    picks = [F.max(F.when(F.col(name) == f, F.col(value))).alias(f) for f in features]
     return long.groupBy(entity, event_time, ingestion_time).agg(*picks)

@@ -11,7 +11,7 @@ from tidemark.operators.pit import pit_join as join_as_of
 from tidemark.operators.pit import pit_join_bucketed as join_as_of_bucketed
 from tidemark.operators.pit import training_set as build_training_set
 from tidemark.operators.skew import find_hot_keys
-from tidemark.plans.inputs import EV, LATE, events, interest, purchases, table, with_lateness
+from tidemark.plans.inputs import EV, LATE, events, interest, purchases, slice_rows, table, with_lateness
 
 _COLS = {"amount": "feature_amount", "product_id": "feature_product", "event_type": "feature_type"}
 
@@ -31,7 +31,7 @@ def pit_join_sliced(spark, sf):
     """As ``pit_join``, with every busy user cut into slices of a few rows."""
     sides = purchases(spark, sf), _features(spark, sf)
     keys = (["user_id"], "event_ts", "feature_ts", "6 hours", _COLS)
-    return naive_timestamps(join_as_of(*sides, *keys, match_ts="feature_ts", rows_per_slice=20))
+    return naive_timestamps(join_as_of(*sides, *keys, match_ts="feature_ts", rows_per_slice=slice_rows(events(spark, sf))))
 
 
 def pit_join_bucketed(spark, sf):
@@ -139,7 +139,7 @@ def training_set_sliced(spark, sf):
     labels, views = training_inputs(spark, sf)
     select = ["interest:amount", "interest:product_id", "trouble:amount", "trouble:event_type"]
     return build_training_set(
-        labels, views, ["user_id"], "label_ts", select, exclude=("user_id", "label_ts"), rows_per_slice=20
+        labels, views, ["user_id"], "label_ts", select, exclude=("user_id", "label_ts"), rows_per_slice=slice_rows(events(spark, sf))
     )
 
 

@@ -12,6 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return utc_timestamps(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+def slice_rows(df: DataFrame) -> int:
+    """Rows of a slice where the plans for hot entities are to be seen at work: few on small tables, a 5 000th of large ones, so
+    that the number of slices is bounded."""
+    return max(20, df.count() // 5_000)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, user_id, event_type, product_id, amount, event_ts``."""
     return table(spark, sf_dir, "events").select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.timecols import naive_timestamps
 from tidemark.operators import recency, windows
 from tidemark.operators.windows import Agg
-from tidemark.plans.inputs import EV, events
+from tidemark.plans.inputs import EV, events, slice_rows
 
 
 def _r(df, **digits):
@@ -70,24 +70,20 @@ def user_recency_trailing(spark, sf):
     return _r(recency.user_recency_trailing(events(spark, sf)), avg_order_value_last_1h=6)
 
 
-#: A few rows a slice, so that the plan for busy entities runs on small tables.
-_SLICED = 40
-
-
 def user_recency_trailing_sliced(spark, sf):
     """As ``user_recency_trailing``, with every user cut into slices."""
-    out = recency.user_recency_trailing(events(spark, sf), rows_per_slice=_SLICED)
+    out = recency.user_recency_trailing(events(spark, sf), rows_per_slice=slice_rows(events(spark, sf)))
     return _r(out, avg_order_value_last_1h=6)
 
 
 def gap_reset_counters_sliced(spark, sf):
     """As ``gap_reset_counters``, with every user cut into slices."""
-    return _gap_counters(spark, sf, rows_per_slice=_SLICED)
+    return _gap_counters(spark, sf, rows_per_slice=slice_rows(events(spark, sf)))
 
 
 def sessionize_sliced(spark, sf):
     """As ``sessionize``, with every user cut into slices."""
-    return naive_timestamps(recency.sessionize(events(spark, sf), "user_id", "event_ts", "1 hour", rows_per_slice=_SLICED))
+    return naive_timestamps(recency.sessionize(events(spark, sf), "user_id", "event_ts", "1 hour", rows_per_slice=slice_rows(events(spark, sf))))
 
 
 def gap_reset_counters(spark, sf):

@@ -77,9 +77,15 @@ def read_jdbc(
     return reader.load()
 
 
-def rate_options(format: str, records_per_second: int, trigger_seconds: int) -> dict[str, str]:
+#: Formats of a folder of files.
+FILES = ("parquet", "json", "csv", "orc", "text", "avro")
+
+
+def rate_options(format: str, records_per_second: int, trigger_seconds: int, record_bytes: int = 1_024) -> dict[str, str]:
     """A rate as the connector's own limit: Kinesis reads so many records a second and shard, Kafka so many a
-    trigger.  Files have no limit by records; callers give ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``."""
+    trigger.  Files are limited by bytes, of which a record takes about ``record_bytes``; a batch has one file at least."""
+    if format in FILES:
+        return {"maxBytesPerTrigger": str(records_per_second * trigger_seconds * record_bytes)}
     if format == "kinesis":
         return {"kinesis.executor.maxFetchRecordsPerShard": str(records_per_second)}
     if format == "kafka":
@@ -96,10 +102,15 @@ def read_event_stream(
     trigger_seconds: int = 30,
     schema: T.StructType | None = None,
     path: str | None = None,
+    record_bytes: int = 1_024,
     **options: str,
 ) -> DataFrame:
     """A stream of raw events from a connector (kinesis, kafka) or a folder of files, no faster than the rate for a
-    stream that is triggered every ``trigger_seconds``."""
+    stream that is triggered every ``trigger_seconds``.
+
+    A folder is read from its first file on, as it has no end to start behind; ``AT_TIMESTAMP`` leaves out files that were last
+    changed before the time.  ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` of the caller take the rate's place.
+    """
     if position not in ("LATEST", "TRIM_HORIZON", "AT_TIMESTAMP"):
         raise ValueError(f"unknown start position {position!r}")
     if position == "AT_TIMESTAMP" and not timestamp:
@@ -116,8 +127,14 @@ def read_event_stream(
             reader = reader.option("startingTimestamp", timestamp)
         else:
             reader = reader.option("startingOffsets", "latest" if position == "LATEST" else "earliest")
-    reader = reader.options(**{**rate_options(format, records_per_second, trigger_seconds), **options})
-    return reader.load(path) if path else reader.load()
+    rate = rate_options(format, records_per_second, trigger_seconds, record_bytes)
+    if "maxFilesPerTrigger" in options:
+        rate.pop("maxBytesPerTrigger", None)
+    reader = reader.options(**{**rate, **options})
+    df = reader.load(path) if path else reader.load()
+    if format in FILES and position == "AT_TIMESTAMP":
+        df = df.where(F.col("_metadata.file_modification_time") >= F.lit(timestamp).cast("timestamp"))
+    return df
 
 
 def decode_events(
