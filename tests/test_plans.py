@@ -8,9 +8,11 @@ import pytest
 
 import __spark_entry__ as driver
 from tidemark.operators import recency, windows
+from tidemark.plans import stores
 from tidemark.plans.inputs import events
 
-EAGER = {"gap_reset_stream", "user_recency_stream", "batch_scores", "tree_importances"}
+#: Queries that do their work while they are built; what they return is a plain read of a table.
+EAGER = {"gap_reset_stream", "user_recency_stream", "batch_scores", "tree_importances", *stores.QUERIES}
 
 
 def plan(df) -> str:
