@@ -5,12 +5,13 @@ import json
 import os
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.model import Entity, Feature, FeatureView, SchemaMismatch, ValueType
 from tidemark.operators import baseline, lifetime, snapshot
-from tidemark.sinks import tables
+from tidemark.sinks import history_index, tables
 from tidemark.sinks.incremental import LifetimeState, fresh_rows, materialize
 from tidemark.sources import readers
 
@@ -77,8 +78,10 @@ def test_null_keys_and_new_columns(spark, tmp_path):
     tables.write_features(rows(spark, (None, 0, 0, 1), ("a", 0, 0, 1)), t)
     tables.write_features(rows(spark, (None, 1, 1, 2)).withColumn("y", F.lit("new")), t)
     assert {(r.user_id, r.x, r.y) for r in t.read().collect()} == {(None, 2, "new"), ("a", 1, None)}
-    tables.write_features(rows(spark), t)
+    for mode in ("merge", "append"):
+        assert tables.write_features(rows(spark).where("x > 5"), t, mode).records_ingested == 0
     assert t.read().count() == 2
+    assert tables.write_features(rows(spark), t, "overwrite").records_ingested == 0 and t.read().count() == 0
 
 
 @pytest.mark.parametrize("mode", ["merge", "append"])
@@ -150,6 +153,31 @@ def test_idempotent_append(spark, tmp_path):
     assert "event_date" in stored.columns
 
 
+def test_a_redelivered_batch_reads_only_files_that_may_hold_it(spark, tmp_path):
+    path = str(tmp_path / "h")
+    for k in range(6):  # six files of one date
+        assert tables.idempotent_append(rows(spark, *[(f"u{k}-{i}", i, 0, k) for i in range(40)]).coalesce(1), path, ["user_id"]) == 40
+    again = rows(spark, *[(f"u3-{i}", i, 9, 99) for i in range(40)]).withColumn("event_date", F.to_date("event_time"))
+    found, there = history_index.candidate_files(again, path, ["user_id"], "event_time")
+    assert len(there) >= 6 and 1 <= len(found) <= 2
+    assert tables.idempotent_append(again.drop("event_date"), path, ["user_id"]) == 0
+    new = rows(spark, *[(f"n{i}", i, 9, 99) for i in range(40)]).withColumn("event_date", F.to_date("event_time"))
+    assert len(history_index.candidate_files(new, path, ["user_id"], "event_time")[0]) <= 2
+    # A file that no filter describes is read.
+    rows(spark, ("loose", 1, 0, 7)).withColumn("event_date", F.to_date("event_time")).write.mode("append").partitionBy("event_date").parquet(path)
+    assert tables.idempotent_append(rows(spark, ("loose", 1, 9, 8), ("u0-1", 1, 9, 8), ("late", 1, 9, 8)), path, ["user_id"]) == 1
+    stored = spark.read.parquet(path)
+    assert stored.count() == 242 and stored.groupBy("user_id", "event_time").count().where("count > 1").isEmpty()
+
+
+def test_filters_miss_nothing():
+    rng = np.random.default_rng(1)
+    held, others = (rng.integers(-(2**63), 2**63 - 1, 5_000) for _ in range(2))
+    bits = history_index.bloom(held)
+    assert all(history_index.may_hold(bits, held[i : i + 1]) for i in range(0, 5_000, 7))
+    assert sum(history_index.may_hold(bits, others[i : i + 1]) for i in range(2_000)) < 40
+
+
 def test_ingest_writes_history_online_and_rejects(spark, tmp_path):
     online = tables.VersionedTable(spark, str(tmp_path / "online"), ["user_id"])
     where = str(tmp_path / "history"), online, str(tmp_path / "rejects")

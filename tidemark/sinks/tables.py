@@ -25,7 +25,8 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.model import FeatureView, check_schema, reject_rows
 from tidemark.operators.embeddings import embedding_document_id
-from tidemark.operators.snapshot import latest_per_entity, new_rows_only, recomputed
+from tidemark.operators.snapshot import latest_per_entity, recomputed
+from tidemark.sinks import history_index
 
 BUCKETS = 64
 _BUCKET = "__bucket"
@@ -153,10 +154,11 @@ class VersionedTable:
     def _bucketed(self, df: DataFrame, buckets: int) -> DataFrame:
         return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(buckets)).cast("int"))
 
-    def _store(self, df: DataFrame, buckets: int) -> dict[str, list[str]]:
-        """Write rows into new files; the files of each bucket.  Large buckets are written by several tasks."""
+    def _store(self, df: DataFrame, buckets: int, seen: Observation | None = None) -> dict[str, list[str]]:
+        """Write rows into new files; the files of each bucket.  Large buckets are written by several tasks.  ``seen`` counts the rows."""
         folder = f"data/{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex}"
-        self._bucketed(df, buckets).hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.path}/{folder}")
+        rows = _counted(self._bucketed(df, buckets).hint("rebalance", _BUCKET), seen)
+        rows.write.partitionBy(_BUCKET).parquet(f"{self.path}/{folder}")
         out: dict[str, list[str]] = {}
         for name in self._files(folder):
             bucket = name.split(f"{_BUCKET}=", 1)[1].split("/", 1)[0]
@@ -173,11 +175,13 @@ class VersionedTable:
         fs, path = self._hadoop("versions")
         fs.mkdirs(path)
 
-    def publish(self, df: DataFrame, stream: str | None = None, batch_id: int | None = None) -> None:
+    def publish(
+        self, df: DataFrame, stream: str | None = None, batch_id: int | None = None, seen: Observation | None = None
+    ) -> None:
         """Replace all rows."""
         self._ready()
         buckets = self.manifest().buckets
-        files = self._store(df, buckets)
+        files = self._store(df, buckets, seen)
 
         def change(head: Manifest) -> Manifest:
             streams = dict(head.streams) | ({stream: batch_id} if stream is not None else {})
@@ -185,11 +189,11 @@ class VersionedTable:
 
         self._commit(self.manifest(), change, None)
 
-    def append(self, df: DataFrame) -> None:
+    def append(self, df: DataFrame, seen: Observation | None = None) -> None:
         """Add rows, whatever their keys; only they are written."""
         self._ready()
         now = self.manifest()
-        files = self._store(df, now.buckets)
+        files = self._store(df, now.buckets, seen)
 
         def change(head: Manifest) -> Manifest:
             both = {b: [*head.files.get(b, []), *files.get(b, [])] for b in {*head.files, *files}}
@@ -203,6 +207,7 @@ class VersionedTable:
         combine: Callable[[DataFrame | None, DataFrame], DataFrame],
         stream: str | None = None,
         batch_id: int | None = None,
+        seen: Observation | None = None,
     ) -> None:
         """Replace the buckets that have keys of ``df`` by ``combine(their rows, df)``; other buckets are neither read nor written.
 
@@ -211,7 +216,7 @@ class VersionedTable:
         """
         self._ready()
         staged = f"staged/{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{staged}")
+        _counted(df, seen).write.parquet(f"{self.path}/{staged}")
         new = self.spark.read.schema(df.schema).parquet(f"{self.path}/{staged}")
         try:
             while True:
@@ -292,10 +297,10 @@ def merge_into_catalog(df: DataFrame, table: str, keys: list[str]) -> None:
     df.alias("s").mergeInto(table, match).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows while they are written instead of running the plan twice."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def _counted(df: DataFrame, seen: Observation | None) -> DataFrame:
+    """Count rows while they are written instead of running the plan twice.  What is counted must be the last step: a stage that turns
+    out to be empty is dropped with the counter in it."""
+    return df if seen is None else df.observe(seen, F.count(F.lit(1)).alias("rows"))
 
 
 def write_features(
@@ -308,13 +313,13 @@ def write_features(
     if view is not None:
         check_schema(df, view)
     start = time.monotonic()
-    counted, seen = _counted(one_per_key(df, table.keys) if mode == "merge" else df, "features")
+    seen = Observation("features")
     if mode == "overwrite":
-        table.publish(counted)
+        table.publish(df, seen=seen)
     elif mode == "append":
-        table.append(counted)
+        table.append(df, seen)
     else:
-        table.merge(counted, lambda old, new: upsert(old, new, table.keys))
+        table.merge(one_per_key(df, table.keys), lambda old, new: upsert(old, new, table.keys), seen=seen)
     return WriteResult(int(seen.get["rows"]), 0, int((time.monotonic() - start) * 1000))
 
 
@@ -370,21 +375,27 @@ def idempotent_append(
 ) -> int:
     """Append the rows whose (entity, event time) is new to a date-partitioned history.
 
-    Only the dates in the batch are read back.  Returns the number of appended rows.
+    Of the dates in the batch only those files are read back that may hold one of its rows (``history_index``); in the usual
+    case, a batch of new rows, hardly any.  Returns the number of appended rows.
     """
     spark = batch.sparkSession
     dated = batch.withColumn("event_date", F.to_date(event_time))
-    sc = spark.sparkContext
-    where = sc._jvm.org.apache.hadoop.fs.Path(history_path)
-    if where.getFileSystem(sc._jsc.hadoopConfiguration()).exists(where):
-        history = spark.read.schema(dated.schema).parquet(history_path)
-        fresh = new_rows_only(dated, history, keys, event_time, created, "event_date")
-    else:
-        fresh = latest_per_entity(dated, [*keys, event_time], event_time, created)
-    counted, seen = _counted(fresh, "appended")
+    fresh = latest_per_entity(dated, [*keys, event_time], event_time, created)
+    candidates, before = history_index.candidate_files(dated, history_path, keys, event_time)
+    if candidates:
+        paths = [f"{history_path}/{f}" for f in candidates]
+        known = spark.read.schema(dated.schema).option("basePath", history_path).parquet(*paths)
+        fresh = fresh.join(known.select(*keys, event_time), [*keys, event_time], "left_anti")
+    seen = Observation("appended")
     # Rebalancing splits large dates and joins small ones, so file sizes stay even.
-    counted.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(history_path)
-    return int(seen.get["rows"])
+    counted = _counted(fresh.hint("rebalance", "event_date"), seen)
+    counted.write.mode("append").partitionBy("event_date").parquet(history_path)
+    appended = int(seen.get["rows"])
+    if appended:
+        dates = sorted({f.split("=", 1)[1].split("/", 1)[0] for f in before} | {str(r[0]) for r in dated.select("event_date").distinct().collect() if r[0] is not None})
+        added = sorted(set(history_index.files_of(spark, history_path, dates)) - set(before))
+        history_index.add_files(spark, history_path, added, dated.schema, keys, event_time)
+    return appended
 
 
 def backfill_dates(
@@ -418,8 +429,8 @@ def ingest(
     df = df.persist()
     try:
         good, bad = reject_rows(df, view)
-        counted, failed = _counted(bad, "rejected")
-        counted.write.mode("append").parquet(reject_path)
+        failed = Observation("rejected")
+        _counted(bad, failed).write.mode("append").parquet(reject_path)
         n_bad = int(failed.get["rows"])
         n_new = idempotent_append(good, history_path, view.keys)
         reasons: list[str] = []
