@@ -140,3 +140,61 @@ def test_quality_without_labels_and_odd_rows(docs_of, spark):
     texts = docs_of([(i, "good words here." if i % 2 else "### $$$ %%%") for i in range(60)])
     scored = quality.score(texts, quality.train(texts, both)).collect()
     assert all(r.quality_label == r.doc_id % 2 for r in scored)
+
+
+def test_long_pretokens_are_scored_without_nodes():
+    scores = unigram_scores(PIECES)
+    rng = random.Random(9)
+    for n in (1_001, 5_000):
+        word = "".join(rng.choice("abcdefghij日☃") for _ in range(n))
+        short, long_ = Trie(scores, nodes=100_000), Trie(scores)
+        by_nodes = dict.__getitem__(short, word) if word in short else None
+        short_path = [0]
+        for depth, letter in enumerate(word, 1):  # the same word by the nodes' own rule
+            node = short.children.get((short_path[-1], letter)) or short._add(word, depth, short_path)
+            short.children[short_path[-1], letter] = node
+            short_path.append(node)
+        assert by_nodes is None and long_[word] == short.tokens[short_path[-1]]
+        assert len(long_.forward) == 1  # no node was made
+
+
+def test_more_languages_than_any_list_holds(spark):
+    """Every label value is learnt: texts are bounded by value only."""
+    rng = random.Random(2)
+    alphabets = ["".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 4)) for _ in range(230)]
+    rows = [(i, " ".join("".join(rng.choice(alphabets[i % 230]) for _ in range(5)) for _ in range(40)), f"x{i % 230}") for i in range(230 * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = docs.groupBy("lang").count()
+    assert sample.count() == 230
+    seen = []
+    fit, langid.fit = langid.fit, lambda langs, x: seen.extend(langs)
+    try:
+        langid.train(docs, per_language=2)
+        langid.train(docs.unionByName(docs).unionByName(docs.withColumn("doc_id", F.lit(None).cast("long"))), per_language=50)
+    finally:
+        langid.fit = fit
+    assert len({*seen}) >= 200 and seen.count("x7") >= 3
+    assert len(seen) <= 230 * 3 + 230 * 3  # copies of a text are one text
+
+
+def test_the_sample_is_repeatable_without_ids(spark):
+    rows = [(None, f"some text number {i} of words", "en" if i % 3 else "de") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept, fit = [], langid.fit
+    langid.fit = lambda langs, x: kept.append(sorted((a, v.tobytes()) for a, v in zip(langs, x)))
+    try:
+        langid.train(docs, per_language=20)
+        langid.train(docs.repartition(7), per_language=20)
+    finally:
+        langid.fit = fit
+    assert kept[0] == kept[1] and 10 < len(kept[0]) < 90
+
+
+def test_clashing_names(docs_of):
+    """Columns named like the operators' helpers and results."""
+    docs = docs_of([(1, "the cat and the dog"), (2, None)]).selectExpr("*", "'u' AS _", "'v' AS __", "7 AS row", "8 AS n_tokens", "9 AS lang_pred", "1 AS lang_score")
+    counted = token_counts(docs, PIECES)
+    assert {c: counted.columns.count(c) for c in counted.columns if c in ("_", "__", "row", "n_tokens")} == {"_": 1, "__": 1, "row": 1, "n_tokens": 1}
+    assert [(r["_"], r["__"], r["row"], r.n_tokens > 0) for r in counted.orderBy("doc_id").collect()] == [("u", "v", 7, True), ("u", "v", 7, False)]
+    found = langid.identify(docs, None)
+    assert [(r["_"], r.row, r.lang_pred, r.text) for r in found.orderBy("doc_id").collect()] == [("u", 7, "und", "the cat and the dog"), ("u", 7, "und", None)]
