@@ -101,3 +101,14 @@ def test_copies(docs_of):
     copies = mix_sources(docs, whole=True, copies=True).select("doc_id", "mix_position").collect()
     assert sorted((i, p) for i, ps in rows.items() for p in ps) == sorted(tuple(r) for r in copies)
     assert [r.mix_position for r in copies] == sorted(r.mix_position for r in copies)
+
+
+def test_rows_without_id_are_spread_and_ordered(docs_of):
+    """Null and repeated ids: reruns agree on the texts that are taken, and the hash digits differ."""
+    rows = [(None, f"w{i} " * (i % 5 + 1), "en", "a") for i in range(200)] + [(7, f"v{i} x", "en", "a") for i in range(50)] + [(i, "z " * 9, "en", "b") for i in range(300)]
+    docs = docs_of(rows)
+    one = sorted((r.text, r.mix_taken) for r in mix_sources(docs).select("text", "mix_taken").collect())
+    two = sorted((r.text, r.mix_taken) for r in mix_sources(docs.repartition(5)).select("text", "mix_taken").collect())
+    assert one == two
+    early = [r.text for r in mix_sources(docs).where("source = 'a' AND doc_id IS NULL AND size(mix_positions) > 0").select("text").collect()]
+    assert early != sorted(early, key=lambda t: (len(t), t))

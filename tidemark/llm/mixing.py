@@ -82,7 +82,7 @@ def mix_sources(
     """The rows of ``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target``, ``mix_taken`` (long) and
     ``mix_positions`` (array of double), in the order of the first position.
 
-    A source is read in a fixed random order (MD5 of the id), again from the start when it ends, until its target:
+    A source is read in a fixed random order (MD5 of the id, of the row's content where it has none; rows of one id by size and content), again from the start when it ends, until its target:
     the document whose words reach the target is cut there, or, with ``whole``, taken if at least half of it lies
     before.  Copy e of a document starts at ``offset + e * source_size`` words of its source; its position is the
     training time at which the source's scheduled demand gets there.  Rows that are not taken have no positions and
@@ -99,9 +99,12 @@ def mix_sources(
     size = word_count(F.col("text")) if size is None else size
     taken_names = ("mix_size", "mix_source_size", "mix_target", "mix_taken", "mix_positions", "mix_position")
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in taken_names]
-    digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    # Rows without id, and rows that share one, are told apart by what they hold.
+    tie = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("row "), tie.cast("string"))))
     rows = docs.select(
         F.struct(*kept).alias("row"),
+        tie.alias("tie"),
         size.cast("long").alias("size"),
         # Code point order, null after everything.
         F.coalesce(F.concat(F.lit("a"), F.col(source_col).cast("string")), F.lit("b")).alias("k"),
@@ -125,7 +128,7 @@ def mix_sources(
         .join(targets, "k")
         .select("k", "h1", "h2", (F.col("o1") + F.col("o2")).alias("o"), "source_size", "rank", "target")
     )
-    inside = Window.partitionBy("k", "h1", "h2").orderBy("h", "size").rowsBetween(*earlier)
+    inside = Window.partitionBy("k", "h1", "h2").orderBy("h", "size", "tie").rowsBetween(*earlier)
     placed = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(offsets, ["k", "h1", "h2"])
     start = F.col("o") + F.col("inside")
     room = lambda e: F.col("target") - (start + e * F.col("source_size"))
@@ -147,6 +150,7 @@ def mix_sources(
     taken = placed.select(
         "row",
         "h",
+        "tie",
         "size",
         "source_size",
         "target",
@@ -157,8 +161,8 @@ def mix_sources(
     named = [F.col(c).alias(n) for c, n in names.items()]
     if copies:
         each = taken.withColumn("position", F.explode("positions"))
-        return each.orderBy("position", "h").select("row.*", *named, F.col("position").alias("mix_position"))
+        return each.orderBy("position", "h", "tie").select("row.*", *named, F.col("position").alias("mix_position"))
     # Untaken rows get the places behind the end, spread by their hash, so that no range is full of them.
     behind = 1.0 + F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / 2.0**32
     first = F.coalesce(F.try_element_at("positions", F.lit(1)), behind)
-    return taken.orderBy(first, "h").select("row.*", *named, F.col("positions").alias("mix_positions"))
+    return taken.orderBy(first, "h", "tie").select("row.*", *named, F.col("positions").alias("mix_positions"))
