@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import schema_with
+from tidemark.llm.common import free_name, schema_with, written
 
 #: Language codes by family.  A code that is not listed is a family of its own.
 FAMILIES = {
@@ -32,6 +32,8 @@ FAMILIES = {
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 UNKNOWN = "und"
 DIMENSIONS = 2048
+#: Languages whose counts are sent to all tasks.
+MOST_BROADCAST = 100_000
 #: Letters of a text taken at a time.
 _SLICE = 1 << 20
 
@@ -136,22 +138,18 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             )
 
 
-def train(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_language: int = 400, languages: int = 200
-) -> LanguageModel | None:
-    """Fit on about ``per_language`` texts of each of the ``languages`` commonest values of ``lang_col``, chosen by the hash of
-    the id (a documented bound on fitting; all values count).  Null languages and texts without letters teach
-    nothing; nothing is returned where nothing is learnt."""
-    rows = docs.select(
-        F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col).alias("h")
-    ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
-    if not known:
-        return None
-    least = F.lit(0)
-    for r in known:
-        least = F.when(F.col("lang") == r["lang"], min(1 << 30, (per_language << 30) // r["n"])).otherwise(least)
-    sample = rows.where(F.pmod("h", F.lit(1 << 30)) < least).limit(2 * per_language * len(known))
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 400) -> LanguageModel | None:
+    """Fit on about ``per_language`` different texts of each value of ``lang_col``, chosen by the hash of the text (a documented bound
+    on fitting; all values are learnt).  Null languages and texts without letters teach nothing; nothing is
+    returned where nothing is learnt."""
+    texts = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = texts.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("h", F.xxhash64("text"))
+    known = rows.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n"))
+    known = written(known, "languages")
+    # One row a language: counted before it is sent to the texts; with a label for nearly every text it is joined like any table.
+    known = F.broadcast(known) if known.count() <= MOST_BROADCAST else known
+    chosen = F.pmod("h", F.lit(1 << 30)) * F.col("n") < F.lit(per_language << 30)
+    sample = rows.join(known, "lang").where(chosen).dropDuplicates(["lang", "h"])
     seen = sample.select("text", "lang").mapInArrow(_feature_batches, "lang string, x binary").collect()
     return fit([r["lang"] for r in seen], np.array([np.frombuffer(r["x"], np.float32) for r in seen]))
 
@@ -181,7 +179,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
     """
     names = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
     rows = docs.select(
-        F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in names if c != text_col]).alias("row"), F.col(text_col).cast("string").alias("text")
+        F.struct(F.lit(True).alias(free_name(names)), *[F.col(f"`{c}`") for c in names if c != text_col]).alias("row"), F.col(text_col).cast("string").alias("text")
     )
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
