@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import free_name, schema_with, written
 from tidemark.llm.lexicon import Lexicon, compile_lexicon
 
-#: Words, and as many chunks, that a Python worker remembers: beyond the common ones hardly any comes again.
-MEMORY = 200_000
+#: Words, and as many chunks, that a task remembers: beyond the common ones hardly any comes again.
+MEMORY = 100_000
 #: Letters of the texts that are cut into words before the unseen ones are coded together.
-LETTERS = 1 << 22
+LETTERS = 1 << 21
 #: Bytes from which on a word is merged on its own, and rows of a matrix of words.
 LONG, ROWS = 48, 1 << 13
 
@@ -340,12 +340,6 @@ class _Encoder:
             yield b"".join([p[0] for p in pieces]), " ".join([p[1] for p in pieces if p[0]])
 
 
-@functools.lru_cache(maxsize=1)
-def _encoder(tokenizer: str, lexicon: str) -> _Encoder:
-    """One for all tasks of a Python worker."""
-    return _Encoder(tokenizer, lexicon)
-
-
 def encode_decode(
     docs: DataFrame,
     tokenizer: str,
@@ -375,7 +369,7 @@ def encode_decode(
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoder(tokenizer, SparkFiles.get(lexicon))
+        coder = _Encoder(tokenizer, SparkFiles.get(lexicon))
         for batch in batches:
             at = 0
             for texts in _pieces(batch.column("text")):
