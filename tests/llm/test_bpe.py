@@ -130,3 +130,17 @@ def test_clashing_names(docs_of):
     docs = docs_of([(1, "the cat")]).selectExpr("*", "'u' AS _", "'v' AS __", "7 AS row", "8 AS ids", "9 AS decoded")
     [r] = encode_decode(docs, PATH).collect()
     assert (r["_"], r["__"], r.row, r.decoded) == ("u", "v", 7, "the</w> cat</w>")
+
+
+def test_ids_without_decoded_texts(docs_of):
+    """The same ids; no decoded text is made or remembered."""
+    from tidemark.llm import bpe as module
+
+    docs = docs_of([(1, "Some words, here <|endoftext|> again"), (2, None), (3, "\u00e9tudes x1 " * 50), (3, "")])
+    [lean, full] = [encode_decode(docs, PATH, decoding=d) for d in (False, True)]
+    assert lean.columns == [c for c in full.columns if c != "decoded"]
+    assert sorted(lean.collect()) == sorted(full.drop("decoded").collect())
+    coder = module._Encoder.__new__(module._Encoder)
+    coder.decoding = False
+    coder.bpe = WordBpe(PATH)
+    assert coder._value(coder.bpe.merge("here"))[1] == ""

@@ -300,15 +300,20 @@ class _Recent:
 
 
 class _Encoder:
-    """Words, and chunks of them, to (ids as bytes, decoded text): from the lexicon, or merged."""
+    """Words, and chunks of them, to (ids as bytes, decoded text): from the lexicon, or merged.  Without ``decoding``, decoded texts are
+    neither made nor remembered: they are empty."""
 
-    def __init__(self, tokenizer: str, lexicon: str) -> None:
-        self.bpe, self.lexicon = _word_bpe(tokenizer), Lexicon(lexicon)
+    decoding = True
+
+    def __init__(self, tokenizer: str, lexicon: str, decoding: bool = True) -> None:
+        self.bpe, self.lexicon, self.decoding = _word_bpe(tokenizer), Lexicon(lexicon), decoding
         self.words, self.chunks = _Recent(), _Recent()
 
     def _value(self, ids: list[int]) -> tuple[bytes, str]:
-        pieces = self.bpe.pieces
-        return struct.pack(f"<{len(ids)}I", *ids), pieces[ids[0]] if len(ids) == 1 else " ".join([pieces[i] for i in ids])
+        pieces, packed = self.bpe.pieces, struct.pack(f"<{len(ids)}I", *ids)
+        if not self.decoding:
+            return packed, ""
+        return packed, pieces[ids[0]] if len(ids) == 1 else " ".join([pieces[i] for i in ids])
 
     def _learn_words(self, words: list[str]) -> None:
         """Unseen words, together: those of the lexicon by its transitions, all others by their merges."""
@@ -328,7 +333,10 @@ class _Encoder:
                 out[chunk] = known[words[0]]
             else:
                 pieces = [known[w] for w in words]
-                out[chunk] = b"".join([p[0] for p in pieces]), " ".join([p[1] for p in pieces if p[0]])
+                out[chunk] = self._joined(pieces)
+
+    def _joined(self, pieces: list[tuple[bytes, str]]) -> tuple[bytes, str]:
+        return b"".join([p[0] for p in pieces]), " ".join([p[1] for p in pieces if p[0]]) if self.decoding else ""
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """(ids as bytes, decoded text) of each text."""
@@ -336,8 +344,7 @@ class _Encoder:
         self._learn(set().union(*cut))
         known = self.chunks.now
         for own in cut:
-            pieces = [known[c] for c in own]
-            yield b"".join([p[0] for p in pieces]), " ".join([p[1] for p in pieces if p[0]])
+            yield self._joined([known[c] for c in own])
 
 
 def encode_decode(
@@ -347,9 +354,11 @@ def encode_decode(
     lexicon_size: int = 1 << 16,
     keep: list[str] | None = None,
     digests_only: bool = False,
+    decoding: bool = True,
 ) -> DataFrame:
     """The rows of ``docs`` (columns ``keep``, all but the text by default) with ``ids`` (array<int>) and ``decoded``, or
     with ``digests_only`` with ``n_tokens``, ``ids_sha256`` (ids as little-endian unsigned 32-bit) and ``decoded_sha256``.
+    Who needs no decoded texts says so by ``decoding``: their column is not made then, which spares half of a task's memory.
 
     Ids are those of the tokenizer file; null texts are empty, an empty text has no ids.  Special tokens' strings in
     a text are special tokens.  Words are counted over all texts; the ``lexicon_size`` most frequent ones are
@@ -362,6 +371,8 @@ def encode_decode(
     added = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"} if digests_only else {
         "ids": "array<int>", "decoded": "string"
     }
+    if not decoding:
+        added = {c: kind for c, kind in added.items() if not c.startswith("decoded")}
     names = [c for c in (docs.columns if keep is None else keep) if c != text_col and c not in added]
     rows = docs.select(
         F.struct(F.lit(True).alias(free_name(names)), *[F.col(f"`{c}`") for c in names]).alias("row"),
@@ -369,7 +380,7 @@ def encode_decode(
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _Encoder(tokenizer, SparkFiles.get(lexicon))
+        coder = _Encoder(tokenizer, SparkFiles.get(lexicon), decoding)
         for batch in batches:
             at = 0
             for texts in _pieces(batch.column("text")):
@@ -386,7 +397,7 @@ def encode_decode(
                     ends = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int32)
                     ids = pa.array(np.frombuffer(b"".join(coded), "<u4").astype(np.int32))
                     columns = [pa.ListArray.from_arrays(pa.array(ends), ids), pa.array(decoded, pa.string())]
-                yield pa.RecordBatch.from_arrays([part.column("row"), *columns], names=["row", *added])
+                yield pa.RecordBatch.from_arrays([part.column("row"), *columns[: len(added)]], names=["row", *added])
 
     result = rows.mapInArrow(encode, schema_with(rows, ["row"], ", ".join(f"{n} {t}" for n, t in added.items())))
     return result.select(*[F.col(f"row.`{c}`") for c in names], *added)

@@ -55,6 +55,14 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Whole texts go to Python workers so many at a time: a batch lies in memory several times, in the JVM and in the worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    most = int(spark.conf.get(key))
+    if most <= 0 or most > rows:
+        spark.conf.set(key, str(rows))
+
+
 def schema_with(rows: DataFrame, kept: list[str], added: str) -> StructType:
     """Schema of the columns ``kept`` of ``rows`` and those ``added`` (DDL)."""
     return StructType([*(rows.schema[c] for c in kept), *StructType.fromDDL(added).fields])
