@@ -135,6 +135,40 @@ def test_state_expires_after_the_long_gap(spark, tmp_path):
     assert [(r.events_last_1h, r.seconds_since_last_event) for r in rows if r.user_id == "w"] == [(1, 0), (1, 9000), (2, 1)]
 
 
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_users_that_share_a_state_are_counted_apart(spark, tmp_path, sf, buckets):
+    ev = events(spark, sf).withColumn("user_id", F.col("user_id").cast("string")).select(*[c.split()[0] for c in COLUMNS.split(", ")])
+    path = str(tmp_path / "in")
+    for a, b in (("2024-01-01", "2024-01-15"), ("2024-01-15", "2024-02-28")):
+        ev.where((F.col("event_ts") >= a) & (F.col("event_ts") < b)).coalesce(1).write.mode("append").parquet(path)
+    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = drain(spark, tmp_path, stream.gap_reset_stream(src, buckets=buckets), "update")
+    got = {r.user_id: r for r in out.orderBy("event_time").collect()}
+    want = {r.user_id: r for r in gap_reset_counters(ev, "user_id", "event_ts", tiebreak="event_id").orderBy("event_ts", "event_id").collect()}
+    assert set(got) == set(want) and len(got) > buckets
+    for user, w in want.items():
+        for c in ("events_last_5min", "events_last_1h", "distinct_products_last_1h", "orders_last_1h"):
+            assert got[user][c] == w[c], (user, c)
+        assert got[user].event_time == w.event_ts and got[user].order_value_last_1h == pytest.approx(w.order_value_last_1h)
+
+
+def test_one_user_of_a_shared_state_expires(spark, tmp_path):
+    """With one state for all: who expired starts anew, without a previous event; who came again goes on."""
+    src = write_batches(
+        spark,
+        tmp_path,
+        [(1, "u", "purchase", "p1", 10.0, 0), (2, "w", "view", "p9", None, 0)],
+        [(3, "w", "view", "p9", None, 9000)],
+        [(4, "w", "view", "p8", None, 9001)],
+        [(5, "u", "view", "p1", None, 9002), (6, "w", "view", "p9", None, 9002)],
+    )
+    rows = drain(spark, tmp_path, stream.gap_reset_stream(src, buckets=1), "update").orderBy("event_time").collect()
+    assert [(r.events_last_1h, r.orders_last_1h, r.seconds_since_last_event) for r in rows if r.user_id == "u"] == [(1, 1, 0), (1, 0, 0)]
+    assert [(r.events_last_1h, r.distinct_products_last_1h, r.seconds_since_last_event) for r in rows if r.user_id == "w"] == [
+        (1, 1, 0), (1, 1, 9000), (2, 2, 1), (3, 2, 1)
+    ]
+
+
 def test_sliding_stream_equals_batch_on_closed_windows(spark, tmp_path, sf):
     ev = events(spark, sf).withColumn("user_id", F.col("user_id").cast("string")).select(*[c.split()[0] for c in COLUMNS.split(", ")])
     path = str(tmp_path / "in")

@@ -17,6 +17,10 @@ from tidemark.sources import readers
 from tidemark.streaming import recency as stream
 
 
+#: Of the files that a stream reads: a file is what one task takes.
+ROWS_PER_FILE = 100_000
+
+
 def raw_records(spark, sf) -> DataFrame:
     """Events as base64 JSON payloads.  Errors arrive malformed, sign-ups without a user."""
     ev = events(spark, sf)
@@ -82,7 +86,8 @@ def _run_stream(spark, build, sf, mode: str) -> DataFrame:
     root = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     stored = spark.read.parquet(f"{sf}/events.parquet")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    cuts = stored.agg(F.percentile_approx(at, [1 / 3, 2 / 3], 1000)).first()[0] or [0, 0]
+    cuts, n = stored.agg(F.percentile_approx(at, [1 / 3, 2 / 3], 1000), F.count("*")).first()
+    cuts, files = cuts or [0, 0], max(4, n // (3 * ROWS_PER_FILE))
     raw = spark.readStream.schema(stored.schema).parquet(f"{root}/in/*")
     ev = raw.select(
         "event_id",
@@ -98,7 +103,7 @@ def _run_stream(spark, build, sf, mode: str) -> DataFrame:
         batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
 
     for k, part in enumerate((at < cuts[0], at.between(cuts[0], cuts[1] - 1), at >= cuts[1])):
-        stored.where(part).repartition(4).write.parquet(f"{root}/in/part={k}")
+        stored.where(part).repartition(files).write.parquet(f"{root}/in/part={k}")
         query = (
             result.writeStream.foreachBatch(store)
             .outputMode(mode)

@@ -52,7 +52,12 @@ COUNTER_SCHEMA = (
     "distinct_products_last_1h long, orders_last_1h long, order_value_last_1h double, "
     "avg_order_value_last_1h double, seconds_since_last_event long"
 )
-STATE_SCHEMA = "last_us long, n_short long, n_long long, products array<string>, orders long, value double"
+#: Of the users of a bucket, in one order.
+STATE_SCHEMA = (
+    "users array<string>, last_us array<long>, n_short array<long>, n_long array<long>, products array<array<string>>, "
+    "orders array<long>, value array<double>"
+)
+BUCKETS = 4096
 _PANES = "user_id string, pane long, product_id string, first long, last long, before long, n long, orders long, value double, event_ts timestamp"
 
 
@@ -79,11 +84,12 @@ def _pane_batches(width: int):
     return sums
 
 
-def _fold(panes: dict[int, list], newest: dict[str, int], rows: pd.DataFrame) -> None:
-    """Add a chunk of sums: per pane its first time, last two times, events, orders and value; per product its newest pane."""
-    for pane, product, first, last, before, n, orders, value in zip(
-        *(rows[c] for c in ("pane", "product_id", "first", "last", "before", "n", "orders", "value")), strict=True
+def _fold(users: dict[str, tuple[dict[int, list], dict[str, int]]], rows: pd.DataFrame) -> None:
+    """Add a chunk of sums: per user and pane its first time, last two times, events, orders and value; per user and product its newest pane."""
+    for user, pane, product, first, last, before, n, orders, value in zip(
+        *(rows[c] for c in ("user_id", "pane", "product_id", "first", "last", "before", "n", "orders", "value")), strict=True
     ):
+        panes, newest = users.setdefault(user, ({}, {}))
         at = panes.setdefault(pane, [first, [], 0, 0, 0.0])
         at[0] = min(at[0], first)
         at[1] = sorted([*at[1], last, *([] if pd.isna(before) else [before])], reverse=True)[:2]
@@ -94,19 +100,44 @@ def _fold(panes: dict[int, list], newest: dict[str, int], rows: pd.DataFrame) ->
             newest[product] = max(newest.get(product, pane), pane)
 
 
+def _counted(panes: dict[int, list], newest: dict[str, int], held: tuple | None, short: int, long_: int) -> tuple[tuple, tuple]:
+    """A user's state, and record, after the panes of a micro-batch."""
+    last, n_short, n_long, products, orders, value = held or (None, 0, 0, [], 0, 0.0)
+    since, start, event, before = 0, None, 0, last
+    for pane in sorted(panes):
+        first, tops, n, bought, spent = panes[pane]
+        gap = None if before is None else first - before
+        if gap is None or gap > long_:
+            n_long, orders, value, start = 0, 0, 0.0, pane
+        if gap is None or gap > short:
+            n_short = 0
+        n_short, n_long, orders, value = n_short + n, n_long + n, orders + bought, value + spent
+        event, previous = tops[0], tops[1] if len(tops) > 1 else before
+        since = 0 if previous is None else event // 1_000_000 - previous // 1_000_000
+        before = event if before is None else max(before, event)
+    seen = {p for p, pane in newest.items() if start is None or pane >= start} | (set(products) if start is None else set())
+    state = int(before), int(n_short), int(n_long), sorted(seen), int(orders), float(value)
+    mean = float(value) / orders if orders else 0.0
+    return state, (int(event), int(n_short), int(n_long), len(seen), int(orders), float(value), mean, max(int(since), 0))
+
+
 def gap_reset_stream(
     events: DataFrame,
     watermark: str = "10 minutes",
     short_gap: str = "5 minutes",
     long_gap: str = "1 hour",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """The streaming form of ``gap_reset_counters``: one record per user and micro-batch, of its newest event.
 
     Input columns: ``user_id, event_type, product_id, amount, event_ts``.  Events are summed by user, pane of one short gap, and product before they are
-    shuffled, and the user's state takes these sums chunk by chunk: memory grows with the time that a batch spans, not with
-    its events.  No two events of a pane are further apart than the short gap, so gaps lie between panes only.  State is a
+    shuffled, and the state takes these sums chunk by chunk: memory grows with the time that a batch spans, not with
+    its events.  No two events of a pane are further apart than the short gap, so gaps lie between panes only.  A user's state is a
     few numbers and the products since the last long gap; it expires one long gap after the last event, when a new
     event would reset it anyway.
+
+    State is kept by hash bucket of users, as Spark's call into Python for a key costs as much as some hundred users' sums.  ``buckets``
+    belongs to a checkpoint; it has no part in the result.
     """
     short, long_ = duration_micros(short_gap), duration_micros(long_gap)
     clean = events.where("user_id IS NOT NULL AND event_ts IS NOT NULL").select(
@@ -118,45 +149,31 @@ def gap_reset_stream(
     )
 
     def update(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        held = {user: tuple(rest) for user, *rest in zip(*state.get, strict=True)} if state.exists else {}
+        folded: dict[str, tuple[dict[int, list], dict[str, int]]] = {}
+        if not state.hasTimedOut:
+            for chunk in chunks:
+                _fold(folded, chunk)
+        records = []
+        for user, (panes, newest) in folded.items():
+            held[user], record = _counted(panes, newest, held.get(user), short, long_)
+            records.append((user, *record))
+        now = state.getCurrentWatermarkMs()
+        expires = {user: (kept[0] + long_) // 1000 + 1 for user, kept in held.items()}
+        held = {user: kept for user, kept in held.items() if user in folded or expires[user] >= now}
+        if held:
+            state.update((list(held), *map(list, zip(*held.values(), strict=True))))
+            state.setTimeoutTimestamp(max(min(expires[user] for user in held), now + 1))
+        else:
             state.remove()
-            return
-        panes: dict[int, list] = {}
-        newest: dict[str, int] = {}
-        for chunk in chunks:
-            _fold(panes, newest, chunk)
-        last, n_short, n_long, products, orders, value = state.get if state.exists else (None, 0, 0, [], 0, 0.0)
-        since, start, event, before = 0, None, 0, last
-        for pane in sorted(panes):
-            first, tops, n, bought, spent = panes[pane]
-            gap = None if before is None else first - before
-            if gap is None or gap > long_:
-                n_long, orders, value, start = 0, 0, 0.0, pane
-            if gap is None or gap > short:
-                n_short = 0
-            n_short, n_long, orders, value = n_short + n, n_long + n, orders + bought, value + spent
-            event, previous = tops[0], tops[1] if len(tops) > 1 else before
-            since = 0 if previous is None else event // 1_000_000 - previous // 1_000_000
-            before = event if before is None else max(before, event)
-        seen = {p for p, pane in newest.items() if start is None or pane >= start} | (set(products) if start is None else set())
-        state.update((int(before), int(n_short), int(n_long), sorted(seen), int(orders), float(value)))
-        state.setTimeoutTimestamp(max(int(before + long_) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(
-            {
-                "user_id": [key[0]],
-                "event_time": [pd.Timestamp(int(event), unit="us")],
-                "events_last_5min": [int(n_short)],
-                "events_last_1h": [int(n_long)],
-                "distinct_products_last_1h": [len(seen)],
-                "orders_last_1h": [int(orders)],
-                "order_value_last_1h": [float(value)],
-                "avg_order_value_last_1h": [float(value) / orders if orders else 0.0],
-                "seconds_since_last_event": [max(int(since), 0)],
-            }
-        )
+        if records:
+            out = pd.DataFrame(records, columns=[c.split()[0] for c in COUNTER_SCHEMA.split(", ")])
+            out["event_time"] = pd.to_datetime(out["event_time"], unit="us")
+            yield out
 
     panes = clean.mapInPandas(_pane_batches(short), _PANES).withWatermark("event_ts", watermark)
-    return panes.groupBy("user_id").applyInPandasWithState(
+    bucketed = panes.withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)))
+    return bucketed.groupBy("bucket").applyInPandasWithState(
         update, COUNTER_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.EventTimeTimeout
     )
 
