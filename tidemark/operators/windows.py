@@ -260,15 +260,17 @@ def salted_rolling_agg(
 
     Spark's map-side combining already shrinks a hot entity to one row per task; this form also
     splits the merge itself, which pays off for wide sketches.  ``salt_by`` is the column the
-    shard is hashed from (default: the time).
+    shard is hashed from (default: the time).  On batches a window is known by its start alone, in microseconds: where nearly every
+    event has a window of its own, the keys are what is hashed, sorted and shuffled, twice.
     """
-    keyed = (
-        df.where(F.col(ts).isNotNull())
-        .withColumn("__w", F.window(as_timestamp(df, ts), window))
-        .withColumn("__salt", F.pmod(F.xxhash64(salt_by or ts), F.lit(salts)))
-    )
+    rows = df.where(F.col(ts).isNotNull()).withColumn("__salt", F.pmod(F.xxhash64(salt_by or ts), F.lit(salts)))
+    if df.isStreaming:
+        keyed = rows.withColumn("__w", F.window(as_timestamp(df, ts), window))
+        start, end = F.col("__w.start"), F.col("__w.end")
+    else:
+        w_len, t = duration_micros(window), micros(as_timestamp(df, ts))
+        keyed = rows.withColumn("__w", t - F.pmod(t, F.lit(w_len)))
+        start, end = F.timestamp_micros("__w"), F.timestamp_micros(F.col("__w") + F.lit(w_len))
     shards = keyed.groupBy(entity, "__w", "__salt").agg(*[c for n, a in aggs.items() for c in a.pane(n)])
     merged = shards.groupBy(entity, "__w").agg(*[a.merge(n).alias(n) for n, a in aggs.items()])
-    return merged.select(
-        entity, *aggs, F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end")
-    )
+    return merged.select(entity, *aggs, start.alias("window_start"), end.alias("window_end"))
