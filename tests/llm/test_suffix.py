@@ -63,3 +63,27 @@ def test_clashing_names(docs_of):
     docs = docs_of([(1, "x" * 500), (2, None)]).selectExpr("*", "'u' AS `no text`", "'v' AS _", "7 AS row", "8 AS removed")
     got = without_repeats(docs, "text", 200).orderBy("doc_id").collect()
     assert [(r["no text"], r["_"], r.row, r.removed) for r in got] == [("u", "v", 7, 8)] * 2 and got[1].text is None
+
+
+def test_places_found_one_by_one_stay_beside_phrases_that_stand_once(docs_of):
+    """Texts of one window that begins with its trigger: their phrase stands once, its window stands in another text too."""
+    from tidemark.llm.phrases import phrases
+
+    rng = random.Random(5)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(6000))
+    last = [int(p) for starts, counts, places, _ in phrases(long.encode(), 200) for a, n, p in zip(starts, counts, places) if p == a + n - 1]
+    assert len(last) > 5
+    check(docs_of, [long, *(long[p : p + 200] for p in last)])
+
+
+def test_occurrences_of_a_common_passage_are_not_joined_with_its_phrases(docs_of, monkeypatch):
+    from tidemark.llm import suffix
+
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcde") for _ in range(rng.randint(1, 9)))
+    line = " ".join(word() for _ in range(150))
+    texts = [" ".join(word() for _ in range(60)) + line + " ".join(word() for _ in range(60)) for _ in range(40)]
+    plans, write = {}, suffix.written
+    monkeypatch.setattr(suffix, "written", lambda df, name: (plans.update({name: df._jdf.queryExecution().analyzed().toString()}), write(df, name))[1])
+    check(docs_of, texts)
+    assert plans["spans"].count("Join ") == 1  # of open phrases with what was found in them

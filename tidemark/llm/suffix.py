@@ -218,15 +218,16 @@ def repeated_places(docs: DataFrame, text_col: str, length: int) -> DataFrame:
         .select("t", "u", F.explode("starts").alias("s"), "first")
         .select("t", "u", F.shiftleft(F.col("first") + F.col("s"), PLACE).alias("p"))
     )
-    places = (
-        parse.where("not differ")
-        .select("t", "u", "p")
-        .unionByName(
-            parse.where("differ").join(counted.where("n > 1").select("f", "c"), ["f", "c"]).select("t", "u", "p")
-        )
-        .unionByName(shown)
-    )
-    spans = written(places.groupBy("t", "u").agg(F.collect_set("p").alias("spans")), "spans")
+    # A phrase settles its windows wherever it stands, unless it stands once: that place is taken out again beside its text.  So no
+    # occurrence is joined with its phrase.  Starts found one by one are apart: one may be written like a place that is taken out.
+    kinds = {"settled": parse, "single": counted.where("n = 1"), "found": shown}
+    places = None
+    for kind, rows in kinds.items():
+        rows = rows.select("t", "u", *[(F.col("p") if k == kind else F.lit(None).cast("long")).alias(k) for k in kinds])
+        places = rows if places is None else places.unionByName(rows)
+    gathered = places.groupBy("t", "u").agg(*[F.collect_set(k).alias(k) for k in kinds])
+    spans = gathered.select("t", "u", F.array_union(F.array_except("settled", "single"), "found").alias("spans"))
+    spans = written(spans.where(F.size("spans") > 0), "spans")
     release(spark)
     return spans
 
