@@ -212,6 +212,7 @@ class VectorIndex:
             ]
         )
         cells = self.cells(kinds).toPandas()
+        block = max(1, block)  # a limit of no queries at all still searches them, one at a time
         head = asked.limit(block + 1).toArrow()
         if head.num_rows <= block:
             return self._search_block(head, cells, k, metric, digits, out_schema)
